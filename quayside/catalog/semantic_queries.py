@@ -1 +1,103 @@
-"""placeholder"""
+"""Registered metric queries (semantic layer) and their oracle SQL."""
+
+from __future__ import annotations
+
+from quayside.oracle import models_sql  # noqa: F401
+from quayside.oracle.ctes import with_ctes
+from quayside.plans.semantic import SemanticLayer, saved_query
+from quayside.plans.warehouse import Warehouse
+from quayside.registry import register
+
+
+def _metric(key, metrics, group_by, sql, needs=("fct_orders",)):
+    def build(spark, sf_dir):
+        return SemanticLayer(Warehouse(spark, sf_dir)).query(list(metrics), list(group_by))
+    register(key, with_ctes(sql, *needs))(build)
+
+
+def _wk(c):
+    return f"CAST(date_trunc('week', {c}) AS DATE)"
+
+
+def _mo(c):
+    return f"CAST(date_trunc('month', {c}) AS DATE)"
+
+
+_CUST_JOIN = "FROM fct_orders f LEFT JOIN dim_customers c ON f.customer_id = c.customer_id"
+
+_metric("metric_order_count", ["order_count"], ["metric_time__month"], f"""
+SELECT {_mo('order_date')} AS metric_time__month, count(order_id) AS order_count FROM fct_orders GROUP BY 1""")
+
+_metric("metric_revenue", ["revenue"], ["metric_time__month"], f"""
+SELECT {_mo('order_date')} AS metric_time__month, sum(total_amount) AS revenue FROM fct_orders GROUP BY 1""")
+
+_metric("metric_returned_orders", ["returned_orders"], ["metric_time__month"], f"""
+SELECT {_mo('order_date')} AS metric_time__month,
+       CAST(sum(CASE WHEN is_returned THEN 1 ELSE 0 END) AS BIGINT) AS returned_orders
+FROM fct_orders GROUP BY 1""")
+
+_metric("metric_shipped_revenue", ["shipped_revenue"], ["metric_time__week"], f"""
+SELECT {_wk('shipped_at')} AS metric_time__week,
+       sum(CASE WHEN order_state = 'delivered' THEN total_amount END) AS shipped_revenue
+FROM fct_orders GROUP BY 1""")
+
+_metric("metric_aov", ["average_order_value"], ["customer__customer_segment"], f"""
+SELECT c.customer_segment AS customer__customer_segment,
+       CAST(sum(f.total_amount) AS DOUBLE) / nullif(CAST(count(f.order_id) AS DOUBLE), 0) AS average_order_value
+{_CUST_JOIN} GROUP BY 1""", needs=("fct_orders", "dim_customers"))
+
+_metric("metric_return_rate", ["return_rate"], ["order__payment_method"], """
+SELECT payment_method AS order__payment_method,
+       CAST(sum(CASE WHEN is_returned THEN 1 ELSE 0 END) AS DOUBLE)
+         / nullif(CAST(count(order_id) AS DOUBLE), 0) AS return_rate
+FROM fct_orders GROUP BY 1""")
+
+_metric("measure_gross_margin", ["gross_margin", "gross_revenue"], ["metric_time__quarter"], """
+SELECT CAST(date_trunc('quarter', order_date) AS DATE) AS metric_time__quarter,
+       sum(gross_margin) AS gross_margin, sum(gross_revenue) AS gross_revenue
+FROM fct_orders GROUP BY 1""")
+
+_metric("measure_cancelled_orders", ["cancelled_orders"], ["customer__state"], f"""
+SELECT c.state AS customer__state,
+       CAST(sum(CASE WHEN f.is_cancelled THEN 1 ELSE 0 END) AS BIGINT) AS cancelled_orders
+{_CUST_JOIN} GROUP BY 1""", needs=("fct_orders", "dim_customers"))
+
+_metric("metric_revenue_wow", ["revenue_wow"], ["metric_time__week"], f"""
+SELECT coalesce(cur.wk, prior.wk) AS metric_time__week,
+       CAST(cur.revenue - prior.revenue_prior_week AS DOUBLE)
+         / nullif(CAST(prior.revenue_prior_week AS DOUBLE), 0) * 100 AS revenue_wow
+FROM (SELECT {_wk('order_date')} AS wk, sum(total_amount) AS revenue FROM fct_orders GROUP BY 1) cur
+FULL OUTER JOIN (
+  SELECT CAST(date_trunc('week', {_wk('order_date')} + 7) AS DATE) AS wk, sum(total_amount) AS revenue_prior_week
+  FROM fct_orders GROUP BY 1) prior ON cur.wk = prior.wk""")
+
+_metric("metric_cumulative_revenue", ["cumulative_revenue"], ["metric_time__day"], """
+SELECT s.date_day AS metric_time__day,
+       sum(coalesce(d.v, 0)) OVER (ORDER BY s.date_day ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+         AS cumulative_revenue
+FROM time_spine s
+LEFT JOIN (SELECT CAST(order_date AS DATE) AS date_day, sum(total_amount) AS v FROM fct_orders GROUP BY 1) d
+  ON s.date_day = d.date_day""", needs=("fct_orders", "time_spine"))
+
+
+def _saved(key, name, sql, needs=("fct_orders", "dim_customers")):
+    register(key, with_ctes(sql, *needs))(lambda spark, sf_dir: saved_query(Warehouse(spark, sf_dir), name))
+
+
+_saved("metric_weekly_revenue_by_segment", "weekly_revenue_by_segment", f"""
+SELECT {_wk('f.order_date')} AS metric_time__week, c.customer_segment AS customer__customer_segment,
+       sum(f.total_amount) AS revenue, count(f.order_id) AS order_count
+{_CUST_JOIN} GROUP BY 1, 2""")
+
+_saved("metric_cohort_aov", "customer_cohort_aov", f"""
+SELECT c.cohort_month AS customer__cohort_month, c.customer_segment AS customer__customer_segment,
+       CAST(sum(f.total_amount) AS DOUBLE) / nullif(CAST(count(f.order_id) AS DOUBLE), 0) AS average_order_value,
+       count(f.order_id) AS order_count
+{_CUST_JOIN} GROUP BY 1, 2""")
+
+_saved("metric_return_rate_trend", "return_rate_trend", f"""
+SELECT {_mo('order_date')} AS metric_time__month,
+       CAST(sum(CASE WHEN is_returned THEN 1 ELSE 0 END) AS DOUBLE)
+         / nullif(CAST(count(order_id) AS DOUBLE), 0) AS return_rate,
+       count(order_id) AS order_count, sum(total_amount) AS revenue
+FROM fct_orders GROUP BY 1""", needs=("fct_orders",))
