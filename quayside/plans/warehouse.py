@@ -32,6 +32,7 @@ from quayside.functions.scalars import (customer_segment, day_of_week_sunday0, d
 from quayside.operators.scd2 import scd2_apply, scd2_current
 from quayside.plans.staging import stage
 from quayside.sources.adapter import RetailSource, conform
+from quayside.sources.loader import load_sources
 from quayside.sources import schemas as S
 
 # Report date for clock-dependent columns (activity flag, freshness):
@@ -43,12 +44,21 @@ SLA_DAYS = 7
 
 
 class Warehouse:
+    """All models over one source database.
+
+    ``sources`` overrides individual source tables (tests, incremental runs);
+    ``loaded=True`` reads the tables written once by ``load_sources`` instead
+    of deriving them from the driver tables inside every plan.
+    """
+
     def __init__(self, spark: SparkSession, sf_dir: str, as_of=DEFAULT_AS_OF,
-                 run_ts=DEFAULT_RUN_TS, sources: dict[str, DataFrame] | None = None):
+                 run_ts=DEFAULT_RUN_TS, sources: dict[str, DataFrame] | None = None,
+                 loaded: bool = True):
         self.spark, self.sf_dir = spark, sf_dir
         self.as_of, self.run_ts = as_of, run_ts
         self._src = RetailSource(spark, sf_dir)
-        self._overrides = sources or {}
+        base = load_sources(spark, sf_dir) if loaded else {}
+        self._overrides = {**base, **(sources or {})}
 
     # -- sources & staging ----------------------------------------------
     def source(self, name: str) -> DataFrame:
