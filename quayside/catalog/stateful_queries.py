@@ -1 +1,225 @@
-"""placeholder"""
+"""Registered multi-run (stateful) queries: incremental models, SCD2
+snapshots, insert-if-absent, column sync, change gate, schema drift.
+
+Each query really runs the job several times against tables written to
+the shared folder (write-then-switch: every run writes a new location and
+the next run reads it), and returns the final table.  The oracle is the
+single full build the runs must converge to.
+"""
+
+from __future__ import annotations
+
+import datetime as _dt
+
+from pyspark.sql import functions as F
+
+from quayside.oracle import models_sql  # noqa: F401
+from quayside.oracle.ctes import with_ctes
+from quayside.operators.scd2 import read_snapshot, scd2_apply, write_snapshot
+from quayside.operators.upsert import high_water, incremental_filter, insert_ignore, sync_columns, upsert
+from quayside.plans.warehouse import Warehouse
+from quayside.registry import register
+from quayside.session import scratch_path
+from quayside.sources import schemas as S
+
+CUTOFF = _dt.datetime(1998, 1, 1)
+SCD_RUNS = (_dt.datetime(2024, 1, 1), _dt.datetime(2024, 2, 1), _dt.datetime(2024, 3, 1))
+LOOKBACK_DAYS = 3
+
+
+def _persist(spark, df, name):
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
+def _first_run_warehouse(spark, sf_dir, table, ts_col):
+    w = Warehouse(spark, sf_dir)
+    early = w.source(table).filter(F.col(ts_col) < F.lit(CUTOFF))
+    return Warehouse(spark, sf_dir, sources={table: early})
+
+
+@register("incremental_fct_orders", with_ctes("SELECT * FROM fct_orders", "fct_orders"))
+def incremental_fct_orders(spark, sf_dir):
+    target = _persist(spark, _first_run_warehouse(spark, sf_dir, "orders", "updated_at").fct_orders,
+                      "fct_orders-run1")
+    w = Warehouse(spark, sf_dir)
+    for run in (2, 3):        # run 3 = replay with nothing new: must change nothing
+        hw = high_water(target, "updated_at")
+        delta = w.build_fct_orders(incremental_filter(w.int_orders_enriched, "updated_at", hw, LOOKBACK_DAYS))
+        target = _persist(spark, upsert(target, delta, ["order_id"]), f"fct_orders-run{run}")
+    return target
+
+
+def _payment_changed_at():
+    floor = F.lit("1900-01-01").cast("timestamp")
+    return F.greatest(F.coalesce(F.col("payment_date"), floor),
+                      F.coalesce(F.col("authorization_date"), floor),
+                      F.coalesce(F.col("capture_date"), floor), F.coalesce(F.col("refund_date"), floor))
+
+
+@register("incremental_fct_payments", with_ctes("SELECT * FROM fct_payments", "fct_payments"))
+def incremental_fct_payments(spark, sf_dir):
+    target = _persist(spark, _first_run_warehouse(spark, sf_dir, "payments", "payment_date").fct_payments,
+                      "fct_payments-run1")
+    w = Warehouse(spark, sf_dir)
+    for run in (2, 3):
+        hw = high_water(target, "payment_date")
+        delta = w.build_fct_payments(incremental_filter(w.stg_payments, _payment_changed_at(), hw,
+                                                        LOOKBACK_DAYS))
+        target = _persist(spark, upsert(target, delta, ["payment_id"]), f"fct_payments-run{run}")
+    return target
+
+
+@register("incremental_fct_returns", with_ctes("SELECT * FROM fct_returns", "fct_returns"))
+def incremental_fct_returns(spark, sf_dir):
+    w1 = _first_run_warehouse(spark, sf_dir, "orders", "updated_at")
+    target = _persist(spark, w1.fct_returns, "fct_returns-run1")
+    w = Warehouse(spark, sf_dir)
+    for run in (2, 3):
+        hw = high_water(target, "returned_at")
+        changed = incremental_filter(w.fct_orders, "updated_at", hw, LOOKBACK_DAYS)
+        target = _persist(spark, upsert(target, w.build_fct_returns(changed), ["order_id"]),
+                          f"fct_returns-run{run}")
+    return target
+
+
+# ---- SCD2 two-version fixtures -------------------------------------------
+def _scd_oracle(stg, key, changed_sql, new_cols_sql):
+    t1, t2 = (f"TIMESTAMP '{t:%Y-%m-%d %H:%M:%S}'" for t in SCD_RUNS[:2])
+    sid = lambda t: f"md5({key} || '|' || strftime({t}, '%Y-%m-%d %H:%M:%S'))"
+    return with_ctes(f"""
+SELECT *, {t1} AS valid_from, CASE WHEN {changed_sql} THEN {t2} END AS valid_to, {sid(t1)} AS scd_id FROM {stg}
+UNION ALL
+SELECT {new_cols_sql}, {t2} AS valid_from, CAST(NULL AS TIMESTAMP) AS valid_to, {sid(t2)} AS scd_id
+FROM {stg} WHERE {changed_sql}""", stg)
+
+
+_CK = "CAST(customer_id AS BIGINT)"
+_PK = "CAST(product_id AS BIGINT)"
+SCD_CUSTOMERS_SQL = _scd_oracle(
+    "stg_customers", "customer_id", f"{_CK} % 10 = 0 AND {_CK} % 97 <> 0",
+    "customer_id, first_name, last_name, 'v2.' || email AS email, address_id, created_at")
+SCD_PRODUCTS_SQL = _scd_oracle(
+    "stg_products", "product_id", f"{_PK} % 10 = 0 AND {_PK} % 97 <> 0",
+    "product_id, sku, product_name, product_category, CAST(unit_price + 10 AS DECIMAL(12,2)) AS unit_price, cost_price")
+
+def _scd_runs(spark, v1, v2, key, check_cols, name):
+    snap = None
+    for i, (src, ts) in enumerate(zip((v1, v2, v2), SCD_RUNS), 1):
+        nxt = scd2_apply(snap, src, key, check_cols, ts)
+        path = scratch_path(spark, f"{name}-run{i}")
+        write_snapshot(nxt, path)
+        snap = read_snapshot(spark, path)
+    return snap
+
+
+@register("scd2_customers", SCD_CUSTOMERS_SQL)
+def scd2_customers(spark, sf_dir):
+    c = Warehouse(spark, sf_dir).stg_customers
+    k = F.col("customer_id").cast("long")
+    v2 = (c.filter(k % 97 != 0)
+          .withColumn("email", F.when(k % 10 == 0, F.concat(F.lit("v2."), F.col("email")))
+                      .otherwise(F.col("email"))))
+    return _scd_runs(spark, c, v2, "customer_id", Warehouse.CUSTOMER_CHECK, "customers_scd")
+
+
+@register("scd2_products", SCD_PRODUCTS_SQL)
+def scd2_products(spark, sf_dir):
+    p = Warehouse(spark, sf_dir).stg_products
+    k = F.col("product_id").cast("long")
+    v2 = (p.filter(k % 97 != 0)
+          .withColumn("unit_price", F.when(k % 10 == 0, F.col("unit_price") + 10)
+                      .otherwise(F.col("unit_price")).cast(S.MONEY)))
+    return _scd_runs(spark, p, v2, "product_id", Warehouse.PRODUCT_CHECK, "products_scd")
+
+
+# ---- insert-if-absent, column sync, change gate, schema drift ------------
+@register("insert_ignore", with_ctes("SELECT * FROM stg_customers", "stg_customers"))
+def insert_ignore_query(spark, sf_dir):
+    """Seed two thirds of the customers, then replay a delta holding every
+    customer plus a conflicting copy of the new ones: existing keys are
+    ignored, the first copy (by column order) of a new key wins."""
+    c = Warehouse(spark, sf_dir).stg_customers
+    k = F.col("customer_id").cast("long")
+    seed = _persist(spark, c.filter(k % 3 != 0), "customers-seed")
+    dup = c.filter(k % 3 == 0).withColumn("first_name", F.lit("dup"))
+    return insert_ignore(seed, c.unionByName(dup), ["customer_id"])
+
+
+_SYNC_CUT = "1998-01-01"
+
+
+@register("schema_sync", with_ctes(f"""
+SELECT * REPLACE (CASE WHEN order_date < TIMESTAMP '{_SYNC_CUT} 00:00:00' THEN NULL ELSE is_stuck END AS is_stuck)
+FROM fct_orders""", "fct_orders"))
+def schema_sync(spark, sf_dir):
+    """Old target lacks ``is_stuck`` and carries an obsolete column; the new
+    batch has the current columns.  sync_all_columns: add the new column
+    (NULL for old rows), drop the removed one, then merge by key."""
+    f = Warehouse(spark, sf_dir).fct_orders
+    cut = F.lit(_SYNC_CUT).cast("timestamp")
+    old = _persist(spark, f.filter(F.col("order_date") < cut).drop("is_stuck")
+                   .withColumn("legacy_flag", F.lit(True)), "fct_orders-old-schema")
+    new = f.filter(F.col("order_date") >= cut)
+    synced = sync_columns(old, new.limit(0), "sync_all_columns")
+    return upsert(synced, new, ["order_id"])
+
+
+@register("change_gate", with_ctes(f"""
+SELECT 'orders' AS table_name, p.rows AS prev_rows, p.max_updated_at AS prev_max_updated_at,
+       c.rows AS cur_rows, c.max_updated_at AS cur_max_updated_at,
+       CASE WHEN p.rows = c.rows AND p.max_updated_at IS NOT DISTINCT FROM c.max_updated_at
+            THEN 'skip' ELSE 'run' END AS decision
+FROM (SELECT count(*) AS rows, max(updated_at) AS max_updated_at FROM stg_orders
+      WHERE updated_at < TIMESTAMP '{CUTOFF:%Y-%m-%d %H:%M:%S}') p,
+     (SELECT count(*) AS rows, max(updated_at) AS max_updated_at FROM stg_orders) c""", "stg_orders"))
+def change_gate(spark, sf_dir):
+    """Skip downstream work when the source is unchanged since the last run
+    (row count and high-water mark, both computed by Spark)."""
+    o = Warehouse(spark, sf_dir).stg_orders
+
+    def state(df):
+        return df.agg(F.count(F.lit(1)).alias("rows"), F.max("updated_at").alias("max_updated_at"))
+    prev = state(o.filter(F.col("updated_at") < F.lit(CUTOFF)))
+    cur = state(o)
+    j = prev.select(F.col("rows").alias("prev_rows"), F.col("max_updated_at").alias("prev_max_updated_at")) \
+        .crossJoin(cur.select(F.col("rows").alias("cur_rows"), F.col("max_updated_at").alias("cur_max_updated_at")))
+    same = (F.col("prev_rows") == F.col("cur_rows")) & F.col("prev_max_updated_at").eqNullSafe(
+        F.col("cur_max_updated_at"))
+    return j.select(F.lit("orders").alias("table_name"), "*",
+                    F.when(same, "skip").otherwise("run").alias("decision"))
+
+
+def _drift_sql():
+    return with_ctes("""
+SELECT 'orders' AS table_name, 'first_event_at' AS column_name, 'missing_in_warehouse' AS change,
+       'timestamp' AS source_type, CAST(NULL AS VARCHAR) AS warehouse_type,
+       count(first_event_at) AS non_null_values
+FROM raw_orders""", "raw_orders")
+
+
+@register("schema_drift", _drift_sql())
+def schema_drift(spark, sf_dir):
+    """Columns whose source and warehouse declarations differ, with the
+    number of values each difference affects (counted in one pass)."""
+    from quayside.operators.schema_ops import schema_diff
+    w = Warehouse(spark, sf_dir)
+    frames = []
+    for table, declared in S.SOURCE_SCHEMAS.items():
+        src = w.source(table)
+        wh_cols = S.WAREHOUSE_ORDER_COLUMNS if table == "orders" else [f.name for f in declared.fields]
+        warehouse = S.T.StructType([f for f in declared.fields if f.name in wh_cols])
+        diffs = schema_diff(warehouse, src.schema)
+        if not diffs:
+            continue
+        frames.append(src.agg(*[F.count(F.col(d["column_name"])).alias(f"n{i}") for i, d in enumerate(diffs)])
+                      .select(F.explode(F.array(*[
+                          F.struct(F.lit(table).alias("table_name"), F.lit(d["column_name"]).alias("column_name"),
+                                   F.lit(d["change"]).alias("change"),
+                                   F.lit(d["new_type"]).cast("string").alias("source_type"),
+                                   F.lit(d["old_type"]).cast("string").alias("warehouse_type"),
+                                   F.col(f"n{i}").alias("non_null_values"))
+                          for i, d in enumerate(diffs)])).alias("d")).select("d.*"))
+    from functools import reduce
+    return reduce(lambda a, b: a.unionByName(b), frames)
