@@ -1 +1,165 @@
-"""placeholder"""
+"""Registered CDC and streaming queries and their oracle SQL."""
+
+from __future__ import annotations
+
+import datetime as _dt
+
+from pyspark.sql import functions as F
+
+from quayside.oracle import models_sql  # noqa: F401
+from quayside.oracle.ctes import cte, with_ctes
+from quayside.operators.ranking import exact_median
+from quayside.plans.warehouse import Warehouse
+from quayside.registry import register
+from quayside.session import scratch_path
+from quayside.sources.testdata import read_table
+from quayside.streaming import cdc
+from quayside.streaming.jobs import VersionedTable, run_cdc_merge, run_dedup, run_events_daily
+
+ISO_SQL = "'%Y-%m-%dT%H:%M:%SZ'"
+MERGE_CUT = _dt.datetime(1998, 1, 1)
+
+
+def _feed(spark, sf_dir):
+    w = Warehouse(spark, sf_dir)
+    return cdc.build_feed(w.stg_orders, w.stg_order_events)
+
+
+def _changes(spark, sf_dir):
+    return cdc.good_changes(cdc.parse_envelope(_feed(spark, sf_dir)))
+
+
+cte("cdc_orders", "SELECT *, CAST(order_id AS BIGINT) AS k FROM stg_orders")
+cte("cdc_expected", f"""
+SELECT k * 10 AS kafka_offset, 'c' AS op, epoch_ms(order_date) AS ts_ms, order_id, CAST(NULL AS VARCHAR) AS before_state,
+       'placed' AS after_state, total_amount AS after_total_amount, order_date AS after_updated_at, false AS is_tombstone,
+       CAST(NULL AS VARCHAR) AS before_raw, strftime(order_date, {ISO_SQL}) AS after_raw, k
+FROM cdc_orders WHERE k % 200 <> 1
+UNION ALL
+SELECT k * 10 + 5, 'c', epoch_ms(order_date), order_id, NULL, 'placed', total_amount, order_date, false, NULL,
+       strftime(order_date, {ISO_SQL}), k
+FROM cdc_orders WHERE k % 70 = 3
+UNION ALL
+SELECT k * 10 + 8, 'd', epoch_ms(updated_at + INTERVAL 1 DAY), order_id, order_state, NULL, NULL, NULL, false,
+       strftime(updated_at, {ISO_SQL}), NULL, k
+FROM cdc_orders WHERE k % 100 = 0
+UNION ALL
+SELECT k * 10 + 9, NULL, NULL, order_id, NULL, NULL, NULL, NULL, true, NULL, NULL, k FROM cdc_orders WHERE k % 400 = 3
+UNION ALL
+SELECT o.k * 10 + CAST(split_part(e.event_id, '-', 2) AS BIGINT), 'u', epoch_ms(e.event_timestamp), e.order_id,
+       e.previous_state, e.new_state, o.total_amount, e.event_timestamp, false,
+       strftime(coalesce(lag(e.event_timestamp) OVER (PARTITION BY e.order_id ORDER BY e.event_timestamp, e.event_id),
+                         o.order_date), {ISO_SQL}),
+       strftime(e.event_timestamp, {ISO_SQL}), o.k
+FROM stg_order_events e JOIN cdc_orders o ON e.order_id = o.order_id
+""")
+cte("cdc_merged", """
+SELECT order_id, after_state AS order_state, after_total_amount AS total_amount, after_updated_at AS updated_at,
+       ts_ms AS _cdc_ts_ms, kafka_offset AS _cdc_offset
+FROM (SELECT *, row_number() OVER (PARTITION BY order_id ORDER BY ts_ms DESC, kafka_offset DESC) AS rn
+      FROM cdc_expected WHERE op IN ('c', 'u', 'r') AND NOT is_tombstone) t WHERE rn = 1
+""")
+
+PARSE_COLS = ["kafka_offset", "op", "ts_ms", "order_id", "before_state", "after_state", "after_total_amount",
+              "after_updated_at", "is_tombstone"]
+
+
+@register("cdc_parse", with_ctes(f"SELECT {', '.join(PARSE_COLS)} FROM cdc_expected", "cdc_expected"))
+def cdc_parse(spark, sf_dir):
+    return _changes(spark, sf_dir).select(*PARSE_COLS)
+
+
+@register("cdc_dead_letter", with_ctes("""
+SELECT 'retail.public.orders' AS topic, k * 10 AS kafka_offset, 'malformed_json' AS reason FROM cdc_orders WHERE k % 200 = 1
+UNION ALL
+SELECT 'retail.public.orders', k * 10 + 6, 'unknown_op' FROM cdc_orders WHERE k % 300 = 2""", "cdc_orders"))
+def cdc_dead_letter(spark, sf_dir):
+    return cdc.dead_letters(cdc.parse_envelope(_feed(spark, sf_dir))).drop("raw_value")
+
+
+@register("cdc_op_counts", with_ctes("""
+SELECT 'orders' AS table_name, op, count(*) AS events FROM cdc_expected WHERE NOT is_tombstone GROUP BY op""",
+                                     "cdc_expected"))
+def cdc_op_counts(spark, sf_dir):
+    c = _changes(spark, sf_dir).filter(~F.col("is_tombstone"))
+    return c.groupBy("table_name", "op").agg(F.count(F.lit(1)).alias("events"))
+
+
+@register("cdc_field_diff", with_ctes("""
+SELECT kafka_offset, order_id, 'order_state' AS field, before_state AS old_value, after_state AS new_value
+FROM cdc_expected WHERE op = 'u' AND before_state IS DISTINCT FROM after_state
+UNION ALL
+SELECT kafka_offset, order_id, 'updated_at', before_raw, after_raw
+FROM cdc_expected WHERE op = 'u' AND before_raw IS DISTINCT FROM after_raw""", "cdc_expected"))
+def cdc_field_diff(spark, sf_dir):
+    return cdc.field_diff(_changes(spark, sf_dir))
+
+
+@register("cdc_merge", with_ctes("SELECT * FROM cdc_merged", "cdc_merged"))
+def cdc_merge(spark, sf_dir):
+    """Streaming merge: the feed lands as two files (before / after a cut),
+    a file-source stream applies them in two micro-batches, then a second
+    stream with a fresh checkpoint replays everything: the target must not
+    change (at-least-once delivery + idempotent merge)."""
+    feed = _feed(spark, sf_dir)
+    path = scratch_path(spark, "cdc-feed")
+    cut = F.lit(MERGE_CUT)
+    feed.filter(F.col("kafka_timestamp") < cut).coalesce(1).write.mode("append").parquet(path)
+    feed.filter(F.col("kafka_timestamp") >= cut).coalesce(1).write.mode("append").parquet(path)
+    table = VersionedTable(spark, "cdc-orders")
+    run_cdc_merge(spark, path, table, scratch_path(spark, "cdc-ckpt"))
+    run_cdc_merge(spark, path, table, scratch_path(spark, "cdc-ckpt-replay"), max_files=10)
+    return table.read()
+
+
+@register("cdc_reconcile", with_ctes("""
+SELECT * FROM (
+  SELECT coalesce(o.order_id, m.order_id) AS order_id, m.order_state AS cdc_state, o.order_state AS loaded_state,
+         CASE WHEN m.order_state IS NULL THEN 'missing_in_cdc' WHEN o.order_state IS NULL THEN 'missing_in_table'
+              WHEN m.order_state <> o.order_state THEN 'state_mismatch' END AS issue
+  FROM stg_orders o FULL OUTER JOIN cdc_merged m ON o.order_id = m.order_id) t
+WHERE issue IS NOT NULL""", "cdc_merged", "stg_orders"))
+def cdc_reconcile(spark, sf_dir):
+    merged = cdc.merge_batch(None, _changes(spark, sf_dir))
+    return cdc.reconcile(merged, Warehouse(spark, sf_dir).stg_orders)
+
+
+@register("cdc_lag", with_ctes("""
+SELECT min(lag_ms) AS min_lag_ms, median(CAST(lag_ms AS DOUBLE)) AS median_lag_ms, max(lag_ms) AS max_lag_ms
+FROM (SELECT (k % 7) * 1000 AS lag_ms FROM cdc_expected WHERE ts_ms IS NOT NULL) t""", "cdc_expected"))
+def cdc_lag(spark, sf_dir):
+    c = _changes(spark, sf_dir).filter(F.col("ts_ms").isNotNull())
+    lag = c.select((F.unix_millis("kafka_timestamp") - F.col("ts_ms")).alias("lag_ms"))
+    mm = lag.agg(F.min("lag_ms").alias("min_lag_ms"), F.max("lag_ms").alias("max_lag_ms"))
+    return mm.crossJoin(exact_median(lag, "lag_ms", "median_lag_ms"))
+
+
+@register("cdc_wire_header", with_ctes("""
+SELECT kafka_offset, 0 AS magic_byte, 1 AS schema_id, true AS payload_ok FROM cdc_expected WHERE NOT is_tombstone
+UNION ALL SELECT k * 10, 0, 1, true FROM cdc_orders WHERE k % 200 = 1
+UNION ALL SELECT k * 10 + 6, 0, 1, true FROM cdc_orders WHERE k % 300 = 2""", "cdc_expected", "cdc_orders"))
+def cdc_wire_header(spark, sf_dir):
+    return cdc.parse_wire(cdc.frame_wire(_feed(spark, sf_dir)))
+
+
+# ---- event streams ---------------------------------------------------------
+@register("stream_events_daily", """
+SELECT CAST(date_trunc('day', ts) AS TIMESTAMP) AS window_start,
+       CAST(date_trunc('day', ts) AS TIMESTAMP) + INTERVAL 1 DAY AS window_end,
+       event_type, count(*) AS events
+FROM events GROUP BY 1, 2, 3""")
+def stream_events_daily(spark, sf_dir):
+    path = f"{sf_dir.rstrip('/')}/events.parquet"
+    read_table(spark, sf_dir, "events")   # pins the session to UTC
+    table = VersionedTable(spark, "events-daily")
+    run_events_daily(spark, path, table, scratch_path(spark, "events-daily-ckpt"))
+    return table.read()
+
+
+@register("stream_dedup", "SELECT event_id, ts, user_id, event_type, value FROM events")
+def stream_dedup(spark, sf_dir):
+    path = f"{sf_dir.rstrip('/')}/events.parquet"
+    read_table(spark, sf_dir, "events")
+    sink = scratch_path(spark, "events-dedup")
+    run_dedup(spark, path, sink, scratch_path(spark, "events-dedup-ckpt"))
+    return spark.read.parquet(sink)

@@ -1 +1,58 @@
-"""placeholder"""
+"""Registered load/export round trips over data Spark derives from the tables."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from quayside.oracle import models_sql  # noqa: F401
+from quayside.oracle.ctes import with_ctes
+from quayside.plans.warehouse import Warehouse
+from quayside.registry import register
+from quayside.session import scratch_path
+from quayside.sources import files
+from quayside.sources import schemas as S
+
+
+@register("load_csv_nulls", with_ctes("""
+SELECT customer_id,
+       CASE WHEN CAST(customer_id AS BIGINT) % 11 = 0 THEN first_name || ', "Jr"' ELSE first_name END AS first_name,
+       CASE WHEN CAST(customer_id AS BIGINT) % 7 IN (0, 1, 2) THEN NULL ELSE last_name END AS last_name,
+       email, address_id, created_at
+FROM stg_customers""", "stg_customers"))
+def load_csv_nulls(spark, sf_dir):
+    """Export customers as CSV with the three NULL tokens and quoted commas /
+    quotes planted, then load it back with the declared schema."""
+    c = Warehouse(spark, sf_dir).stg_customers
+    k = F.col("customer_id").cast("long")
+    tokens = (F.when(k % 7 == 0, F.lit("")).when(k % 7 == 1, F.lit("NULL")).when(k % 7 == 2, F.lit("null"))
+              .otherwise(F.col("last_name")))
+    planted = (c.withColumn("last_name", tokens)
+               .withColumn("first_name", F.when(k % 11 == 0, F.concat(F.col("first_name"), F.lit(', "Jr"')))
+                           .otherwise(F.col("first_name"))))
+    path = scratch_path(spark, "customers-csv")
+    files.write_csv(planted, path)
+    return files.read_csv(spark, path, S.CUSTOMERS)
+
+
+@register("load_parquet_typed", with_ctes("SELECT * FROM stg_orders", "stg_orders"))
+def load_parquet_typed(spark, sf_dir):
+    """Orders exported with loose types (money as double, times as text) and
+    loaded back by casting each column to the warehouse DDL."""
+    o = Warehouse(spark, sf_dir).stg_orders
+    loose = o.select([F.col(c).cast("double").alias(c) if t.startswith("decimal")
+                      else F.date_format(c, "yyyy-MM-dd HH:mm:ss").alias(c) if t == "timestamp"
+                      else F.col(c) for c, t in o.dtypes])
+    path = scratch_path(spark, "orders-export")
+    loose.write.mode("overwrite").parquet(path)
+    declared = S.T.StructType([f for f in S.ORDERS.fields if f.name in S.WAREHOUSE_ORDER_COLUMNS])
+    return files.read_parquet_typed(spark, path, declared)
+
+
+@register("load_hive_partitions", with_ctes("SELECT * FROM stg_order_events", "stg_order_events"))
+def load_hive_partitions(spark, sf_dir):
+    """Order events exported as year=/month= partitions and bulk-loaded back
+    (partition columns are folder names, not table columns)."""
+    e = Warehouse(spark, sf_dir).stg_order_events
+    path = scratch_path(spark, "order-events-hive")
+    files.write_partitioned(e, path, "event_timestamp")
+    return files.read_partitioned(spark, path)
