@@ -101,3 +101,35 @@ SELECT {_mo('order_date')} AS metric_time__month,
          / nullif(CAST(count(order_id) AS DOUBLE), 0) AS return_rate,
        count(order_id) AS order_count, sum(total_amount) AS revenue
 FROM fct_orders GROUP BY 1""", needs=("fct_orders",))
+
+
+# ---- exposures -------------------------------------------------------------
+from quayside.plans import semantic as _sem  # noqa: E402
+
+register("revenue_dashboard", with_ctes("""
+SELECT d.week_start_date, count(f.order_id) AS orders, sum(f.total_amount) AS revenue,
+       CAST(sum(f.total_amount) AS DOUBLE) / nullif(CAST(count(f.order_id) AS DOUBLE), 0) AS aov,
+       CAST(sum(CASE WHEN f.is_returned THEN 1 ELSE 0 END) AS DOUBLE) / nullif(CAST(count(f.order_id) AS DOUBLE), 0) AS return_rate,
+       CAST(count(CASE WHEN f.is_on_time THEN 1 END) AS DOUBLE) / nullif(CAST(count(f.is_on_time) AS DOUBLE), 0) AS on_time_share
+FROM fct_orders f LEFT JOIN dim_date d ON f.order_date_day = d.date_day
+GROUP BY d.week_start_date""", "fct_orders", "dim_date"))(
+    lambda spark, sf_dir: _sem.revenue_dashboard(Warehouse(spark, sf_dir)))
+
+register("payment_health", with_ctes("""
+SELECT c.customer_segment, count(p.payment_id) AS payments,
+       CAST(count(p.authorization_date) AS DOUBLE) / nullif(CAST(count(p.payment_id) AS DOUBLE), 0) AS authorization_rate,
+       CAST(sum(p.hours_to_capture) AS DOUBLE) / nullif(CAST(count(p.hours_to_capture) AS DOUBLE), 0) AS avg_hours_to_capture,
+       count(CASE WHEN p.is_failed THEN 1 END) AS failures, count(CASE WHEN p.is_refunded THEN 1 END) AS refunds,
+       sum(CASE WHEN p.is_refunded THEN p.payment_amount END) AS refunded_amount
+FROM fct_payments p LEFT JOIN dim_customers c ON p.customer_id = c.customer_id
+GROUP BY c.customer_segment""", "fct_payments", "dim_customers"))(
+    lambda spark, sf_dir: _sem.payment_health(Warehouse(spark, sf_dir)))
+
+register("return_rate_by_segment", with_ctes("""
+SELECT c.customer_segment AS customer__customer_segment,
+       CAST(sum(CASE WHEN f.is_returned THEN 1 ELSE 0 END) AS DOUBLE) / nullif(CAST(count(f.order_id) AS DOUBLE), 0) AS return_rate,
+       CAST(sum(CASE WHEN f.is_returned THEN 1 ELSE 0 END) AS BIGINT) AS returned_orders,
+       count(f.order_id) AS order_count
+FROM fct_orders f LEFT JOIN dim_customers c ON f.customer_id = c.customer_id
+GROUP BY 1""", "fct_orders", "dim_customers"))(
+    lambda spark, sf_dir: _sem.return_rate_by_segment(Warehouse(spark, sf_dir)))

@@ -255,3 +255,48 @@ def publish_views(warehouse) -> list[str]:
         saved_query(warehouse, name).createOrReplaceTempView(name)
         names.append(name)
     return names
+
+
+# ---- exposures: report marts over the facts and dimensions ----------------
+def revenue_dashboard(w) -> DataFrame:
+    """Weekly revenue, orders, AOV, return rate and on-time share (facts x calendar).
+    The calendar side is one row per day, so the join is against a table
+    bounded by the date range; AQE broadcasts it from its runtime size."""
+    f = w.fct_orders.select("order_date_day", "order_id", "total_amount", "is_returned", "is_on_time")
+    d = w.dim_date().select(F.col("date_day").alias("order_date_day"), "week_start_date")
+    g = f.join(d, "order_date_day", "left").groupBy("week_start_date").agg(
+        F.count("order_id").alias("orders"), F.sum("total_amount").alias("revenue"),
+        F.sum(F.when(F.col("is_returned"), 1).otherwise(0)).alias("returned_orders"),
+        F.count(F.when(F.col("is_on_time"), 1)).alias("on_time"),
+        F.count("is_on_time").alias("delivered"))
+    return g.select("week_start_date", "orders", "revenue",
+                    (F.col("revenue").cast("double") / F.nullif(F.col("orders").cast("double"), F.lit(0.0))).alias("aov"),
+                    (F.col("returned_orders").cast("double") / F.nullif(F.col("orders").cast("double"), F.lit(0.0)))
+                    .alias("return_rate"),
+                    (F.col("on_time").cast("double") / F.nullif(F.col("delivered").cast("double"), F.lit(0.0)))
+                    .alias("on_time_share"))
+
+
+def payment_health(w) -> DataFrame:
+    """Authorization rate, capture latency, failures and refunds by customer segment."""
+    p = w.fct_payments.select("customer_id", "payment_id", "authorization_date", "hours_to_capture",
+                              "is_failed", "is_refunded", "payment_amount")
+    c = w.dim_customers.select("customer_id", "customer_segment")
+    g = p.join(c, "customer_id", "left").groupBy("customer_segment").agg(
+        F.count("payment_id").alias("payments"),
+        F.count("authorization_date").alias("authorized"),
+        F.sum("hours_to_capture").alias("capture_hours"), F.count("hours_to_capture").alias("captured"),
+        F.count(F.when(F.col("is_failed"), 1)).alias("failures"),
+        F.count(F.when(F.col("is_refunded"), 1)).alias("refunds"),
+        F.sum(F.when(F.col("is_refunded"), F.col("payment_amount"))).alias("refunded_amount"))
+    return g.select("customer_segment", "payments",
+                    (F.col("authorized").cast("double") / F.nullif(F.col("payments").cast("double"), F.lit(0.0)))
+                    .alias("authorization_rate"),
+                    (F.col("capture_hours").cast("double") / F.nullif(F.col("captured").cast("double"), F.lit(0.0)))
+                    .alias("avg_hours_to_capture"),
+                    "failures", "refunds", "refunded_amount")
+
+
+def return_rate_by_segment(w) -> DataFrame:
+    return SemanticLayer(w).query(["return_rate", "returned_orders", "order_count"],
+                                  ["customer__customer_segment"])
