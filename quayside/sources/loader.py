@@ -25,7 +25,7 @@ from quayside.sources import schemas as S
 from quayside.sources.adapter import RetailSource, conform
 
 _LOCK = threading.Lock()
-_LOADED: dict[tuple, dict[str, str]] = {}
+_LOADED: dict[tuple, dict[str, DataFrame]] = {}
 
 
 def _fingerprint(sf_dir: str) -> tuple:
@@ -43,15 +43,16 @@ def _fingerprint(sf_dir: str) -> tuple:
 def load_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), _fingerprint(sf_dir))
     with _LOCK:
-        paths = _LOADED.get(key)
-        if paths is None:
+        tables = _LOADED.get(key)
+        if tables is None:
             src = RetailSource(spark, sf_dir)
             base = scratch_path(spark, "retail-sources")
-            paths = {}
+            tables = {}
             for name, schema in S.SOURCE_SCHEMAS.items():
                 path = f"{base}/{name}"
                 (conform(src.table(name), schema).write.mode("overwrite")
                  .option("maxRecordsPerFile", 5_000_000).parquet(path))
-                paths[name] = path
-            _LOADED[key] = paths
-    return {name: conform(spark.read.parquet(p), S.SOURCE_SCHEMAS[name]) for name, p in paths.items()}
+                # the read (file listing + footer schema) is done once per session
+                tables[name] = conform(spark.read.parquet(path), schema)
+            _LOADED[key] = tables
+    return dict(tables)
