@@ -45,6 +45,7 @@ COMMON = 8          # common: held by this many sampled nodes; so at most K * SA
 BLOCK = 4_000       # nodes of a block
 BLOCK_BYTES = 24 << 20
 CACHED = 16_384     # hashes worked on at a time
+SIGNED_AT_ONCE = 256    # texts whose shingle sets are held at a time
 
 _A = mix64(np.arange(1, K + 1, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93)) | np.uint64(1)
 _B = mix64(np.arange(1, K + 1, dtype=np.uint64) * np.uint64(0xA0761D6478BD642F))
@@ -75,13 +76,15 @@ def _signatures(sets: list[np.ndarray]) -> list[bytes]:
 def _sign(width: int) -> Callable:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         memo = WordHash()
-        for b in batches:
-            sets = [shingle_set(text, width, memo) for text in b["text"]]
-            sigs = iter(_signatures([s for s in sets if len(s)]))
-            yield pd.DataFrame({
-                "doc_id": b["doc_id"], "th": b["th"], "n": [len(s) for s in sets],
-                "node": [xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets],
-                "sig": [next(sigs) if len(s) else None for s in sets]})
+        for batch in batches:
+            for i in range(0, len(batch), SIGNED_AT_ONCE):
+                b = batch.iloc[i:i + SIGNED_AT_ONCE]
+                sets = [shingle_set(text, width, memo) for text in b["text"]]
+                sigs = iter(_signatures([s for s in sets if len(s)]))
+                yield pd.DataFrame({
+                    "doc_id": list(b["doc_id"]), "th": list(b["th"]), "n": [len(s) for s in sets],
+                    "node": [xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets],
+                    "sig": [next(sigs) if len(s) else None for s in sets]})
     return run
 
 

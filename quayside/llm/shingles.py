@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 import xxhash
 
-MEMO_WORDS = 400_000
+MEMO_WORDS = 200_000
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
