@@ -12,19 +12,24 @@ from quayside.session import scratch_path
 #: Rows of a small side that may be broadcast; callers count before they hint.
 BROADCAST_ROWS = 100_000
 
+#: Texts differ in length by orders of magnitude: batches sent to Python workers
+#: are bounded by bytes, and by fewer rows than Spark's default.
+BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000", "spark.sql.execution.arrow.maxBytesPerBatch": "8m"}
+
 #: A word: a run of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 
 
 def on_workers(spark: SparkSession) -> SparkSession:
-    """Let Python workers import this package from where the driver has it.  On a
-    cluster whose executors have it installed, or got it by --py-files, this
-    changes nothing."""
+    """Bound the batches of Python workers, and let these import this package from
+    where the driver has it (no change where executors have it installed)."""
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     env = spark.sparkContext.environment
     paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
     if root not in paths:
         env["PYTHONPATH"] = os.pathsep.join([*paths, root])
+    for k, v in BATCHES.items():
+        spark.conf.set(k, v)
     return spark
 
 

@@ -30,7 +30,7 @@ MAX_GRAMS = 40_000
 MAX_GRAM = 4
 SMOOTH = 0.5
 UNKNOWN = "und"
-MEMO_WORDS = 300_000
+MEMO_WORDS = 100_000
 CHUNK = 100_000        # words scored at a time
 
 #: A word is a run of letters (of any script).
