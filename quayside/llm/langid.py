@@ -25,8 +25,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 SAMPLE_ROWS = 20_000
-MAX_WORDS = 60_000
-MAX_GRAMS = 40_000
+MAX_WORDS = 30_000
+MAX_GRAMS = 20_000
 MAX_GRAM = 4
 SMOOTH = 0.5
 UNKNOWN = "und"
