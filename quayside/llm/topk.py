@@ -6,10 +6,11 @@ quantised component value, the posting segment of the rows with that value.
 
 For a query the segments are processed by descending impact, the most their
 product with the query can add over the least that dimension can give.  Rows
-accumulate certain gains, so after each round a row lies between its gain and
-its gain plus the slack of quantisation plus what the unprocessed dimensions
-can still add.  Processing stops when few rows can still reach the k-th largest
-certain score; all of these are rescored exactly.  Nothing is stopped without
+accumulate certain gains, so after each round a row can reach its gain plus the
+slack of quantisation plus what the unprocessed dimensions can still add.  The
+k rows that can reach most are scored exactly; a row that cannot reach the least
+of these scores is proven out.  Processing stops when few rows are left in; all
+of them are rescored exactly.  Nothing is stopped without
 that proof, and a round too many only costs time.
 
 Every query block meets every index block once, as one row of a join; a block
@@ -31,7 +32,9 @@ from quayside.llm.common import stored
 BLOCK = 4_096
 QUERY_BLOCK = 1_024
 LEVELS = 32         # quantised values on either side of 0
-ROUNDS = 8
+ROUNDS = (0.4, 0.5, 0.6, 0.7, 0.85, 1.0)     # parts of the postings after which to look for a proof
+STOP = 2            # rescore once at most 1 / STOP of a block's rows can be members
+ONE = 2.0 ** 40     # above all gains of a row; 2**13 dimensions times this are exact in a double
 _BIG = 2.0 ** 31    # beyond it components and sums are held as Python integers
 
 
@@ -53,10 +56,11 @@ class Index:
     def __init__(self, ids: np.ndarray, v: np.ndarray):
         self.ids, self.v = ids, v
         n, d = v.shape
-        self.segments = v.dtype != object and v.size > 0
+        self.segments = v.dtype != object and 0 < v.size < 1 << 31 and d < 1 << 12
         if not self.segments:
             return
-        self.step = max(1, -(-int(np.abs(v).max()) // LEVELS))
+        self.most = float(np.abs(v).max())
+        self.step = max(1, -(-int(self.most) // LEVELS))
         u = np.floor_divide(v, self.step) + (LEVELS + 1)
         keys = (np.arange(d) * (2 * LEVELS + 2) + u).T.ravel()
         order = np.argsort(keys, kind="stable")
@@ -75,31 +79,39 @@ class Index:
         base = np.full(d, np.iinfo(np.int64).max)
         np.minimum.at(base, self.dim, least)
         gain, impact = least - base[self.dim], most - base[self.dim]
+        peak = np.zeros(d, np.int64)
+        np.maximum.at(peak, self.dim, impact)
         slack = int(np.abs(q).sum()) * (self.step - 1)
         order = np.argsort(-impact, kind="stable")
         size = np.diff(self.start)
         upto = np.cumsum(size[order])
         total = np.zeros(n)
-        done = np.zeros(n, np.int64)
+        done = np.zeros(n)
+        # a posting adds its gain and, far above all gains, one processed dimension
+        worth = gain + ONE
         lo = 0
-        for r in range(1, ROUNDS + 1):
-            hi = int(np.searchsorted(upto, upto[-1] * r // ROUNDS, side="right")) if r < ROUNDS else len(order)
+        for part in ROUNDS:
+            hi = int(np.searchsorted(upto, upto[-1] * part, side="right")) if part < 1 else len(order)
             seg = order[lo:hi]
             lo = max(lo, hi)
             if len(seg):
                 ln = size[seg]
-                at = np.arange(ln.sum()) + np.repeat(self.start[seg] - (np.cumsum(ln) - ln), ln)
-                rows = self.rows[at]
-                total += np.bincount(rows, np.repeat(gain[seg], ln), n)
-                done += np.bincount(rows, minlength=n)
+                at = np.arange(ln.sum(), dtype=np.int32) + np.repeat((self.start[seg] - (np.cumsum(ln) - ln)).astype(np.int32), ln)
+                added = np.bincount(self.rows[at], np.repeat(worth[seg], ln), n)
+                dims = np.floor(added / ONE)
+                done += dims
+                total += added - dims * ONE
             ahead = impact[order[lo]] if lo < len(order) else 0
-            sure = total.copy()
-            sure[own] = -1.0
-            bar = np.partition(sure, n - k)[n - k] if n > k else -1.0
-            can = total + slack + ahead * (d - done) >= bar
-            can[own] = False
-            left = np.flatnonzero(can)
-            if len(left) <= max(8 * k, n // 64):
+            # what a row's unprocessed dimensions can add: each at most min(ahead, its own most),
+            # and a dimension is processed for a row only where its most is not below ahead
+            most_left = np.minimum(ahead, peak).sum() - ahead * done
+            reach = total + slack + most_left
+            reach[own] = -np.inf
+            # the k-th best exact score of the rows ahead so far: no row below it is among the best
+            tried = np.argpartition(-reach, k)[:k]
+            bar = (self.v[tried] @ q).min() - base.sum()
+            left = np.flatnonzero(reach >= bar)
+            if len(left) <= n // STOP:
                 break
         return left
 
@@ -107,11 +119,12 @@ class Index:
         own = np.flatnonzero(self.ids == query_id)
         q = q[:self.v.shape[1]]
         v = self.v[:, :len(q)]
-        if self.segments and q.dtype != object and len(q) == self.v.shape[1] and len(self.ids) - len(own) > k:
+        held = self.segments and q.dtype != object and float(np.abs(q).max(initial=0)) * self.most * len(q) < ONE / 8
+        if held and len(q) == self.v.shape[1] and len(self.ids) - len(own) > k:
             rows = self.members(q, k, own)
         else:
             rows = np.setdiff1d(np.arange(len(self.ids)), own)
-        score = (v[rows] * q).sum(axis=1) if len(q) else np.zeros(len(rows), np.int64)
+        score = v[rows] @ q if len(q) else np.zeros(len(rows), np.int64)
         if score.dtype == object:
             best = sorted(range(len(rows)), key=lambda i: (-score[i], self.ids[rows[i]]))[:k]
         else:
