@@ -28,8 +28,18 @@ from pyspark.sql import functions as F
 
 SAMPLE_PAGES = 2_000
 MAX_FEATURES = 5_000
-PRIOR = 40.0            # pseudo-counts of a listed word
 THRESHOLD = 0.5
+#: The most that one learned feature adds to the log odds of a node.
+MOST = 3.0
+#: Log odds of parts that name themselves: stronger than any number of children
+#: can outweigh in practice, weaker for forms (some pages are one form) and for
+#: parts that call themselves content.
+NAMED = {"named other": -200.0, "named form": -8.0, "named content": 6.0}
+#: Log odds against the page as a whole being content.
+ROOT = 3.0
+#: Pseudo-counts of keeping and of leaving the parent's label, by kind of child:
+#: texts and inline elements, paragraphs and the like, containers.
+KINDS = {"text": (50.0, 0.01), "leaf": (50.0, 0.05), "container": (50.0, 2.0)}
 
 #: HTML's void and raw-text elements, those that end a paragraph,
 #: and words that name parts of a page.
@@ -39,8 +49,11 @@ BLOCKS = frozenset("address article aside blockquote body br button caption cent
                    "figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hr html legend li main menu nav ol p pre "
                    "section summary table tbody td tfoot th thead tr ul".split())
 SKIPPED = frozenset("script style textarea title noscript template iframe svg math select option datalist object head button".split())
-OTHER_TAGS = frozenset("nav aside footer header form menu dialog button label input fieldset".split())
-CONTENT_TAGS = frozenset("article main p h1 h2 h3 h4 blockquote pre figure".split())
+OTHER_TAGS = frozenset("nav aside footer header menu dialog button label fieldset".split())
+CONTENT_TAGS = frozenset("article main".split())
+WHOLE_TAGS = frozenset("html body article main".split())
+CONTAINERS = frozenset("address article aside body center details dialog div fieldset footer form header html main menu nav section "
+                       "table tbody td tr ul ol".split())
 OTHER_WORDS = frozenset("ad ads adv advert advertisement advertising sponsor sponsored promo promotion banner nav navbar navigation "
                         "menu breadcrumb breadcrumbs header masthead footer foot sidebar side aside related share social widget "
                         "comment comments reply replies disqus cookie cookies consent notice notices alert popup modal overlay "
@@ -55,20 +68,24 @@ _RAW_END = {t: re.compile(rf"</{t}(?=[\s/>]|\Z)", re.I) for t in RAW}
 
 
 class Node:
-    __slots__ = ("tag", "parent", "features", "text", "kids", "named")
+    """An element (``text`` is None) or a text; ``named``: what it says it is, if anything."""
+
+    __slots__ = ("tag", "parent", "features", "text", "named", "kind")
 
     def __init__(self, tag: str, parent: int, features: tuple, text: str | None = None, named: bool | None = None):
         self.tag, self.parent, self.features, self.text, self.named = tag, parent, features, text, named
-        self.kids = 0
+        self.kind = "container" if tag in CONTAINERS else "leaf" if tag in BLOCKS else "text"
 
 
 def _features(tag: str, attributes: str) -> tuple[tuple, bool | None]:
     words = set()
     for m in _ATTRIBUTE.finditer(attributes):
         words.update(_WORD.findall((m[2] or m[3] or m[4] or "").lower()))
-    other = tag in OTHER_TAGS or not words.isdisjoint(OTHER_WORDS)
-    named = False if other else True if tag in ("article", "main") else None
-    return (f"tag {tag}", *(f"word {w}" for w in sorted(words))), named
+    content = tag in CONTENT_TAGS or not words.isdisjoint(CONTENT_WORDS)
+    other = tag in OTHER_TAGS or (tag not in WHOLE_TAGS and not content and not words.isdisjoint(OTHER_WORDS))
+    says = ("named other",) if other else ("named form",) if tag == "form" else ("named content",) if content else ()
+    named = False if says and says[0] != "named content" else True if tag in CONTENT_TAGS else None
+    return (f"tag {tag}", *says, *(f"word {w}" for w in sorted(words))), named
 
 
 def parse(page: str | None) -> list[Node]:
@@ -156,40 +173,29 @@ def labels(nodes: list[Node]) -> list[bool] | None:
 
 
 class Model:
-    """Log potentials: ``emit[feature] = (other, content)``, ``pair[parent][child]``."""
-
-    def __init__(self, counts: dict[tuple[str, bool], float], pairs: dict[tuple[bool, bool], float]):
-        seen: Counter = Counter()
-        for words, label in ((OTHER_WORDS, False), (CONTENT_WORDS, True)):
-            for w in words:
-                seen[f"word {w}", label] += PRIOR
-        for tags, label in ((OTHER_TAGS, False), (CONTENT_TAGS, True)):
-            for t in tags:
-                seen[f"tag {t}", label] += PRIOR
-        for k, v in counts.items():
-            seen[k] += v
-        total = [1.0 + sum(v for (_, y), v in seen.items() if y == label) for label in (False, True)]
-        names = {f for f, _ in seen}
-        self.emit = {f: tuple(math.log((seen[f, y] + 0.5) / (total[y] + 0.5 * len(names))) for y in (False, True)) for f in names}
-        # labels run in the family: as many pseudo-counts for staying as is
-        kept = {(x, y): pairs.get((x, y), 0.0) + (50.0 if x == y else 2.0) for x in (False, True) for y in (False, True)}
-        self.pair = tuple(tuple(math.log(kept[x, y] / (kept[x, False] + kept[x, True])) for y in (False, True)) for x in (False, True))
+    """Potentials in log odds: ``emit[feature]``, and by kind of child
+    ``pair[kind][label of the parent][label of the child]`` as log probabilities."""
+
+    def __init__(self, counts: dict[tuple[str, bool], float], pairs: dict[tuple[str, bool, bool], float]):
+        total = [1.0 + sum(v for (f, y), v in counts.items() if f.startswith("tag ") and y == label) for label in (False, True)]
+        self.emit = dict(NAMED)
+        for f in {f for f, _ in counts} - set(NAMED):
+            share = [(counts.get((f, y), 0.0) + 0.5) / (total[y] + 1.0) for y in (False, True)]
+            self.emit[f] = max(-MOST, min(MOST, math.log(share[1] / share[0])))
+        self.pair = {}
+        for kind, (stay, leave) in KINDS.items():
+            n = {(x, y): pairs.get((kind, x, y), 0.0) + (stay if x == y else leave) for x in (False, True) for y in (False, True)}
+            self.pair[kind] = tuple(tuple(math.log(n[x, y] / (n[x, False] + n[x, True])) for y in (False, True)) for x in (False, True))
 
     def marginals(self, nodes: list[Node]) -> list[float]:
         """P(content) of every node: sum-product upward, then downward."""
-        (oo, oc), (co, cc) = self.pair
         n = len(nodes)
-        # clamp the root: a page as a whole is not content
-        up_o, up_c = [0.0] * n, [0.0] * n
-        for i, x in enumerate(nodes):
-            for f in x.features:
-                e = self.emit.get(f)
-                if e:
-                    up_o[i] += e[0]
-                    up_c[i] += e[1]
-        up_c[0] -= 3.0
+        up_o = [0.0] * n
+        up_c = [sum(self.emit.get(f, 0.0) for f in x.features) for x in nodes]
+        up_c[0] -= ROOT
         msg_o, msg_c = [0.0] * n, [0.0] * n
         for i in range(n - 1, 0, -1):
+            (oo, oc), (co, cc) = self.pair[nodes[i].kind]
             o, c = up_o[i], up_c[i]
             msg_o[i], msg_c[i] = _add(oo + o, oc + c), _add(co + o, cc + c)
             p = nodes[i].parent
@@ -199,6 +205,7 @@ class Model:
         out = [0.0] * n
         for i in range(n):
             if i:
+                (oo, oc), (co, cc) = self.pair[nodes[i].kind]
                 p = nodes[i].parent
                 o = down_o[p] + up_o[p] - msg_o[i]
                 c = down_c[p] + up_c[p] - msg_c[i]
@@ -231,12 +238,12 @@ def fit(pages: DataFrame, html_col: str = "html", sample_pages: int = SAMPLE_PAG
                 for i, x in enumerate(nodes[1:], 1):
                     for f in x.features:
                         c[f, got[i]] += 1
-                    c[f"pair {got[x.parent]}", got[i]] += 1
+                    c[f"pair {x.kind} {got[x.parent]}", got[i]] += 1
             yield pd.DataFrame({"feature": [f for f, _ in c], "label": [y for _, y in c], "n": list(c.values())})
 
     sums = (some.mapInPandas(count, "feature string, label boolean, n long").groupBy("feature", "label").agg(F.sum("n").alias("n"))
             .orderBy(F.col("n").desc(), "feature", "label").limit(MAX_FEATURES).collect())
-    pairs = {(r.feature == "pair True", r.label): float(r.n) for r in sums if r.feature.startswith("pair ")}
+    pairs = {(r.feature.split()[1], r.feature.endswith("True"), r.label): float(r.n) for r in sums if r.feature.startswith("pair ")}
     return Model({(r.feature, r.label): float(r.n) for r in sums if not r.feature.startswith("pair ")}, pairs)
 
 

@@ -48,7 +48,7 @@ PATTERNS = (
     ("ip", re.compile(r"(?<![\w.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\w]|\.\d)")),
     ("card", re.compile(r"(?<![\w-])\d{4}(?:[ -]?\d{4}){2}[ -]?\d{1,7}(?![\w-])")),
     ("ssn", re.compile(r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])")),
-    ("phone", re.compile(r"(?<![\w(+])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{2,4}[ .-])\d{3,4}[ .-]?\d{3,4}(?!\w)")),
+    ("phone", re.compile(r"(?<![\w(+])(?<!\d[ .-])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{2,4}[ .-])\d{3,4}[ .-]?\d{3,4}(?!\w|[ .-]\d)")),
 )
 _NAME = re.compile(r"(?<!\w)(" + "|".join(sorted(TITLES, key=len, reverse=True)) + r")(\.? )([^\W\d_a-zа-я][\w’'-]{1,30}(?: [^\W\d_a-zа-я][\w’'-]{1,30})?)")
 _ANY_DIGIT = re.compile(r"[0-9@]|AKIA|password=")
