@@ -37,9 +37,10 @@ MOST = 3.0
 NAMED = {"named other": -200.0, "named form": -8.0, "named content": 6.0}
 #: Log odds against the page as a whole being content.
 ROOT = 3.0
-#: Pseudo-counts of keeping and of leaving the parent's label, by kind of child:
-#: texts and inline elements, paragraphs and the like, containers.
-KINDS = {"text": (50.0, 0.01), "leaf": (50.0, 0.05), "container": (50.0, 2.0)}
+#: Pseudo-counts by kind of child (texts and inline elements, paragraphs and the
+#: like, containers): of keeping the parent's label, of becoming content, and of
+#: ceasing to be content, which takes a part that names itself.
+KINDS = {"text": (50.0, 0.01, 0.01), "leaf": (50.0, 0.05, 0.01), "container": (50.0, 2.0, 0.01)}
 
 #: HTML's void and raw-text elements, those that end a paragraph,
 #: and words that name parts of a page.
@@ -183,8 +184,8 @@ class Model:
             share = [(counts.get((f, y), 0.0) + 0.5) / (total[y] + 1.0) for y in (False, True)]
             self.emit[f] = max(-MOST, min(MOST, math.log(share[1] / share[0])))
         self.pair = {}
-        for kind, (stay, leave) in KINDS.items():
-            n = {(x, y): pairs.get((kind, x, y), 0.0) + (stay if x == y else leave) for x in (False, True) for y in (False, True)}
+        for kind, (stay, enter, leave) in KINDS.items():
+            n = {(x, y): pairs.get((kind, x, y), 0.0) + (stay if x == y else enter if y else leave) for x in (False, True) for y in (False, True)}
             self.pair[kind] = tuple(tuple(math.log(n[x, y] / (n[x, False] + n[x, True])) for y in (False, True)) for x in (False, True))
 
     def marginals(self, nodes: list[Node]) -> list[float]:
@@ -235,8 +236,10 @@ def fit(pages: DataFrame, html_col: str = "html", sample_pages: int = SAMPLE_PAG
                 got = labels(nodes)
                 if got is None:
                     continue
+                inner = [False] * len(nodes)    # inside a part that named itself: its nodes tell nothing of their own
                 for i, x in enumerate(nodes[1:], 1):
-                    for f in x.features:
+                    inner[i] = inner[x.parent] or nodes[x.parent].named is False
+                    for f in () if inner[i] else x.features:
                         c[f, got[i]] += 1
                     c[f"pair {x.kind} {got[x.parent]}", got[i]] += 1
             yield pd.DataFrame({"feature": [f for f, _ in c], "label": [y for _, y in c], "n": list(c.values())})
