@@ -31,10 +31,9 @@ MAX_FEATURES = 5_000
 THRESHOLD = 0.5
 #: The most that one learned feature adds to the log odds of a node.
 MOST = 3.0
-#: Log odds of parts that name themselves: stronger than any number of children
-#: can outweigh in practice, weaker for forms (some pages are one form) and for
-#: parts that call themselves content.
-NAMED = {"named other": -200.0, "named form": -8.0, "named content": 6.0}
+#: Log odds of parts that name themselves a form (some pages are one) or content.
+NAMED = {"named form": -8.0, "named content": 6.0}
+NEVER = -1e6
 #: Log odds against the page as a whole being content.
 ROOT = 3.0
 #: Pseudo-counts by kind of child (texts and inline elements, paragraphs and the
@@ -71,11 +70,14 @@ _RAW_END = {t: re.compile(rf"</{t}(?=[\s/>]|\Z)", re.I) for t in RAW}
 class Node:
     """An element (``text`` is None) or a text; ``named``: what it says it is, if anything."""
 
-    __slots__ = ("tag", "parent", "features", "text", "named", "kind")
+    __slots__ = ("tag", "parent", "features", "text", "named", "kind", "closed")
 
-    def __init__(self, tag: str, parent: int, features: tuple, text: str | None = None, named: bool | None = None):
+    def __init__(self, tag: str, parent: int, features: tuple = (), text: str | None = None, named: bool | None = None, inner: bool = False):
         self.tag, self.parent, self.features, self.text, self.named = tag, parent, features, text, named
-        self.kind = "container" if tag in CONTAINERS else "leaf" if tag in BLOCKS else "text"
+        # apart: names itself something else, or lies in such a part and isn't content by name;
+        # it is no content whatever surrounds it, and says nothing about what surrounds it
+        self.closed = "named other" in features or (inner and named is not True)
+        self.kind = "apart" if self.closed else "container" if tag in CONTAINERS else "leaf" if tag in BLOCKS else "text"
 
 
 def _features(tag: str, attributes: str) -> tuple[tuple, bool | None]:
@@ -97,7 +99,7 @@ def parse(page: str | None) -> list[Node]:
     styles and the like have no node.  A tag cut off at the end of the page and
     a comment without an end are dropped.
     """
-    nodes = [Node("#root", -1, ())]
+    nodes = [Node("#root", -1)]
     if not page:
         return nodes
     stack, at, n = [0], 0, len(page)
@@ -108,7 +110,8 @@ def parse(page: str | None) -> list[Node]:
             parent = stack[-1]
             linked = any(nodes[i].tag == "a" for i in stack[-4:])
             size = len(said.strip())
-            nodes.append(Node("#text", parent, (f"length {min(6, size.bit_length() // 2)}", f"link {linked}") if size else (), said))
+            features = (f"length {min(6, size.bit_length() // 2)}", f"link {linked}") if size else ()
+            nodes.append(Node("#text", parent, features, said, inner=nodes[parent].closed))
 
     def close(tags, within=()) -> None:
         for d in range(len(stack) - 1, 0, -1):
@@ -133,7 +136,7 @@ def parse(page: str | None) -> list[Node]:
             break
         if end:
             if tag == "br":
-                nodes.append(Node("br", stack[-1], ()))
+                nodes.append(Node("br", stack[-1], inner=nodes[stack[-1]].closed))
             else:
                 close((tag,))
             continue
@@ -150,7 +153,7 @@ def parse(page: str | None) -> list[Node]:
         elif tag == "body":
             close(("head",))
         features, named = _features(tag, m[3])
-        nodes.append(Node(tag, stack[-1], features, named=named))
+        nodes.append(Node(tag, stack[-1], features, named=named, inner=nodes[stack[-1]].closed))
         if tag in RAW:
             stop = _RAW_END[tag].search(page, at)
             if stop is None:
@@ -180,10 +183,10 @@ class Model:
     def __init__(self, counts: dict[tuple[str, bool], float], pairs: dict[tuple[str, bool, bool], float]):
         total = [1.0 + sum(v for (f, y), v in counts.items() if f.startswith("tag ") and y == label) for label in (False, True)]
         self.emit = dict(NAMED)
-        for f in {f for f, _ in counts} - set(NAMED):
+        for f in {f for f, _ in counts} - {*NAMED, "named other"}:
             share = [(counts.get((f, y), 0.0) + 0.5) / (total[y] + 1.0) for y in (False, True)]
             self.emit[f] = max(-MOST, min(MOST, math.log(share[1] / share[0])))
-        self.pair = {}
+        self.pair = {"apart": ((0.0, NEVER), (0.0, NEVER))}
         for kind, (stay, enter, leave) in KINDS.items():
             n = {(x, y): pairs.get((kind, x, y), 0.0) + (stay if x == y else enter if y else leave) for x in (False, True) for y in (False, True)}
             self.pair[kind] = tuple(tuple(math.log(n[x, y] / (n[x, False] + n[x, True])) for y in (False, True)) for x in (False, True))
@@ -236,10 +239,9 @@ def fit(pages: DataFrame, html_col: str = "html", sample_pages: int = SAMPLE_PAG
                 got = labels(nodes)
                 if got is None:
                     continue
-                inner = [False] * len(nodes)    # inside a part that named itself: its nodes tell nothing of their own
                 for i, x in enumerate(nodes[1:], 1):
-                    inner[i] = inner[x.parent] or nodes[x.parent].named is False
-                    for f in () if inner[i] else x.features:
+                    # tags and words inside a part that names itself tell nothing of their own
+                    for f in x.features if x.kind != "apart" or x.text is not None else ():
                         c[f, got[i]] += 1
                     c[f"pair {x.kind} {got[x.parent]}", got[i]] += 1
             yield pd.DataFrame({"feature": [f for f, _ in c], "label": [y for _, y in c], "n": list(c.values())})

@@ -44,7 +44,7 @@ def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sharding.shuffle_shards(table(spark, sf_dir, "documents", "doc_id", "text")).drop("text")
+    return sharding.shuffle_shards(table(spark, sf_dir, "documents", "doc_id", "text"), carry=["doc_id"])
 
 
 def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:

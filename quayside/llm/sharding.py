@@ -21,13 +21,15 @@ from pyspark.sql import functions as F
 
 from quayside.llm.common import BROADCAST_ROWS, stored, with_result
 
-BUCKET_BYTES = 64 << 20
-MIN_BUCKETS = 64
+BUCKET_BYTES = 32 << 20
+MIN_BUCKETS = 1024
 
 
 def shuffle_shards(docs: DataFrame, n_shards: int = 8, seed: int = 20, id_col: str = "doc_id",
-                   text_col: str = "text", bucket_bytes: int = BUCKET_BYTES, min_buckets: int = MIN_BUCKETS) -> DataFrame:
-    """Every row of ``docs`` with size, text_crc32, law, shard and slot.
+                   text_col: str = "text", bucket_bytes: int = BUCKET_BYTES, min_buckets: int = MIN_BUCKETS,
+                   carry: list[str] | None = None) -> DataFrame:
+    """Every row of ``docs`` (its columns ``carry``, all by default) with size,
+    text_crc32, law, shard and slot.
 
     * size = UTF-8 bytes of the text (NULL: none) plus 1; text_crc32 of NULL is NULL.
     * shard in 0..n_shards-1; slots of a shard run gapless from 0; shard sizes
@@ -39,7 +41,7 @@ def shuffle_shards(docs: DataFrame, n_shards: int = 8, seed: int = 20, id_col: s
     text = F.col(text_col)
     key = F.coalesce(F.col(id_col).cast("string"), F.concat(F.lit("t"), text), F.lit(""))
     rows = docs.select(
-        F.struct("*").alias("row"), (F.coalesce(F.octet_length(text), F.lit(0)).cast("long") + 1).alias("size"),
+        F.struct(*(carry or ["*"])).alias("row"), (F.coalesce(F.octet_length(text), F.lit(0)).cast("long") + 1).alias("size"),
         F.crc32(text.cast("binary")).alias("text_crc32"),
         F.xxhash64(F.lit(seed), F.lit("bucket"), key).alias("h"), F.xxhash64(F.lit(seed), F.lit("order"), key).alias("o"))
     total = docs.agg(F.coalesce(F.sum(F.coalesce(F.octet_length(text), F.lit(0)).cast("long") + 1), F.lit(0))).first()[0]
