@@ -26,6 +26,8 @@ HEADLINE = [
     "revenue_dashboard", "payment_health", "order_economics", "product_pareto", "category_revenue",
     "dq_order_totals", "dq_relationships", "dq_event_monotonic", "latest_order_state",
 ]
+#: Marts that metrics and reports read: storing them counts as loading.
+MARTS = ["fct_orders", "fct_payments", "dim_customers"]
 
 
 def main() -> None:
@@ -43,6 +45,9 @@ def main() -> None:
 
     t0 = time.time()
     load_sources(spark, sf_dir)
+    from quayside.plans.warehouse import Warehouse
+    for mart in MARTS:
+        Warehouse(spark, sf_dir).mart(mart)
     load_s = time.time() - t0
 
     results = {}
@@ -56,7 +61,7 @@ def main() -> None:
         results[key] = round(statistics.median(times), 3)
     total = round(sum(results.values()), 3)
     print(json.dumps({
-        "metric": "sum_of_median_query_seconds", "value": total, "unit": "sec", "queries": results,
+        "metric": "load_plus_sum_of_median_query_seconds", "value": round(total + load_s, 3), "query_sec": total, "unit": "sec", "queries": results,
         "load_sources_sec": round(load_s, 3), "sf": os.path.basename(sf_dir.rstrip("/")).replace("sf", ""),
         "cpus": cpus, "runs": runs, "spark": spark.version,
         "shuffle_partitions": spark.conf.get("spark.sql.shuffle.partitions"),

@@ -33,13 +33,15 @@ SQL["orders_monthly_gmv"] = ("""
 SELECT month, orders, gmv, CAST(gmv AS DOUBLE) / nullif(CAST(orders AS DOUBLE), 0) AS aov
 FROM (SELECT CAST(date_trunc('month', order_date) AS DATE) AS month, count(*) AS orders,
              sum(total_amount) AS gmv FROM stg_orders GROUP BY 1) m""", O)
-SQL["orders_yoy_weekly"] = ("SELECT CAST(year(order_date) AS INTEGER) AS order_year, "
-                            "CAST(weekofyear(order_date) AS INTEGER) AS week_of_year, count(*) AS orders "
-                            "FROM stg_orders GROUP BY 1, 2", O)
-SQL["orders_yoy_pivot"] = ("""
-PIVOT (SELECT CAST(year(order_date) AS INTEGER) AS order_year, CAST(weekofyear(order_date) AS INTEGER) AS week_of_year,
-              count(*) AS orders FROM stg_orders GROUP BY 1, 2 HAVING CAST(weekofyear(order_date) AS INTEGER) <= 52) w
-ON order_year USING CAST(sum(orders) AS BIGINT) GROUP BY week_of_year""", O)
+SQL["orders_yoy_weekly"] = ("""
+SELECT order_year, week_of_year, count(*) AS orders, DATE '2024-01-01' + (week_of_year - 1) * 7 AS week_anchor
+FROM (SELECT CAST(isoyear(order_date) AS INTEGER) AS order_year, CAST(weekofyear(order_date) AS INTEGER) AS week_of_year
+      FROM stg_orders) w GROUP BY 1, 2""", O)
+SQL["orders_yoy_pivot"] = ("SELECT CAST(weekofyear(order_date) AS INTEGER) AS week_of_year, " + ", ".join(
+    f'nullif(count(*) FILTER (isoyear(order_date) = {y}), 0) AS "{y}"' for y in A.PIVOT_YEARS) + " FROM stg_orders GROUP BY 1", O)
+SQL["latest_events"] = (f"""
+SELECT event_id, order_id, previous_state, new_state, event_timestamp FROM stg_order_events
+ORDER BY event_timestamp DESC, event_id DESC LIMIT {A.LATEST_EVENTS}""", ("stg_order_events",))
 SQL["december_by_day"] = ("SELECT CAST(day(order_date) AS INTEGER) AS day_of_month, count(*) AS orders "
                           "FROM stg_orders WHERE month(order_date) = 12 GROUP BY 1", O)
 SQL["seasonal_lift"] = ("""
@@ -75,7 +77,7 @@ SELECT least(n, {A.ORDERS_CAP}) AS orders_placed, count(*) AS customers
 FROM (SELECT customer_id, count(*) AS n FROM stg_orders GROUP BY customer_id) t GROUP BY 1""", O)
 SQL["aov_histogram"] = (f"""
 SELECT CAST(floor(total_amount / {A.AOV_BUCKET}) * {A.AOV_BUCKET} AS BIGINT) AS bucket, count(*) AS orders
-FROM stg_orders WHERE total_amount < {A.AOV_LIMIT} GROUP BY 1""", O)
+FROM stg_orders GROUP BY 1""", O)
 SQL["customer_activity_rate"] = ("""
 SELECT a.customers_with_orders, t.total_customers,
        CAST(a.customers_with_orders AS DOUBLE) * 100 / nullif(CAST(t.total_customers AS DOUBLE), 0) AS pct_active
@@ -93,9 +95,10 @@ SQL["payment_state_share"] = (_share_sql("stg_payments", "payment_state", "payme
 SQL["payment_method_share"] = (_share_sql("stg_payments", "payment_method", "payment_method"), ("stg_payments",))
 _COUNTS = "SELECT product_id, count(*) AS line_count FROM stg_order_items GROUP BY product_id"
 SQL["top_products"] = (f"""
-SELECT c.product_id, c.line_count, p.product_name
-FROM ({_COUNTS}) c LEFT JOIN stg_products p ON c.product_id = p.product_id
-ORDER BY c.line_count DESC, c.product_id ASC LIMIT {A.TOP_N}""", I + P)
+SELECT i.product_id, count(*) AS line_count, sum(i.line_total) AS revenue, any_value(p.product_name) AS product_name,
+       any_value(p.product_category) AS product_category
+FROM stg_order_items i LEFT JOIN stg_products p ON i.product_id = p.product_id
+GROUP BY i.product_id ORDER BY line_count DESC, i.product_id ASC LIMIT {A.TOP_N}""", I + P)
 SQL["product_pareto"] = (f"""
 SELECT product_id, line_count, product_rank,
        CAST(product_rank AS DOUBLE) / CAST(n_products AS DOUBLE) AS rank_pct,

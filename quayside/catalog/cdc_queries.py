@@ -14,10 +14,14 @@ from quayside.registry import register
 from quayside.session import scratch_path
 from quayside.sources.testdata import read_table
 from quayside.streaming import cdc
-from quayside.streaming.jobs import VersionedTable, run_cdc_merge, run_dedup, run_events_daily
+from quayside.plans.analytics import Analytics
+from quayside.streaming.jobs import run_cdc_merge, run_dedup, run_events_daily
+from quayside.streaming.tables import VersionedTable
 
 ISO_SQL = "'%Y-%m-%dT%H:%M:%SZ'"
 MERGE_CUT = _dt.datetime(1998, 1, 1)
+# load stamps of the first delivery and of its replay, passed in so that results are repeatable
+LOADED_AT, REPLAYED_AT = _dt.datetime(2002, 1, 1), _dt.datetime(2002, 1, 2)
 
 
 def _feed(spark, sf_dir):
@@ -54,10 +58,10 @@ SELECT o.k * 10 + CAST(split_part(e.event_id, '-', 2) AS BIGINT), 'u', epoch_ms(
 FROM stg_order_events e JOIN cdc_orders o ON e.order_id = o.order_id
 """)
 cte("cdc_merged", """
-SELECT order_id, after_state AS order_state, after_total_amount AS total_amount, after_updated_at AS updated_at,
-       ts_ms AS _cdc_ts_ms, kafka_offset AS _cdc_offset
+SELECT t.order_id, o.customer_id, after_state AS order_state, after_total_amount AS total_amount, after_updated_at AS updated_at,
+       ts_ms AS _cdc_ts_ms, kafka_offset AS _cdc_offset, TIMESTAMP '2002-01-01 00:00:00' AS _cdc_loaded_at
 FROM (SELECT *, row_number() OVER (PARTITION BY order_id ORDER BY ts_ms DESC, kafka_offset DESC) AS rn
-      FROM cdc_expected WHERE op IN ('c', 'u', 'r') AND NOT is_tombstone) t WHERE rn = 1
+      FROM cdc_expected WHERE op IN ('c', 'u', 'r') AND NOT is_tombstone) t JOIN cdc_orders o ON o.order_id = t.order_id WHERE rn = 1
 """)
 
 PARSE_COLS = ["kafka_offset", "op", "ts_ms", "order_id", "before_state", "after_state", "after_total_amount",
@@ -95,41 +99,73 @@ def cdc_field_diff(spark, sf_dir):
     return cdc.field_diff(_changes(spark, sf_dir))
 
 
-@register("cdc_merge", with_ctes("SELECT * FROM cdc_merged", "cdc_merged"))
-def cdc_merge(spark, sf_dir):
-    """Streaming merge: the feed lands as two files (before / after a cut),
-    a file-source stream applies them in two micro-batches, then a second
+def _streamed(spark, sf_dir):
+    """Streaming merge: the feed lands in two loads (before / after a cut), a
+    file-source stream applies their files in micro-batches, then a second
     stream with a fresh checkpoint replays everything: the target must not
     change (at-least-once delivery + idempotent merge)."""
     feed = _feed(spark, sf_dir)
     path = scratch_path(spark, "cdc-feed")
     cut = F.lit(MERGE_CUT)
-    feed.filter(F.col("kafka_timestamp") < cut).coalesce(1).write.mode("append").parquet(path)
-    feed.filter(F.col("kafka_timestamp") >= cut).coalesce(1).write.mode("append").parquet(path)
-    table = VersionedTable(spark, "cdc-orders")
-    run_cdc_merge(spark, path, table, scratch_path(spark, "cdc-ckpt"))
-    run_cdc_merge(spark, path, table, scratch_path(spark, "cdc-ckpt-replay"), max_files=10)
-    return table.read()
+    feed.filter(F.col("kafka_timestamp") < cut).write.mode("append").parquet(path)
+    feed.filter(F.col("kafka_timestamp") >= cut).write.mode("append").parquet(path)
+    table, dead, changes = _sinks(spark)
+    run_cdc_merge(spark, path, table, scratch_path(spark, "cdc-ckpt"), max_files=10, dead=dead, changes=changes, loaded_at=LOADED_AT)
+    run_cdc_merge(spark, path, table, scratch_path(spark, "cdc-ckpt-replay"), max_files=10, dead=dead, changes=changes,
+                  loaded_at=REPLAYED_AT)
+    return table, dead, changes
+
+
+def _sinks(spark):
+    return (VersionedTable(spark, "cdc-orders", ["order_id"]), VersionedTable(spark, "cdc-dead", ["topic", "kafka_offset"]),
+            VersionedTable(spark, "cdc-changes", ["kafka_offset", "field"]))
+
+
+@register("cdc_merge", with_ctes("SELECT * FROM cdc_merged", "cdc_merged"))
+def cdc_merge(spark, sf_dir):
+    return _streamed(spark, sf_dir)[0].read()
+
+
+@register("cdc_stream_sinks", with_ctes("""
+SELECT 'dead letter' AS sink, reason AS kind, count(*) AS n FROM (
+  SELECT 'malformed_json' AS reason FROM cdc_orders WHERE k % 200 = 1
+  UNION ALL SELECT 'unknown_op' FROM cdc_orders WHERE k % 300 = 2) t GROUP BY 2
+UNION ALL
+SELECT 'change log', field, count(*) FROM (
+  SELECT 'order_state' AS field FROM cdc_expected WHERE op = 'u' AND before_state IS DISTINCT FROM after_state
+  UNION ALL SELECT 'updated_at' FROM cdc_expected WHERE op = 'u' AND before_raw IS DISTINCT FROM after_raw) t GROUP BY 2""",
+                                        "cdc_expected", "cdc_orders"))
+def cdc_stream_sinks(spark, sf_dir):
+    """What the stream's dead-letter and change-log tables hold, after a replay."""
+    _, dead, changes = _streamed(spark, sf_dir)
+    d = dead.read().groupBy(F.col("reason").alias("kind")).agg(F.count(F.lit(1)).alias("n"))
+    c = changes.read().groupBy(F.col("field").alias("kind")).agg(F.count(F.lit(1)).alias("n"))
+    return d.select(F.lit("dead letter").alias("sink"), "kind", "n").unionByName(c.select(F.lit("change log").alias("sink"), "kind", "n"))
 
 
 @register("cdc_reconcile", with_ctes("""
 SELECT * FROM (
-  SELECT coalesce(o.order_id, m.order_id) AS order_id, m.order_state AS cdc_state, o.order_state AS loaded_state,
-         CASE WHEN m.order_state IS NULL THEN 'missing_in_cdc' WHEN o.order_state IS NULL THEN 'missing_in_table'
-              WHEN m.order_state <> o.order_state THEN 'state_mismatch' END AS issue
-  FROM stg_orders o FULL OUTER JOIN cdc_merged m ON o.order_id = m.order_id) t
-WHERE issue IS NOT NULL""", "cdc_merged", "stg_orders"))
+  SELECT coalesce(l.order_id, m.order_id) AS order_id, m.order_state AS cdc_state, l.logged_state,
+         CASE WHEN m.order_state IS NULL THEN 'missing_in_cdc'
+              WHEN l.logged_state IS NULL AND m.order_state <> 'placed' THEN 'missing_in_log'
+              WHEN m.order_state <> l.logged_state THEN 'state_mismatch' END AS issue
+  FROM (SELECT order_id, arg_max(new_state, (event_timestamp, event_id)) AS logged_state FROM stg_order_events GROUP BY 1) l
+  FULL OUTER JOIN (SELECT * FROM cdc_merged WHERE CAST(order_id AS BIGINT) % 90 <> 5) m ON l.order_id = m.order_id) t
+WHERE issue IS NOT NULL""", "cdc_merged", "stg_order_events"))
 def cdc_reconcile(spark, sf_dir):
-    merged = cdc.merge_batch(None, _changes(spark, sf_dir))
-    return cdc.reconcile(merged, Warehouse(spark, sf_dir).stg_orders)
+    """The merged table, from which some orders were lost (planted), against the
+    last states of the event log."""
+    merged = cdc.merge_batch(None, _changes(spark, sf_dir), LOADED_AT).filter(F.col("order_id").cast("long") % 90 != 5)
+    return cdc.reconcile(merged, Analytics(Warehouse(spark, sf_dir)).latest_order_state())
 
 
 @register("cdc_lag", with_ctes("""
 SELECT min(lag_ms) AS min_lag_ms, median(CAST(lag_ms AS DOUBLE)) AS median_lag_ms, max(lag_ms) AS max_lag_ms
-FROM (SELECT (k % 7) * 1000 AS lag_ms FROM cdc_expected WHERE ts_ms IS NOT NULL) t""", "cdc_expected"))
+FROM (SELECT epoch_ms(_cdc_loaded_at) - _cdc_ts_ms AS lag_ms FROM cdc_merged) t""", "cdc_merged"))
 def cdc_lag(spark, sf_dir):
-    c = _changes(spark, sf_dir).filter(F.col("ts_ms").isNotNull())
-    lag = c.select((F.unix_millis("kafka_timestamp") - F.col("ts_ms")).alias("lag_ms"))
+    """From the time of the change at its source to the time it was loaded."""
+    merged = cdc.merge_batch(None, _changes(spark, sf_dir), LOADED_AT)
+    lag = merged.select((F.unix_millis("_cdc_loaded_at") - F.col("_cdc_ts_ms")).alias("lag_ms"))
     mm = lag.agg(F.min("lag_ms").alias("min_lag_ms"), F.max("lag_ms").alias("max_lag_ms"))
     return mm.crossJoin(exact_median(lag, "lag_ms", "median_lag_ms"))
 
@@ -151,7 +187,7 @@ FROM events GROUP BY 1, 2, 3""")
 def stream_events_daily(spark, sf_dir):
     path = f"{sf_dir.rstrip('/')}/events.parquet"
     read_table(spark, sf_dir, "events")   # pins the session to UTC
-    table = VersionedTable(spark, "events-daily")
+    table = VersionedTable(spark, "events-daily", ["window_start", "event_type"])
     run_events_daily(spark, path, table, scratch_path(spark, "events-daily-ckpt"))
     return table.read()
 
@@ -160,6 +196,6 @@ def stream_events_daily(spark, sf_dir):
 def stream_dedup(spark, sf_dir):
     path = f"{sf_dir.rstrip('/')}/events.parquet"
     read_table(spark, sf_dir, "events")
-    sink = scratch_path(spark, "events-dedup")
-    run_dedup(spark, path, sink, scratch_path(spark, "events-dedup-ckpt"))
-    return spark.read.parquet(sink)
+    table = VersionedTable(spark, "events-dedup", ["event_id"])
+    run_dedup(spark, path, table, scratch_path(spark, "events-dedup-ckpt"))
+    return table.read()

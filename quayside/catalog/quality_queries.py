@@ -63,25 +63,21 @@ FROM (SELECT max({col}) AS m FROM raw_{src}) t""" for src, (col, warn, err) in C
     tuple(f"raw_{s}" for s in C.FRESHNESS))
 
 SQL["order_totals"] = ("""
-SELECT o.order_id, o.subtotal AS order_subtotal, sum(oi.line_total) AS items_subtotal,
-       abs(o.subtotal - sum(oi.line_total)) AS delta
-FROM stg_orders o JOIN stg_order_items oi ON o.order_id = oi.order_id
-GROUP BY o.order_id, o.subtotal
-HAVING abs(o.subtotal - sum(oi.line_total)) > 0.01""", ("stg_orders", "stg_order_items"))
+WITH lines AS (SELECT order_id, sum(line_total) AS items_subtotal FROM stg_order_items GROUP BY ALL)
+SELECT order_id, subtotal AS order_subtotal, items_subtotal, abs(subtotal - items_subtotal) AS delta
+FROM lines INNER JOIN stg_orders USING (order_id)
+WHERE NOT (subtotal BETWEEN items_subtotal - 0.01 AND items_subtotal + 0.01)""", ("stg_orders", "stg_order_items"))
 
 _INTEGRITY = [
-    ("orders before customer created_at",
-     "SELECT 1 FROM stg_orders o JOIN stg_customers c ON o.customer_id = c.customer_id "
-     "WHERE o.order_date < c.created_at"),
-    ("order_events before order_date",
-     "SELECT 1 FROM stg_order_events e JOIN stg_orders o ON e.order_id = o.order_id "
-     "WHERE e.event_timestamp < o.order_date"),
-    ("order updated_at before order_date", "SELECT 1 FROM stg_orders WHERE updated_at < order_date"),
-    ("order_items without matching order",
-     "SELECT 1 FROM stg_order_items oi LEFT JOIN stg_orders o ON oi.order_id = o.order_id "
-     "WHERE o.order_id IS NULL"),
-    ("payments without matching order",
-     "SELECT 1 FROM stg_payments p LEFT JOIN stg_orders o ON p.order_id = o.order_id WHERE o.order_id IS NULL"),
+    ("order older than its customer",
+     "SELECT order_id FROM stg_orders x WHERE EXISTS (FROM stg_customers y WHERE y.customer_id = x.customer_id "
+     "AND y.created_at > x.order_date)"),
+    ("event older than its order",
+     "SELECT event_id FROM stg_order_events x WHERE EXISTS (FROM stg_orders y WHERE y.order_id = x.order_id "
+     "AND y.order_date > x.event_timestamp)"),
+    ("order changed before it was placed", "SELECT order_id FROM stg_orders WHERE order_date > updated_at"),
+    ("line of an unknown order", "SELECT order_item_id FROM stg_order_items ANTI JOIN stg_orders USING (order_id)"),
+    ("payment of an unknown order", "SELECT payment_id FROM stg_payments ANTI JOIN stg_orders USING (order_id)"),
 ]
 
 
@@ -137,13 +133,16 @@ _MONO = """
 SELECT e.order_id, e.event_id, e.previous_state, e.new_state, e.event_timestamp, o.order_date, o.updated_at,
        lag(e.new_state) OVER (PARTITION BY e.order_id ORDER BY e.event_timestamp, e.event_id) AS prev_new,
        max(e.event_timestamp) OVER (PARTITION BY e.order_id) AS last_ts
-FROM stg_order_events e JOIN stg_orders o ON e.order_id = o.order_id"""
+FROM stg_order_events e LEFT JOIN stg_orders o ON e.order_id = o.order_id"""
 SQL["event_monotonic"] = (f"""
 SELECT order_id, event_id, previous_state, new_state, event_timestamp, 'before_order' AS issue
 FROM ({_MONO}) m WHERE event_timestamp < order_date
 UNION ALL
 SELECT order_id, event_id, previous_state, new_state, event_timestamp, 'continuity'
-FROM ({_MONO}) m WHERE prev_new IS NOT NULL AND previous_state <> prev_new
+FROM ({_MONO}) m WHERE prev_new IS NOT NULL AND previous_state IS DISTINCT FROM prev_new
+UNION ALL
+SELECT order_id, event_id, previous_state, new_state, event_timestamp, 'no_order'
+FROM ({_MONO}) m WHERE event_timestamp IS NOT NULL AND order_date IS NULL
 UNION ALL
 SELECT order_id, event_id, previous_state, new_state, event_timestamp, 'updated_at_mismatch'
 FROM ({_MONO}) m WHERE event_timestamp = last_ts AND updated_at <> last_ts""",
@@ -160,16 +159,15 @@ WHERE retry_count > {C.MAX_RETRIES} OR failed_moves > {C.MAX_RETRIES}
 
 
 def _shares(table, col, domain, ranges):
-    lo = " ".join(f"WHEN '{s}' THEN {float(a)}" for s, (a, _) in ranges.items())
-    hi = " ".join(f"WHEN '{s}' THEN {float(b)}" for s, (_, b) in ranges.items())
+    want = ", ".join(f"('{s}', {float(lo)}::DOUBLE, {float(hi)}::DOUBLE, {incl}, '{miss}')"
+                     for s, (lo, hi, incl, miss) in ranges.items())
     return f"""
 SELECT '{domain}' AS domain, state, n, pct, lo, hi,
-       CASE WHEN pct BETWEEN lo AND hi THEN 'pass' ELSE 'fail' END AS status
+       CASE WHEN (pct > lo OR (incl AND pct = lo)) AND pct <= hi THEN 'pass' ELSE miss END AS status
 FROM (
-  SELECT state, n, CAST(n AS DOUBLE) * 100 / CAST(sum(n) OVER () AS DOUBLE) AS pct,
-         CAST(CASE state {lo} END AS DOUBLE) AS lo, CAST(CASE state {hi} END AS DOUBLE) AS hi
-  FROM (SELECT {col} AS state, count(*) AS n FROM {table} GROUP BY {col}) g) s
-WHERE state IN ({_in_list(ranges)})"""
+  SELECT v.*, count(t.{col}) AS n,
+         coalesce(CAST(count(t.{col}) AS DOUBLE) * 100 / nullif(CAST((SELECT count(*) FROM {table}) AS DOUBLE), 0), 0.0) AS pct
+  FROM (VALUES {want}) v(state, lo, hi, incl, miss) LEFT JOIN {table} t ON t.{col} = v.state GROUP BY ALL) s"""
 
 
 SQL["share_ranges"] = (_shares("stg_orders", "order_state", "order", C.ORDER_STATE_RANGES) + " UNION ALL "

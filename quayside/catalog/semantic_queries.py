@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from quayside.oracle import models_sql  # noqa: F401
 from quayside.oracle.ctes import with_ctes
-from quayside.plans.semantic import SemanticLayer, saved_query
+from quayside.plans.semantic import SemanticLayer, publish_views, saved_query
 from quayside.plans.warehouse import Warehouse
 from quayside.registry import register
 
 
-def _metric(key, metrics, group_by, sql, needs=("fct_orders",)):
+def _metric(key, metrics, group_by, sql, needs=("fct_orders",), **how):
     def build(spark, sf_dir):
-        return SemanticLayer(Warehouse(spark, sf_dir)).query(list(metrics), list(group_by))
+        return SemanticLayer(Warehouse(spark, sf_dir)).query(list(metrics), list(group_by), **how)
     register(key, with_ctes(sql, *needs))(build)
 
 
@@ -62,14 +62,32 @@ SELECT c.state AS customer__state,
        CAST(sum(CASE WHEN f.is_cancelled THEN 1 ELSE 0 END) AS BIGINT) AS cancelled_orders
 {_CUST_JOIN} GROUP BY 1""", needs=("fct_orders", "dim_customers"))
 
-_metric("metric_revenue_wow", ["revenue_wow"], ["metric_time__week"], f"""
-SELECT coalesce(cur.wk, prior.wk) AS metric_time__week,
-       CAST(cur.revenue - prior.revenue_prior_week AS DOUBLE)
-         / nullif(CAST(prior.revenue_prior_week AS DOUBLE), 0) * 100 AS revenue_wow
-FROM (SELECT {_wk('order_date')} AS wk, sum(total_amount) AS revenue FROM fct_orders GROUP BY 1) cur
-FULL OUTER JOIN (
-  SELECT CAST(date_trunc('week', {_wk('order_date')} + 7) AS DATE) AS wk, sum(total_amount) AS revenue_prior_week
-  FROM fct_orders GROUP BY 1) prior ON cur.wk = prior.wk""")
+for _grain, _suffix in (("week", ""), ("day", "_daily"), ("month", "_monthly")):
+    _metric(f"metric_revenue_wow{_suffix}", ["revenue_wow"], [f"metric_time__{_grain}"], f"""
+WITH days AS (SELECT CAST(order_date AS DATE) AS d, sum(total_amount) AS v FROM fct_orders GROUP BY 1),
+both_ AS (SELECT date_trunc('{_grain}', d) AS t, v AS now, NULL AS was FROM days
+          UNION ALL SELECT date_trunc('{_grain}', d + 7), NULL, v FROM days)
+SELECT CAST(t AS DATE) AS metric_time__{_grain},
+       CAST(sum(now) - sum(was) AS DOUBLE) / nullif(CAST(sum(was) AS DOUBLE), 0) * 100 AS revenue_wow
+FROM both_ GROUP BY t""")
+
+_metric("metric_filtered_revenue", ["revenue", "order_count"], ["metric_time__month"], f"""
+SELECT {_mo('f.order_date')} AS metric_time__month, sum(f.total_amount) AS revenue, count(f.order_id) AS order_count
+{_CUST_JOIN} WHERE f.payment_method = 'paypal' AND c.customer_segment = 'loyal' GROUP BY 1""",
+        needs=("fct_orders", "dim_customers"), where="order__payment_method = 'paypal' AND customer__customer_segment = 'loyal'")
+
+_metric("metric_revenue_by_shipped_month", ["revenue"], ["order__shipped_date__month"], f"""
+SELECT {_mo('shipped_at')} AS order__shipped_date__month, sum(total_amount) AS revenue FROM fct_orders GROUP BY 1""")
+
+_metric("metric_cumulative_by_segment", ["cumulative_revenue"], ["metric_time__month", "customer__customer_segment"], """
+WITH d AS (SELECT c.customer_segment AS seg, CAST(f.order_date AS DATE) AS day, sum(f.total_amount) AS v
+           FROM fct_orders f LEFT JOIN dim_customers c ON f.customer_id = c.customer_id GROUP BY 1, 2),
+g AS (SELECT s.date_day, k.seg FROM time_spine s, (SELECT DISTINCT seg FROM d) k),
+r AS (SELECT g.seg, g.date_day, sum(coalesce(d.v, 0)) OVER (PARTITION BY g.seg ORDER BY g.date_day) AS run
+      FROM g LEFT JOIN d ON d.day = g.date_day AND d.seg IS NOT DISTINCT FROM g.seg)
+SELECT CAST(date_trunc('month', date_day) AS DATE) AS metric_time__month, seg AS customer__customer_segment,
+       arg_min(run, date_day) AS cumulative_revenue
+FROM r GROUP BY 1, 2""", needs=("fct_orders", "dim_customers", "time_spine"))
 
 _metric("metric_cumulative_revenue", ["cumulative_revenue"], ["metric_time__day"], """
 SELECT s.date_day AS metric_time__day,
@@ -89,6 +107,15 @@ SELECT {_wk('f.order_date')} AS metric_time__week, c.customer_segment AS custome
        sum(f.total_amount) AS revenue, count(f.order_id) AS order_count
 {_CUST_JOIN} GROUP BY 1, 2""")
 
+@register("metric_published_view", with_ctes(f"""
+SELECT {_wk('f.order_date')} AS metric_time__week, c.customer_segment AS customer__customer_segment,
+       sum(f.total_amount) AS revenue, count(f.order_id) AS order_count
+{_CUST_JOIN} GROUP BY 1, 2""", "fct_orders", "dim_customers"))
+def metric_published_view(spark, sf_dir):
+    publish_views(Warehouse(spark, sf_dir))
+    return spark.sql("SELECT * FROM weekly_revenue_by_segment")
+
+
 _saved("metric_cohort_aov", "customer_cohort_aov", f"""
 SELECT c.cohort_month AS customer__cohort_month, c.customer_segment AS customer__customer_segment,
        CAST(sum(f.total_amount) AS DOUBLE) / nullif(CAST(count(f.order_id) AS DOUBLE), 0) AS average_order_value,

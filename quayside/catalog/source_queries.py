@@ -30,7 +30,7 @@ def load_csv_nulls(spark, sf_dir):
                .withColumn("first_name", F.when(k % 11 == 0, F.concat(F.col("first_name"), F.lit(', "Jr"')))
                            .otherwise(F.col("first_name"))))
     path = scratch_path(spark, "customers-csv")
-    files.write_csv(planted, path)
+    files.write_csv(planted.select(*reversed(planted.columns)), path)     # the header says which column is which
     return files.read_csv(spark, path, S.CUSTOMERS)
 
 

@@ -10,7 +10,9 @@ single full build the runs must converge to.
 from __future__ import annotations
 
 import datetime as _dt
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quayside.oracle import models_sql  # noqa: F401
@@ -33,55 +35,75 @@ def _persist(spark, df, name):
     return spark.read.parquet(path)
 
 
-def _first_run_warehouse(spark, sf_dir, table, ts_col):
-    w = Warehouse(spark, sf_dir)
-    early = w.source(table).filter(F.col(ts_col) < F.lit(CUTOFF))
-    return Warehouse(spark, sf_dir, sources={table: early})
+def _first_run_warehouse(spark, sf_dir):
+    """The sources as an earlier run saw them: orders, payments and events from
+    before the cut only, every seventh of the kept orders still in its first
+    state with another total, every fifth kept payment with another amount."""
+    w, cut = Warehouse(spark, sf_dir), F.lit(CUTOFF)
+    k = F.col("order_id").cast("long")
+    late = F.col("updated_at") >= cut
+    # a changed row changed after the cut, which is what makes it new to run 2
+    orders = w.source("orders").filter(F.col("order_date") < cut)
+    orders = (orders.withColumn("order_state", F.when(late, F.lit("placed")).otherwise(F.col("order_state")))
+              .withColumn("total_amount", F.when(late & (k % 7 == 0), F.col("total_amount") + 5).otherwise(F.col("total_amount"))
+                          .cast("decimal(12,2)"))
+              .withColumn("updated_at", F.when(late, F.col("order_date")).otherwise(F.col("updated_at"))))
+    changed = _payment_changed_at() >= cut
+    payments = w.source("payments").filter(F.col("payment_date") < cut)
+    payments = (payments.withColumn("amount", F.when(changed & (k % 5 == 0), F.col("amount") + 9).otherwise(F.col("amount"))
+                                    .cast("decimal(12,2)"))
+                .withColumn("payment_state", F.when(changed, F.lit("pending")).otherwise(F.col("payment_state")))
+                .withColumns({c: F.when(F.col(c) < cut, F.col(c)) for c in ("authorization_date", "capture_date", "refund_date")}))
+    events = w.source("order_events").filter(F.col("event_timestamp") < cut)
+    return Warehouse(spark, sf_dir, sources={"orders": orders, "payments": payments, "order_events": events})
 
 
-@register("incremental_fct_orders", with_ctes("SELECT * FROM fct_orders", "fct_orders"))
-def incremental_fct_orders(spark, sf_dir):
-    target = _persist(spark, _first_run_warehouse(spark, sf_dir, "orders", "updated_at").fct_orders,
-                      "fct_orders-run1")
-    w = Warehouse(spark, sf_dir)
-    for run in (2, 3):        # run 3 = replay with nothing new: must change nothing
-        hw = high_water(target, "updated_at")
-        delta = w.build_fct_orders(incremental_filter(w.int_orders_enriched, "updated_at", hw, LOOKBACK_DAYS))
-        target = _persist(spark, upsert(target, delta, ["order_id"]), f"fct_orders-run{run}")
+def _payment_changed_at():
+    floor = F.lit("1900-01-01").cast("timestamp")
+    return F.greatest(*[F.coalesce(F.col(c), floor) for c in (
+        "payment_date", "authorization_date", "capture_date", "refund_date")])
+
+
+def _changed_orders(w, since):
+    """Ids of orders that changed themselves, by a payment or by an event."""
+    since = F.lit(since - _dt.timedelta(days=LOOKBACK_DAYS))
+    ids = [w.stg_orders.filter(F.greatest("updated_at", "order_date") >= since).select("order_id"),
+           w.stg_payments.filter(_payment_changed_at() >= since).select("order_id"),
+           w.stg_order_events.filter(F.col("event_timestamp") >= since).select("order_id")]
+    return reduce(DataFrame.unionByName, ids).distinct()
+
+
+def _runs(spark, sf_dir, name, key, first, delta):
+    """Run 1 on the earlier sources, then two runs on the present ones; the
+    second must change nothing.  Each delta is written once, as it is used twice."""
+    target = _persist(spark, first(_first_run_warehouse(spark, sf_dir)), f"{name}-run1")
+    w, since = Warehouse(spark, sf_dir), CUTOFF
+    for run in (2, 3):
+        new = _persist(spark, delta(w, _changed_orders(w, since)), f"{name}-delta{run}")
+        target = _persist(spark, upsert(target, new, [key]), f"{name}-run{run}")
+        since = w.stg_order_events.agg(F.max("event_timestamp")).first()[0] or since
     return target
 
 
-def _payment_changed_at():
-    floor = F.lit("1900-01-01").cast("timestamp")
-    return F.greatest(F.coalesce(F.col("payment_date"), floor),
-                      F.coalesce(F.col("authorization_date"), floor),
-                      F.coalesce(F.col("capture_date"), floor), F.coalesce(F.col("refund_date"), floor))
+def _delta_orders(w, ids):
+    return w.build_fct_orders(w.enriched_of(w.stg_orders.join(ids, "order_id", "left_semi")))
+
+
+@register("incremental_fct_orders", with_ctes("SELECT * FROM fct_orders", "fct_orders"))
+def incremental_fct_orders(spark, sf_dir):
+    return _runs(spark, sf_dir, "fct_orders", "order_id", lambda w: w.fct_orders, _delta_orders)
 
 
 @register("incremental_fct_payments", with_ctes("SELECT * FROM fct_payments", "fct_payments"))
 def incremental_fct_payments(spark, sf_dir):
-    target = _persist(spark, _first_run_warehouse(spark, sf_dir, "payments", "payment_date").fct_payments,
-                      "fct_payments-run1")
-    w = Warehouse(spark, sf_dir)
-    for run in (2, 3):
-        hw = high_water(target, "payment_date")
-        delta = w.build_fct_payments(incremental_filter(w.stg_payments, _payment_changed_at(), hw,
-                                                        LOOKBACK_DAYS))
-        target = _persist(spark, upsert(target, delta, ["payment_id"]), f"fct_payments-run{run}")
-    return target
+    return _runs(spark, sf_dir, "fct_payments", "payment_id", lambda w: w.fct_payments,
+                 lambda w, ids: w.build_fct_payments(w.stg_payments.join(ids, "order_id", "left_semi")))
 
 
 @register("incremental_fct_returns", with_ctes("SELECT * FROM fct_returns", "fct_returns"))
 def incremental_fct_returns(spark, sf_dir):
-    w1 = _first_run_warehouse(spark, sf_dir, "orders", "updated_at")
-    target = _persist(spark, w1.fct_returns, "fct_returns-run1")
-    w = Warehouse(spark, sf_dir)
-    for run in (2, 3):
-        hw = high_water(target, "returned_at")
-        changed = incremental_filter(w.fct_orders, "updated_at", hw, LOOKBACK_DAYS)
-        target = _persist(spark, upsert(target, w.build_fct_returns(changed), ["order_id"]),
-                          f"fct_returns-run{run}")
-    return target
+    return _runs(spark, sf_dir, "fct_returns", "order_id", lambda w: w.fct_returns,
+                 lambda w, ids: w.build_fct_returns(_delta_orders(w, ids).filter("is_returned")))
 
 
 # ---- SCD2 two-version fixtures -------------------------------------------

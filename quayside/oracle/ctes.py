@@ -37,7 +37,10 @@ def with_ctes(body: str, *names: str) -> str:
         visit(n)
     if not order:
         return body.strip()
-    return "WITH " + ",\n".join(f"{n} AS (\n{_CTES[n]}\n)" for n in order) + "\n" + body.strip()
+    body = body.strip()
+    more = body.startswith("WITH ")          # a body with CTEs of its own continues the list
+    return ("WITH " + ",\n".join(f"{n} AS (\n{_CTES[n]}\n)" for n in order) + (",\n" if more else "\n")
+            + (body[5:] if more else body))
 
 
 # --------------------------------------------------------------------------
@@ -50,7 +53,10 @@ SELECT k, custkey, order_state, order_date, total_amount,
        order_date + INTERVAL (4 + k % 7) DAY AS delivered_at,
        order_date + INTERVAL (12 + k % 20) DAY AS returned_at
 FROM (
-  SELECT o_orderkey AS k, o_custkey AS custkey,
+  SELECT o_orderkey AS k,
+         CASE WHEN o_custkey % 20 > 3 OR (o_custkey % 20 > 0 AND o_orderkey % 10 = 0) THEN o_custkey
+              WHEN o_custkey <= 3 THEN 4 + o_orderkey % 16
+              ELSE (o_custkey // 20) * 20 - 16 + o_orderkey % 16 END AS custkey,
          CASE WHEN o_orderstatus = 'O' THEN
                 CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 'confirmed'
                      WHEN o_orderpriority = '5-LOW' THEN 'cancelled' ELSE 'placed' END
@@ -60,7 +66,6 @@ FROM (
          CAST(o_orderdate AS TIMESTAMP) AS order_date,
          CAST(o_totalprice AS DECIMAL(12,2)) AS total_amount
   FROM orders
-  WHERE o_custkey % 20 <> 0 AND (o_custkey % 20 > 3 OR o_orderkey % 10 = 0)
 ) t
 """)
 
@@ -75,7 +80,7 @@ SELECT CAST(c.k AS VARCHAR) AS order_id,
             WHEN c.order_state = 'delivered' THEN c.delivered_at
             ELSE c.returned_at END AS updated_at,
        CAST(coalesce(ls.line_sum, 0) + CASE WHEN c.k % 50 = 0 THEN 1 ELSE 0 END AS DECIMAL(12,2)) AS subtotal,
-       CAST(0 AS DECIMAL(12,2)) AS tax,
+       CAST(CASE WHEN c.k % 10 = 0 THEN 0 ELSE c.total_amount - coalesce(ls.line_sum, 0) END AS DECIMAL(12,2)) AS tax,
        CAST(0 AS DECIMAL(12,2)) AS shipping_cost,
        c.total_amount,
        CAST(cu.c_nationkey AS VARCHAR) AS shipping_address_id,
@@ -152,7 +157,7 @@ SELECT 'pay_' || CAST(k AS VARCHAR) AS payment_id,
             THEN order_date + INTERVAL (6 + k % 48) HOUR END AS capture_date,
        CASE WHEN payment_state = 'refunded' THEN returned_at END AS refund_date,
        CASE WHEN payment_state = 'failed' THEN 'declined' END AS failure_reason,
-       CASE WHEN payment_state = 'failed' THEN 1 ELSE 0 END AS retry_count
+       CASE WHEN payment_state <> 'failed' THEN 0 WHEN k % 20 = 3 THEN 4 ELSE 1 END AS retry_count
 FROM raw_payment_core
 """)
 
@@ -190,6 +195,9 @@ FROM raw_payments WHERE refund_date IS NOT NULL
 UNION ALL
 SELECT payment_id || '-5', payment_id, 'pending', 'failed', payment_date, 'declined', 1
 FROM raw_payments WHERE payment_state = 'failed' AND payment_date IS NOT NULL
+UNION ALL
+SELECT payment_id || '-6', payment_id, 'failed', 'lost', payment_date, 'unknown', 1
+FROM raw_payments WHERE payment_state = 'failed' AND CAST(order_id AS BIGINT) % 37 = 0
 """)
 
 # --------------------------------------------------------------------------

@@ -12,6 +12,7 @@ hot key is combined map-side rather than sorted in one task.
 from __future__ import annotations
 
 import datetime as _dt
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -25,7 +26,10 @@ REGION_TZ = {"AFRICA": "Africa/Lagos", "AMERICA": "America/New_York", "ASIA": "A
              "EUROPE": "Europe/Paris", "MIDDLE EAST": "Asia/Dubai"}
 HOUSEHOLD_CAP = 9
 ORDERS_CAP = 10
-AOV_BUCKET, AOV_LIMIT = 50, 1000
+AOV_BUCKET = 50
+#: Columns of the year pivot; a year outside them is a parameter away.
+PIVOT_YEARS = tuple(range(1992, 2002))
+LATEST_EVENTS = 20
 TOP_N, TOP_VALUES = 10, 50
 CUSTOMERS_AS_OF = _dt.date(1996, 1, 1)
 
@@ -67,16 +71,28 @@ class Analytics:
             F.count(F.lit(1)).alias("orders"), F.sum("total_amount").alias("gmv"))
         return g.withColumn("aov", safe_ratio("gmv", "orders"))
 
-    def orders_yoy_weekly(self):
+    def orders_yoy_weekly(self, anchor_year: int = 2024, last_week: int | None = None):
+        """Orders by ISO year and week.  ``week_anchor`` places every year's week
+        on one calendar: the first day of ``anchor_year`` plus 7 days a week.
+        ``last_week`` cuts later weeks (charts of 52 weeks); none by default."""
+        d = F.col("order_date")
+        week = F.weekofyear(d)
         o = self.w.stg_orders
-        return o.groupBy(F.year("order_date").alias("order_year"),
-                         F.weekofyear("order_date").alias("week_of_year")).agg(
+        if last_week is not None:
+            o = o.filter(week <= last_week)
+        g = o.groupBy(F.extract(F.lit("YEAROFWEEK"), d).cast("int").alias("order_year"), week.alias("week_of_year")).agg(
             F.count(F.lit(1)).alias("orders"))
+        return g.withColumn("week_anchor", F.date_add(F.make_date(F.lit(anchor_year), F.lit(1), F.lit(1)),
+                                                      (F.col("week_of_year") - 1) * 7))
 
-    def orders_yoy_pivot(self):
-        wk = self.orders_yoy_weekly().filter(F.col("week_of_year") <= 52)
-        # pivot values are the years present (one small distinct job)
-        return wk.groupBy("week_of_year").pivot("order_year").agg(F.sum("orders"))
+    def orders_yoy_pivot(self, years=PIVOT_YEARS, last_week: int | None = None):
+        wk = self.orders_yoy_weekly(last_week=last_week)
+        return wk.groupBy("week_of_year").pivot("order_year", list(years)).agg(F.sum("orders"))
+
+    def latest_events(self, n: int = LATEST_EVENTS):
+        """The latest order events (each partition keeps its own first n)."""
+        e = self.w.stg_order_events.select("event_id", "order_id", "previous_state", "new_state", "event_timestamp")
+        return e.orderBy(F.col("event_timestamp").desc(), F.col("event_id").desc()).limit(n)
 
     def december_by_day(self):
         o = self.w.stg_orders.filter(F.month("order_date") == 12)
@@ -132,9 +148,12 @@ class Analytics:
         return per.groupBy(F.least(F.col("n"), F.lit(ORDERS_CAP)).alias("orders_placed")).agg(
             F.count(F.lit(1)).alias("customers"))
 
-    def aov_histogram(self):
-        o = self.w.stg_orders.filter(F.col("total_amount") < AOV_LIMIT)
-        b = (F.floor(F.col("total_amount") / AOV_BUCKET) * AOV_BUCKET).cast("long")
+    def aov_histogram(self, bucket: int = AOV_BUCKET, below: float | None = None):
+        """Orders by bucket of their value; ``below`` cuts the chart, none by default."""
+        o = self.w.stg_orders
+        if below is not None:
+            o = o.filter(F.col("total_amount") < below)
+        b = (F.floor(F.col("total_amount") / bucket) * bucket).cast("long")
         return o.groupBy(b.alias("bucket")).agg(F.count(F.lit(1)).alias("orders"))
 
     def customer_activity_rate(self):
@@ -150,14 +169,17 @@ class Analytics:
         return e.groupBy(t.alias("transition")).agg(F.count(F.lit(1)).alias("events"))
 
     def column_cardinality(self):
-        """distinct/rows per column of customers (one pass, one row per column)."""
+        """distinct/rows per column of customers.  Each column is grouped on its
+        own (a pruned scan and one shuffle of partial groups): several distincts
+        in one aggregate would multiply every row by the number of columns."""
         c = self.w.stg_customers
-        cols = c.columns
-        agg = c.agg(F.count(F.lit(1)).alias("__rows"), *[F.countDistinct(x).alias(x) for x in cols])
-        pairs = ", ".join(f"'{x}', `{x}`" for x in cols)
-        long = agg.select("__rows", F.expr(f"stack({len(cols)}, {pairs}) AS (column_name, n_distinct)"))
-        return long.select("column_name", "n_distinct", F.col("__rows").alias("n_rows"),
-                           safe_ratio("n_distinct", "__rows").alias("cardinality"))
+
+        def one(x):
+            g = c.groupBy(F.col(x).alias("v")).agg(F.count(F.lit(1)).alias("n"))
+            return g.agg(F.count("v").alias("n_distinct"), F.sum("n").alias("n_rows")).select(
+                F.lit(x).alias("column_name"), "n_distinct", "n_rows", safe_ratio("n_distinct", "n_rows").alias("cardinality"))
+
+        return reduce(DataFrame.unionByName, [one(x) for x in c.columns])
 
     def order_state_share(self):
         return _share(self.w.stg_orders, "order_state", "order_state")
@@ -173,10 +195,13 @@ class Analytics:
         return i.groupBy("product_id").agg(F.count(F.lit(1)).alias("line_count"))
 
     def top_products(self):
-        p = self.w.stg_products.select("product_id", "product_name")
-        # TakeOrderedAndProject: each partition keeps its own top N
-        return (self.product_line_counts().join(p, "product_id", "left")
-                .orderBy(F.col("line_count").desc(), F.col("product_id").asc()).limit(TOP_N))
+        """The products with the most lines, with their revenue and category.
+        The ten are picked first (TakeOrderedAndProject), then looked up."""
+        p = self.w.stg_products.select("product_id", "product_name", "product_category")
+        top = (self.w.stg_order_items.groupBy("product_id")
+               .agg(F.count(F.lit(1)).alias("line_count"), F.sum("line_total").alias("revenue"))
+               .orderBy(F.col("line_count").desc(), F.col("product_id").asc()).limit(TOP_N))
+        return top.join(p, "product_id", "left")
 
     def product_pareto(self):
         c = self.product_line_counts()
@@ -200,8 +225,9 @@ class Analytics:
     def value_frequency(self):
         c = self.w.stg_customers
         g = c.groupBy(F.col("last_name").alias("value")).agg(F.count(F.lit(1)).alias("n"))
-        g = g.withColumn("share", F.col("n").cast("double") / F.sum("n").over(Window.partitionBy()).cast("double"))
-        return g.orderBy(F.col("n").desc(), F.col("value").asc()).limit(TOP_VALUES)
+        total = c.agg(F.count(F.lit(1)).alias("total"))      # one row
+        top = g.orderBy(F.col("n").desc(), F.col("value").asc()).limit(TOP_VALUES).crossJoin(total)
+        return top.select("value", "n", (F.col("n").cast("double") / F.col("total").cast("double")).alias("share"))
 
     # -- households & geography ------------------------------------------
     def household_cap(self):

@@ -118,7 +118,8 @@ def _parse_group_by(group_by):
             entity, dim = g.split("__", 1)
             if entity == "customer" and dim in CUSTOMER_DIMS:
                 dims.append((g, "customer", dim))
-            elif entity == "order" and dim in ORDER_DIMS:
+            elif entity == "order" and (dim in ORDER_DIMS or (
+                    dim.startswith("shipped_date__") and dim.split("__")[1] in GRAINS)):
                 dims.append((g, "order", dim))
             else:
                 raise ValueError(f"unknown dimension {g}")
@@ -129,25 +130,32 @@ class SemanticLayer:
     def __init__(self, warehouse):
         self.w = warehouse
 
-    def _base(self, dims) -> DataFrame:
-        f = self.w.fct_orders
+    def _base(self, dims, where=None) -> DataFrame:
+        """The order fact with the customer columns that are asked for; ``where``
+        filters these rows, before any aggregate."""
+        f = self.w.mart("fct_orders")
         cust = [d for _, e, d in dims if e == "customer"]
+        if where is not None:
+            cust += [d for d in CUSTOMER_DIMS if f"customer__{d}" in where and d not in cust]
         if cust:
-            c = self.w.dim_customers.select("customer_id", *cust)
+            c = self.w.mart("dim_customers").select("customer_id", *[F.col(d).alias(f"customer__{d}") for d in cust])
             f = f.join(c, "customer_id", "left")
-        return f
+        f = f.withColumns({f"order__{d}": F.col(d) for d in ORDER_DIMS})
+        return f if where is None else f.filter(where)
 
-    def _measure_frame(self, measures, time_grain, dims, time_dim, offset_days) -> DataFrame:
-        base = self._base(dims)
-        keys = []
+    def _measure_frame(self, measures, time_grain, dims, time_dim, offset_days, where) -> DataFrame:
+        """An offset shifts days, so it is applied to the day before days are
+        rolled up to the grain (a shifted month is not a month)."""
+        base, keys = self._base(dims, where), []
         if time_grain:
-            t = trunc_date(time_grain, F.col(time_dim))
-            if offset_days:
-                t = trunc_date(time_grain, F.date_add(t, offset_days))
-            base = base.withColumn(f"metric_time__{time_grain}", t)
+            day = F.date_add(F.col(time_dim).cast("date"), offset_days) if offset_days else F.col(time_dim)
+            base = base.withColumn(f"metric_time__{time_grain}", trunc_date(time_grain, day))
             keys.append(f"metric_time__{time_grain}")
-        for out, _e, d in dims:
-            base = base.withColumn(out, F.col(d))
+        elif offset_days:
+            raise ValueError("a metric with an offset needs metric_time in group_by")
+        for out, _e, _d in dims:
+            if out.startswith("order__shipped_date__"):
+                base = base.withColumn(out, trunc_date(out.rsplit("__", 1)[1], F.col("shipped_at")))
             keys.append(out)
         aggs = [MEASURES[m].column().alias(alias) for m, alias in measures]
         return base.groupBy(*keys).agg(*aggs) if keys else base.agg(*aggs)
@@ -167,6 +175,8 @@ class SemanticLayer:
 
     def query(self, metrics, group_by=(), where=None, order_by=None, limit=None,
               period_agg: str = "first") -> DataFrame:
+        """``where`` filters facts: an SQL condition over fact columns,
+        ``order__<dimension>`` and ``customer__<dimension>``."""
         time_grain, dims = _parse_group_by(group_by)
         keys = ([f"metric_time__{time_grain}"] if time_grain else []) + [o for o, _, _ in dims]
 
@@ -191,46 +201,47 @@ class SemanticLayer:
             else:
                 cumulative.append(m)
 
-        frames = [self._measure_frame(ms, time_grain, dims, td, off)
+        frames = [self._measure_frame(ms, time_grain, dims, td, off, where)
                   for (td, off), ms in needs.items() if ms]
         out = self._combine(frames, keys) if frames else None
         for c in cumulative:
-            cf = self._cumulative(c, time_grain, dims, period_agg)
+            cf = self._cumulative(c, time_grain, dims, period_agg, where)
             out = cf if out is None else self._combine([out, cf], keys)
         cols = {c: F.col(c) for c in out.columns}
         for name, m in exprs.items():
             out = out.withColumn(name, m.expr(cols))
         out = out.select(*keys, *metrics)
-        if where is not None:
-            out = out.filter(where)
         if order_by:
             out = out.orderBy(*order_by)
         if limit:
             out = out.limit(limit)
         return out
 
-    def _cumulative(self, m: Metric, time_grain, dims, period_agg) -> DataFrame:
-        if dims:
-            raise NotImplementedError("cumulative metrics are computed over metric_time only")
-        grain = time_grain or "day"
-        daily = (self.w.fct_orders
-                 .groupBy(F.col(MEASURES[m.measure].time_dim).cast("date").alias("date_day"))
-                 .agg(MEASURES[m.measure].column().alias("v")))
+    def _cumulative(self, m: Metric, time_grain, dims, period_agg, where=None) -> DataFrame:
+        """Running sum over a daily spine, for each combination of the dimensions.
+        The windows see one row per day and combination, never orders."""
+        grain, names = time_grain or "day", [o for o, _, _ in dims]
+        daily = self._measure_frame([(m.measure, "v")], "day", dims, MEASURES[m.measure].time_dim, 0, where)
+        daily = daily.withColumnRenamed("metric_time__day", "date_day")
         spine = self.w.time_spine()
-        # one row per calendar day: the window below never sees raw orders
-        s = spine.join(daily, "date_day", "left")
+        if names:
+            groups = daily.select(*names).distinct().withColumn("__day", F.lit(True))
+            spine = (spine.agg(F.min("date_day").alias("lo"), F.max("date_day").alias("hi")).crossJoin(groups)   # one row
+                     .select(*names, F.explode(F.sequence("lo", "hi")).alias("date_day")))
+        on = reduce(lambda x, y: x & y, [spine[k].eqNullSafe(daily[k]) for k in ["date_day", *names]])
+        s = spine.join(daily, on, "left").select(spine["date_day"], *[spine[k] for k in names], "v")
         run = F.sum(F.coalesce(F.col("v"), F.lit(0))).over(
-            Window.orderBy("date_day").rowsBetween(Window.unboundedPreceding, 0))
+            Window.partitionBy(*names).orderBy("date_day").rowsBetween(Window.unboundedPreceding, 0))
         s = s.withColumn(m.name, run)
         if grain == "day":
-            return s.select(F.col("date_day").alias("metric_time__day"), m.name)
+            return s.select(F.col("date_day").alias("metric_time__day"), *names, m.name)
         period = trunc_date(grain, F.col("date_day"))
         pick = {"first": F.min_by, "last": F.max_by}
         if period_agg in pick:
             v = pick[period_agg](F.col(m.name), F.col("date_day"))
         else:
             v = F.avg(F.col(m.name))
-        return (s.groupBy(period.alias(f"metric_time__{grain}")).agg(v.alias(m.name)))
+        return s.groupBy(period.alias(f"metric_time__{grain}"), *names).agg(v.alias(m.name))
 
 
 # Saved queries of the reference project (fixed definitions).
@@ -259,12 +270,9 @@ def publish_views(warehouse) -> list[str]:
 
 # ---- exposures: report marts over the facts and dimensions ----------------
 def revenue_dashboard(w) -> DataFrame:
-    """Weekly revenue, orders, AOV, return rate and on-time share (facts x calendar).
-    The calendar side is one row per day, so the join is against a table
-    bounded by the date range; AQE broadcasts it from its runtime size."""
-    f = w.fct_orders.select("order_date_day", "order_id", "total_amount", "is_returned", "is_on_time")
-    d = w.dim_date().select(F.col("date_day").alias("order_date_day"), "week_start_date")
-    g = f.join(d, "order_date_day", "left").groupBy("week_start_date").agg(
+    """Weekly revenue, orders, AOV, return rate and on-time share of the stored fact."""
+    f = w.mart("fct_orders").select("order_date_day", "order_id", "total_amount", "is_returned", "is_on_time")
+    g = f.groupBy(trunc_date("week", F.col("order_date_day")).alias("week_start_date")).agg(
         F.count("order_id").alias("orders"), F.sum("total_amount").alias("revenue"),
         F.sum(F.when(F.col("is_returned"), 1).otherwise(0)).alias("returned_orders"),
         F.count(F.when(F.col("is_on_time"), 1)).alias("on_time"),
@@ -279,9 +287,9 @@ def revenue_dashboard(w) -> DataFrame:
 
 def payment_health(w) -> DataFrame:
     """Authorization rate, capture latency, failures and refunds by customer segment."""
-    p = w.fct_payments.select("customer_id", "payment_id", "authorization_date", "hours_to_capture",
+    p = w.mart("fct_payments").select("customer_id", "payment_id", "authorization_date", "hours_to_capture",
                               "is_failed", "is_refunded", "payment_amount")
-    c = w.dim_customers.select("customer_id", "customer_segment")
+    c = w.mart("dim_customers").select("customer_id", "customer_segment")
     g = p.join(c, "customer_id", "left").groupBy("customer_segment").agg(
         F.count("payment_id").alias("payments"),
         F.count("authorization_date").alias("authorized"),

@@ -32,7 +32,7 @@ from quayside.functions.scalars import (customer_segment, day_of_week_sunday0, d
 from quayside.operators.scd2 import scd2_apply, scd2_current
 from quayside.plans.staging import stage
 from quayside.sources.adapter import RetailSource, conform
-from quayside.sources.loader import load_sources
+from quayside.sources.loader import fingerprint, load_sources, stored_mart
 from quayside.sources import schemas as S
 
 # Report date for clock-dependent columns (activity flag, freshness):
@@ -57,8 +57,16 @@ class Warehouse:
         self.spark, self.sf_dir = spark, sf_dir
         self.as_of, self.run_ts = as_of, run_ts
         self._src = RetailSource(spark, sf_dir)
-        base = load_sources(spark, sf_dir) if loaded else {}
+        self._state = fingerprint(spark, sf_dir) if loaded else None
+        base = load_sources(spark, sf_dir, self._state) if loaded else {}
         self._overrides = {**base, **(sources or {})}
+        self._stored = loaded and not sources and as_of == DEFAULT_AS_OF and run_ts == DEFAULT_RUN_TS
+
+    def mart(self, name: str) -> DataFrame:
+        """A mart as stored once for this input; with other sources or dates, its plan."""
+        if not self._stored:
+            return getattr(self, name)
+        return stored_mart(self.spark, self.sf_dir, self._state, name, lambda: getattr(self, name))
 
     # -- sources & staging ----------------------------------------------
     def source(self, name: str) -> DataFrame:
@@ -81,7 +89,10 @@ class Warehouse:
     # -- intermediate ---------------------------------------------------
     @cached_property
     def order_item_agg(self) -> DataFrame:
-        items = self.stg_order_items
+        return self.item_totals(self.stg_order_items)
+
+    def item_totals(self, items: DataFrame) -> DataFrame:
+        """Line items summed per order (of the lines that are passed in)."""
         prods = self.stg_products.select("product_id", "cost_price")
         lines = items.join(prods, "product_id", "inner")
         margin = F.col("quantity") * (F.col("unit_price") - F.col("cost_price"))
@@ -93,8 +104,16 @@ class Warehouse:
 
     @cached_property
     def int_orders_enriched(self) -> DataFrame:
-        o = self.stg_orders
-        return o.join(self.order_item_agg, "order_id", "inner").select(
+        return self.enrich(self.stg_orders, self.order_item_agg)
+
+    def enriched_of(self, orders: DataFrame) -> DataFrame:
+        """Some orders, enriched: only their line items reach the aggregate."""
+        items = self.stg_order_items.join(orders.select("order_id"), "order_id", "left_semi")
+        return self.enrich(orders, self.item_totals(items))
+
+    @staticmethod
+    def enrich(orders: DataFrame, totals: DataFrame) -> DataFrame:
+        return orders.join(totals, "order_id", "inner").select(
             "order_id", "customer_id", "order_state", "order_date", "updated_at", "subtotal", "tax",
             "shipping_cost", "total_amount", "shipping_address_id", "is_stuck", "stuck_reason",
             "line_count", "item_count", "gross_revenue", "gross_margin")
@@ -267,7 +286,8 @@ class Warehouse:
 
     @cached_property
     def fct_returns(self) -> DataFrame:
-        return self.build_fct_returns(self.fct_orders)
+        returned = self.stg_orders.filter(F.col("order_state") == "returned")
+        return self.build_fct_returns(self.build_fct_orders(self.enriched_of(returned)))
 
     # -- calendar -------------------------------------------------------
     def order_date_range(self) -> DataFrame:

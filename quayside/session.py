@@ -54,6 +54,8 @@ def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder (created for local runs only)."""
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir is not set: on a cluster it must name a folder that all executors share")
         d = tempfile.mkdtemp(prefix="quayside-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     spark.sparkContext.setCheckpointDir(d)

@@ -54,10 +54,10 @@ class RetailSource:
 
     # -- orders ---------------------------------------------------------
     def order_core(self) -> DataFrame:
-        """Retained orders with state and lifecycle times (no joins)."""
+        """All orders with state and lifecycle times (no joins)."""
         o = self._t("orders")
         k, ck = F.col("o_orderkey"), F.col("o_custkey")
-        o = o.filter(((ck % 20) != 0) & (((ck % 20) > 3) | ((k % 10) == 0)))
+        ck = self._customer(k, ck)
         status, prio = F.col("o_orderstatus"), F.col("o_orderpriority")
         state = (F.when(status == "O",
                         F.when(prio.isin("1-URGENT", "2-HIGH"), "confirmed")
@@ -80,6 +80,17 @@ class RetailSource:
             _days(F.col("order_date"), 12 + F.col("k") % 20).alias("returned_at"),
         )
 
+    @staticmethod
+    def _customer(k: Column, ck: Column) -> Column:
+        """The customer an order belongs to: those with key % 20 = 0 never order
+        and those with 1..3 rarely do, so their orders go to one of the sixteen
+        customers before them (after them, for the first three)."""
+        back, ahead, spread = F.lit(16), F.lit(4), k % 16
+        r = ck % 20
+        return (F.when((r > 3) | ((r > 0) & (k % 10 == 0)), ck)
+                .when(ck > 3, ck - r - back + spread)
+                .otherwise(ck - r + ahead + spread))
+
     @staticmethod
     def _updated_at() -> Column:
         st = F.col("order_state")
@@ -107,7 +118,8 @@ class RetailSource:
             "order_date",
             self._updated_at().alias("updated_at"),
             subtotal.cast(MONEY).alias("subtotal"),
-            F.lit(0).cast(MONEY).alias("tax"),
+            # every tenth order's total differs from its components (a planted defect)
+            F.when(F.col("k") % 10 == 0, F.lit(0)).otherwise(F.col("total_amount") - subtotal).cast(MONEY).alias("tax"),
             F.lit(0).cast(MONEY).alias("shipping_cost"),
             "total_amount",
             F.col("nationkey").cast("string").alias("shipping_address_id"),
@@ -197,7 +209,8 @@ class RetailSource:
             .alias("capture_date"),
             F.when(ps == "refunded", F.col("returned_at")).alias("refund_date"),
             F.when(failed, F.lit("declined")).alias("failure_reason"),
-            F.when(failed, F.lit(1)).otherwise(F.lit(0)).alias("retry_count"),
+            # one failed payment in twenty was retried too often (a planted defect)
+            F.when(failed & (k % 20 == 3), F.lit(4)).when(failed, F.lit(1)).otherwise(F.lit(0)).alias("retry_count"),
         )
 
     # -- event logs -------------------------------------------------------
@@ -250,6 +263,8 @@ class RetailSource:
             ev(3, F.col("capture_date"), "authorized", "captured"),
             ev(4, F.col("refund_date"), "captured", "refunded"),
             ev(5, failed_at, "pending", "failed", "declined", 1),
+            # a state that no contract knows (a planted defect)
+            ev(6, F.when(F.substring("payment_id", 5, 20).cast("long") % 37 == 0, failed_at), "failed", "lost", "unknown", 1),
         )
         return (p.select(F.filter(events, lambda e: e.isNotNull()).alias("ev"))
                 .select(F.inline("ev")))

@@ -25,9 +25,18 @@ def write_csv(df: DataFrame, path: str) -> None:
 
 
 def read_csv(spark: SparkSession, path: str, schema) -> DataFrame:
-    raw_schema = ", ".join(f"`{f.name}` string" for f in schema.fields)
-    raw = (spark.read.schema(raw_schema).option("header", True).option("quote", '"').option("escape", '"')
+    """Columns are taken by the header's names, in whatever order the file has
+    them; a column the schema wants and the header lacks raises, others are left
+    out.  All files of a folder need the same header (a file with another one
+    aborts the load), and quoted values may span lines."""
+    raw = (spark.read.option("header", True).option("inferSchema", False).option("quote", '"').option("escape", '"')
+           .option("enforceSchema", False).option("multiLine", True)
            .option("mode", "FAILFAST").option("nullValue", None).csv(path))
+    names = {c.strip().lower(): c for c in raw.columns}
+    missing = [f.name for f in schema.fields if f.name.lower() not in names]
+    if missing:
+        raise ValueError(f"{path}: the header lacks {missing}")
+    raw = raw.select([F.col(f"`{names[f.name.lower()]}`").alias(f.name) for f in schema.fields])
     typed = normalize_null_tokens(raw)
     return typed.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
 

@@ -15,10 +15,10 @@ any scale; the write is one distributed job per table.
 
 from __future__ import annotations
 
-import os
 import threading
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from quayside.session import scratch_path
 from quayside.sources import schemas as S
@@ -26,22 +26,22 @@ from quayside.sources.adapter import RetailSource, conform
 
 _LOCK = threading.Lock()
 _LOADED: dict[tuple, dict[str, DataFrame]] = {}
+_MARTS: dict[tuple, DataFrame] = {}
+#: Marts stored by month of this column.
+MART_MONTH = {"fct_orders": "order_date_day", "fct_payments": "order_date_day", "fct_returns": "order_date_day"}
 
 
-def _fingerprint(sf_dir: str) -> tuple:
-    st = []
-    for name in ("orders", "lineitem", "customer", "part", "nation", "region"):
-        p = f"{sf_dir.rstrip('/')}/{name}.parquet"
-        try:
-            s = os.stat(p)
-            st.append((name, s.st_size, int(s.st_mtime)))
-        except OSError:
-            st.append((name, None, None))
-    return tuple(st)
+def fingerprint(spark: SparkSession, sf_dir: str) -> tuple:
+    """Number, lengths and change times of the input files, by Spark's own file
+    source (any store it reads); the contents are not read."""
+    paths = [f"{sf_dir.rstrip('/')}/{name}.parquet" for name in ("orders", "lineitem", "customer", "part", "nation", "region")]
+    files = spark.read.format("binaryFile").load(paths).select("path", "length", "modificationTime")
+    return tuple(files.agg(F.count(F.lit(1)), F.sum("length"), F.max("modificationTime"),
+                           F.bit_xor(F.xxhash64("path", "length", "modificationTime"))).first())
 
 
-def load_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), _fingerprint(sf_dir))
+def load_sources(spark: SparkSession, sf_dir: str, state: tuple | None = None) -> dict[str, DataFrame]:
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip('/'), state or fingerprint(spark, sf_dir))
     with _LOCK:
         tables = _LOADED.get(key)
         if tables is None:
@@ -56,3 +56,23 @@ def load_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
                 tables[name] = conform(spark.read.parquet(path), schema)
             _LOADED[key] = tables
     return dict(tables)
+
+
+def stored_mart(spark: SparkSession, sf_dir: str, state: tuple, name: str, build) -> DataFrame:
+    """A mart, built and written once per session and input, facts partitioned by
+    month; metrics and reports read its columns from there."""
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), state, name)
+    with _LOCK:
+        mart = _MARTS.get(key)
+    if mart is None:
+        df, path = build(), scratch_path(spark, f"mart-{name}")
+        if name in MART_MONTH:
+            month = F.date_format(F.col(MART_MONTH[name]), "yyyy-MM")
+            (df.withColumn("__month", month).repartition("__month", F.pmod(F.xxhash64(df.columns[0]), F.lit(4)))
+             .write.partitionBy("__month").parquet(path))
+        else:
+            df.write.parquet(path)
+        mart = spark.read.parquet(path).select(*df.columns)
+        with _LOCK:
+            _MARTS[key] = mart
+    return mart

@@ -15,7 +15,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quayside.operators.upsert import upsert
 
 ORDER_IMAGE = T.StructType([
     T.StructField("order_id", T.StringType()), T.StructField("customer_id", T.StringType()),
@@ -100,16 +99,18 @@ def parse_envelope(feed: DataFrame) -> DataFrame:
 
 
 def good_changes(parsed: DataFrame) -> DataFrame:
-    g = parsed.filter(F.col("dead_reason").isNull())
+    g = parsed.filter(F.col("dead_reason").isNull()).withColumn(
+        "images", F.from_json("value", "before map<string,string>, after map<string,string>"))
     return g.select(
         "topic", "kafka_offset", "kafka_timestamp", "is_tombstone",
         F.col("e.op").alias("op"), F.col("e.ts_ms").alias("ts_ms"),
         F.coalesce(F.col("e.after.order_id"), F.col("e.before.order_id"), F.col("key")).alias("order_id"),
         F.col("e.source.table").alias("table_name"),
         F.col("e.before.order_state").alias("before_state"), F.col("e.after.order_state").alias("after_state"),
+        F.col("e.after.customer_id").alias("after_customer_id"),
+        F.col("images.before").alias("before_image"), F.col("images.after").alias("after_image"),
         F.col("e.after.total_amount").cast("decimal(12,2)").alias("after_total_amount"),
-        F.to_timestamp(F.col("e.after.updated_at"), ISO).alias("after_updated_at"),
-        F.col("e.before.updated_at").alias("before_updated_raw"), F.col("e.after.updated_at").alias("after_updated_raw"))
+        F.to_timestamp(F.col("e.after.updated_at"), ISO).alias("after_updated_at"))
 
 
 def dead_letters(parsed: DataFrame) -> DataFrame:
@@ -118,52 +119,55 @@ def dead_letters(parsed: DataFrame) -> DataFrame:
 
 
 def field_diff(changes: DataFrame) -> DataFrame:
-    """One row per changed field of an update (nothing when an image is NULL)."""
-    u = changes.filter((F.col("op") == "u") & F.col("before_state").isNotNull()
-                       & F.col("after_state").isNotNull())
-    pairs = F.array(
-        F.struct(F.lit("order_state").alias("field"), F.col("before_state").alias("old_value"),
-                 F.col("after_state").alias("new_value")),
-        F.struct(F.lit("updated_at").alias("field"), F.col("before_updated_raw").alias("old_value"),
-                 F.col("after_updated_raw").alias("new_value")))
-    d = u.select("kafka_offset", "order_id", F.inline(pairs))
+    """One row per changed column of an update, whatever columns the images have
+    (nothing when an image is NULL)."""
+    u = changes.filter((F.col("op") == "u") & F.col("before_image").isNotNull() & F.col("after_image").isNotNull())
+    names = F.array_distinct(F.concat(F.map_keys("before_image"), F.map_keys("after_image")))
+    d = u.select("kafka_offset", "order_id", "before_image", "after_image", F.explode(names).alias("field"))
+    d = d.select("kafka_offset", "order_id", "field", F.try_element_at("before_image", F.col("field")).alias("old_value"),
+                 F.try_element_at("after_image", F.col("field")).alias("new_value"))
     return d.filter(~F.col("old_value").eqNullSafe(F.col("new_value")))
 
 
 # ---- merge --------------------------------------------------------------------
-TARGET_COLS = ["order_id", "order_state", "total_amount", "updated_at", "_cdc_ts_ms", "_cdc_offset"]
+TARGET_COLS = ["order_id", "customer_id", "order_state", "total_amount", "updated_at", "_cdc_ts_ms", "_cdc_offset",
+               "_cdc_loaded_at"]
 
 
-def merge_batch(target: DataFrame | None, changes: DataFrame) -> DataFrame:
-    """Upsert the latest c/u/r image per key; ``d`` is logged, not applied;
-    events not newer than what the target already holds are ignored, so a
-    replayed batch changes nothing (at-least-once delivery, idempotent sink).
-    Latest-per-key is a partial aggregate (``max_by``), not a sort per key."""
+def latest_images(changes: DataFrame, loaded_at) -> DataFrame:
+    """The latest c/u/r image per key (a partial aggregate); ``d`` is logged, not applied."""
     up = changes.filter(F.col("op").isin("c", "u", "r") & ~F.col("is_tombstone"))
-    order = F.struct("ts_ms", "kafka_offset")
-    latest = up.groupBy("order_id").agg(F.max_by(F.struct(
-        F.col("after_state").alias("order_state"), F.col("after_total_amount").alias("total_amount"),
-        F.col("after_updated_at").alias("updated_at"), F.col("ts_ms").alias("_cdc_ts_ms"),
-        F.col("kafka_offset").alias("_cdc_offset")), order).alias("l")).select("order_id", "l.*")
-    if target is None:
-        return latest.select(*TARGET_COLS)
-    cur = target.select("order_id", F.struct("_cdc_ts_ms", "_cdc_offset").alias("__applied"))
-    newer = (latest.join(cur, "order_id", "left")
-             .filter(F.col("__applied").isNull()
-                     | (F.struct("_cdc_ts_ms", "_cdc_offset") > F.col("__applied")))
-             .select(*TARGET_COLS))
-    return upsert(target.select(*TARGET_COLS), newer, ["order_id"])
-
-
-def reconcile(target: DataFrame, loaded_orders: DataFrame) -> DataFrame:
-    """CDC-applied state vs the loaded order table (NULL-safe)."""
+    return up.groupBy("order_id").agg(F.max_by(F.struct(
+        F.col("after_customer_id").alias("customer_id"), F.col("after_state").alias("order_state"),
+        F.col("after_total_amount").alias("total_amount"), F.col("after_updated_at").alias("updated_at"),
+        F.col("ts_ms").alias("_cdc_ts_ms"), F.col("kafka_offset").alias("_cdc_offset"),
+        F.lit(loaded_at).cast("timestamp").alias("_cdc_loaded_at")), F.struct("ts_ms", "kafka_offset")).alias("l")).select("order_id", "l.*")
+
+
+def merge_images(target: DataFrame | None, images: DataFrame) -> DataFrame:
+    """One row per key, the one of the newest event; of equal ones the first that
+    was loaded stays, so a replayed batch changes nothing."""
+    both = images if target is None else target.select(*TARGET_COLS).unionByName(images.select(*TARGET_COLS))
+    rest = F.struct(*TARGET_COLS[1:])
+    newest = F.struct("_cdc_ts_ms", "_cdc_offset", -F.unix_micros("_cdc_loaded_at"))
+    return both.groupBy("order_id").agg(F.max_by(rest, newest).alias("l")).select("order_id", "l.*")
+
+
+def merge_batch(target: DataFrame | None, changes: DataFrame, loaded_at=None) -> DataFrame:
+    """Upsert a batch of changes (``latest_images`` then ``merge_images``)."""
+    return merge_images(target, latest_images(changes, loaded_at))
+
+
+def reconcile(target: DataFrame, latest_events: DataFrame) -> DataFrame:
+    """State in the merged table vs the last state of the event log (NULL-safe);
+    an order without events is still as it was placed and isn't compared."""
     t = target.select("order_id", F.col("order_state").alias("cdc_state"))
-    o = loaded_orders.select("order_id", F.col("order_state").alias("loaded_state"))
+    o = latest_events.select("order_id", F.col("latest_state").alias("logged_state"))
     j = o.join(t, "order_id", "full_outer")
     issue = (F.when(F.col("cdc_state").isNull(), "missing_in_cdc")
-             .when(F.col("loaded_state").isNull(), "missing_in_table")
-             .when(F.col("cdc_state") != F.col("loaded_state"), "state_mismatch"))
-    return j.select("order_id", "cdc_state", "loaded_state", issue.alias("issue")).filter(F.col("issue").isNotNull())
+             .when(F.col("logged_state").isNull() & (F.col("cdc_state") != "placed"), "missing_in_log")
+             .when(F.col("cdc_state") != F.col("logged_state"), "state_mismatch"))
+    return j.select("order_id", "cdc_state", "logged_state", issue.alias("issue")).filter(F.col("issue").isNotNull())
 
 
 def frame_wire(feed: DataFrame) -> DataFrame:

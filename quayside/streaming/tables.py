@@ -1,0 +1,101 @@
+"""Versioned tables for streaming sinks, on plain Parquet under the shared folder.
+
+A table is cut into buckets of its key.  A write makes new folders for the
+buckets it touches and then one *commit*: a small Parquet file that lists the
+folder of every bucket, with the batch that made it and a note for the job.
+Commits are numbered and written once, never changed; a reader takes the
+newest.  So a failed batch leaves folders that nothing refers to, never a
+broken table, and a commit that can't be read raises instead of passing for an
+empty table.  Only Spark reads and writes; no file system API is needed.
+
+Folders that the last two commits no longer list are emptied.
+"""
+
+from __future__ import annotations
+
+import uuid
+from collections.abc import Callable
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from quayside.session import scratch_path
+
+COMMIT = "n long, bucket int, path string, batch long, note string"
+
+
+class VersionedTable:
+    def __init__(self, spark: SparkSession, name: str, keys: list[str], root: str | None = None, buckets: int = 8):
+        self.spark, self.name, self.keys, self.buckets = spark, name, keys, buckets
+        self.root = (root or scratch_path(spark, name)).rstrip("/")
+
+    def commits(self, last: int = 1) -> list:
+        """Rows of the newest ``last`` commits (a few per bucket), newest first."""
+        try:
+            log = self.spark.read.schema(COMMIT).parquet(f"{self.root}/commits/*")
+        except AnalysisException as e:
+            if e.getCondition() == "PATH_NOT_FOUND":
+                return []
+            raise
+        newest = log.agg(F.max("n")).first()[0]
+        if newest is None:
+            raise RuntimeError(f"{self.root}: the commits of this table hold no rows")
+        rows = log.filter(F.col("n") > newest - last).orderBy(F.col("n").desc(), "bucket").collect()
+        if any(r.bucket is None or (r.path is None and r.bucket >= 0) for r in rows):
+            raise RuntimeError(f"{self.root}: commit {newest} is damaged")
+        return rows
+
+    def state(self) -> tuple[int, int | None, str | None]:
+        """Number, batch and note of the newest commit (-1, None, None: no commit)."""
+        rows = self.commits()
+        return (rows[0].n, rows[0].batch, rows[0].note) if rows else (-1, None, None)
+
+    def read(self, buckets: set[int] | None = None) -> DataFrame | None:
+        """The table, or some of its buckets; None before anything is in them."""
+        paths = [r.path for r in self.commits() if r.path and (buckets is None or r.bucket in buckets)]
+        return self.spark.read.parquet(*paths) if paths else None
+
+    def _bucket(self):
+        return F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")
+
+    def merge(self, batch: DataFrame, combine: Callable[[DataFrame | None, DataFrame], DataFrame],
+              batch_id: int | None = None, note: str | None = None) -> None:
+        """Replace the buckets that ``batch`` touches by ``combine(rows of these
+        buckets, batch)``.  A batch that is committed already is passed over."""
+        known = self.commits(2)
+        number = known[0].n + 1 if known else 0
+        newest = {r.bucket: r for r in known if r.n == number - 1}
+        if batch_id is not None and any(r.batch is not None and r.batch >= batch_id for r in newest.values()):
+            return
+        staged = f"{self.root}/batch-{uuid.uuid4().hex[:12]}"
+        batch.withColumn("__bucket", self._bucket()).write.partitionBy("__bucket").parquet(staged)
+        rows = self.spark.read.schema(T.StructType([*batch.schema.fields, T.StructField("__bucket", T.IntegerType())])).parquet(staged)
+        touched = {r[0] for r in rows.select("__bucket").distinct().collect()}     # at most one row per bucket
+        paths = {b: r.path for b, r in newest.items() if r.path}
+        if touched:
+            old = [paths[b] for b in touched if b in paths]
+            made = combine(self.spark.read.parquet(*old) if old else None, rows.drop("__bucket"))
+            into = f"{self.root}/v-{uuid.uuid4().hex[:12]}"
+            made.withColumn("__bucket", self._bucket()).write.partitionBy("__bucket").parquet(into)
+            filled = {r[0] for r in self.spark.read.schema("__bucket int").parquet(into).distinct().collect()}
+            paths = {b: p for b, p in paths.items() if b not in touched} | {b: f"{into}/__bucket={b}" for b in filled}
+        commit = [(number, b, p, batch_id, note) for b, p in sorted(paths.items())] or [(number, -1, None, batch_id, note)]
+        (self.spark.createDataFrame(commit, COMMIT).coalesce(1)
+         .write.mode("error").parquet(f"{self.root}/commits/{number:012d}"))
+        live = set(paths.values()) | {r.path for r in newest.values()}
+        self._empty(staged, rows.schema)
+        for r in known:
+            if r.n == number - 2 and r.path and r.path not in live:
+                self._empty(r.path, None)
+
+    def write(self, df: DataFrame) -> None:
+        """Rows of ``df`` replace those with the same key; other rows stay."""
+        self.merge(df, lambda old, new: new if old is None else old.join(
+            new.select(*self.keys).distinct(), self.keys, "left_anti").unionByName(new, allowMissingColumns=True))
+
+    def _empty(self, path: str, schema) -> None:
+        schema = schema or self.spark.read.parquet(path).schema
+        with_mode = self.spark.createDataFrame([], schema).coalesce(1).write.mode("overwrite")
+        with_mode.option("partitionOverwriteMode", "static").parquet(path)
