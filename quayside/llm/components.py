@@ -11,26 +11,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quayside.llm.common import stored
+from quayside.llm.common import join_counted, stored
 
 
-def _star(edges: DataFrame, small: bool) -> DataFrame:
+def _star(edges: DataFrame, small: bool, n: int) -> DataFrame:
     """One star step over (u, v) pairs with u > v, unique.
 
     large: each node links its larger neighbours to the smallest node it sees.
     small: each node links its smaller neighbours and itself to that node.
     A hub's neighbourhood is never gathered: its minimum is a partial
-    aggregate, and the join back is one row per edge (AQE splits a hot hub).
+    aggregate, and its edges meet that minimum where they are.
     """
     if small:
         near = edges
     else:
         near = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    low = near.groupBy("u").agg(F.min("v").alias("m0")).select(F.col("u").alias("k"), F.least("u", "m0").alias("m"))
-    step = near.join(low, near.u == low.k)
+    low = near.groupBy("u").agg(F.min("v").alias("m0"), F.count(F.lit(1)).alias("c")).select("u", F.least("u", "m0").alias("m"), "c")
+    step = join_counted(near, low, "u", 2 * n)
     if small:
         out = step.select(F.col("v").alias("a"), F.col("m").alias("b")).unionByName(
-            low.select(F.col("k").alias("a"), F.col("m").alias("b")))
+            low.select(F.col("u").alias("a"), F.col("m").alias("b")))
     else:
         out = step.filter("v > u").select(F.col("v").alias("a"), F.col("m").alias("b"))
     return out.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
@@ -47,7 +47,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
     state = lambda x: x.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v"))).first()
     before = state(e)
     while before[0]:
-        e = stored(_star(_star(e, small=False), small=True), "cc-edges")
+        e = stored(_star(_star(e, False, before[0]), True, before[0]), "cc-edges")
         now = state(e)
         if now == before:  # every edge leads from a node to its root
             break
