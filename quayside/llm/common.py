@@ -66,20 +66,3 @@ def with_result(df: DataFrame, row: str, **new: Column) -> DataFrame:
     taken = {n.lower() for n in new}
     keep = [F.col(f"{row}.`{f.name}`") for f in df.schema[row].dataType.fields if f.name.lower() not in taken]
     return df.select(*keep, *[c.alias(n) for n, c in new.items()])
-
-
-#: Keys of more rows than this share of all rows (and than MIN_HOT_ROWS) are hot; so at most HOT_KEYS keys are.
-HOT_KEYS, MIN_HOT_ROWS = 50_000, 1_000
-
-
-def join_counted(left: DataFrame, right: DataFrame, key: str, rows: int, count: str = "c") -> DataFrame:
-    """``left`` joined with ``right``, an aggregate with one row per key that says
-    in ``count`` how many of the ``rows`` rows on the left have that key.
-
-    Keys of very many rows are few, by counting, so their side is broadcast and
-    their rows stay where they are; all others meet by a shuffle.
-    """
-    limit = max(MIN_HOT_ROWS, -(-rows // HOT_KEYS))
-    hot = right.filter(F.col(count) > limit)
-    rest = left.join(F.broadcast(hot.select(key)), key, "left_anti")
-    return left.join(F.broadcast(hot), key).unionByName(rest.join(right.filter(F.col(count) <= limit), key))

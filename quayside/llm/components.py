@@ -11,23 +11,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quayside.llm.common import join_counted, stored
+from quayside.llm.common import stored
 
 
-def _star(edges: DataFrame, small: bool, n: int) -> DataFrame:
+def _star(edges: DataFrame, small: bool) -> DataFrame:
     """One star step over (u, v) pairs with u > v, unique.
 
     large: each node links its larger neighbours to the smallest node it sees.
     small: each node links its smaller neighbours and itself to that node.
-    A hub's neighbourhood is never gathered: its minimum is a partial
-    aggregate, and its edges meet that minimum where they are.
+    A hub's neighbourhood is never gathered: its minimum is a partial aggregate.
+    The minima are stored, so that the join reads both sides by plain shuffles
+    and AQE can split a hub's edges over many tasks.
     """
     if small:
         near = edges
     else:
         near = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    low = near.groupBy("u").agg(F.min("v").alias("m0"), F.count(F.lit(1)).alias("c")).select("u", F.least("u", "m0").alias("m"), "c")
-    step = join_counted(near, low, "u", 2 * n)
+    low = stored(near.groupBy("u").agg(F.min("v").alias("m0")).select("u", F.least("u", "m0").alias("m")), "cc-lowest")
+    step = near.join(low, "u")
     if small:
         out = step.select(F.col("v").alias("a"), F.col("m").alias("b")).unionByName(
             low.select(F.col("u").alias("a"), F.col("m").alias("b")))
@@ -47,7 +48,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
     state = lambda x: x.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v"))).first()
     before = state(e)
     while before[0]:
-        e = stored(_star(_star(e, False, before[0]), True, before[0]), "cc-edges")
+        e = stored(_star(stored(_star(e, small=False), "cc-large"), small=True), "cc-edges")
         now = state(e)
         if now == before:  # every edge leads from a node to its root
             break

@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quayside.llm.common import BROADCAST_ROWS, join_counted, stored
+from quayside.llm.common import BROADCAST_ROWS, stored
 from quayside.llm.components import connected_components
 from quayside.llm.shingles import WordHash, mix64, shingle_set
 
@@ -276,8 +276,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         _prefix(np.array([r.key for r in common], np.uint64), np.array([r.c for r in common], np.int64)),
         "id binary, weight long, keys array<long>")
     postings = stored(posted.select("id", "weight", F.explode("keys").alias("g")), "dedup-postings")
-    met = postings.groupBy("g").agg(F.count(F.lit(1)).alias("c")).filter("c > 1")
-    lists = (join_counted(postings, met, "g", postings.count()).join(nodes.select(F.col("node").alias("id"), F.col("sig").alias("data")), "id")
+    # stored, so that AQE can split a long list's rows in the join
+    met = stored(postings.groupBy("g").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("g"), "dedup-met")
+    lists = (postings.join(met, "g").join(nodes.select(F.col("node").alias("id"), F.col("sig").alias("data")), "id")
              .select("g", "id", "weight", "data"))
     clusters = stored(connected_components(spanning_links(lists, _candidates(percent), block)), "dedup-clusters")
 
