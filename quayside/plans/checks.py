@@ -22,13 +22,21 @@ UNIQUE_TESTS = [
     ("stg_products", "product_id"), ("stg_products", "sku"), ("stg_orders", "order_id"),
     ("stg_order_items", "order_item_id"), ("stg_payments", "payment_id"), ("stg_payments", "order_id"),
     ("stg_order_events", "event_id"), ("stg_payment_events", "event_id"),
+    ("int_orders_enriched", "order_id"), ("int_orders_with_payments", "order_id"), ("int_shipment_timeliness", "order_id"),
+    ("int_customer_orders", "customer_id"), ("dim_customers", "customer_id"), ("dim_products", "product_id"),
+    ("dim_products", "sku"), ("dim_date", "date_day"), ("time_spine", "date_day"), ("fct_orders", "order_id"),
+    ("fct_payments", "payment_id"), ("fct_returns", "order_id"),
 ]
+#: Marts that the tests read as stored.
+STORED = ("fct_orders", "fct_payments", "dim_customers")
 ACCEPTED_TESTS = [
     ("stg_orders", "order_state", S.ORDER_STATES),
     ("stg_payments", "payment_state", S.PAYMENT_STATES),
     ("stg_order_events", "new_state", S.ORDER_STATES),
     ("stg_payment_events", "new_state", S.PAYMENT_STATES),
     ("dim_customers", "customer_segment", ("never_ordered", "one_time", "repeat", "loyal")),
+    ("fct_orders", "order_state", S.ORDER_STATES),
+    ("fct_payments", "payment_state", S.PAYMENT_STATES),
     ("dim_products", "price_band", ("budget", "mid_range", "premium", "luxury")),
 ]
 RELATIONSHIP_TESTS = [
@@ -40,6 +48,12 @@ RELATIONSHIP_TESTS = [
     ("stg_payments", "order_id", "stg_orders", "order_id"),
     ("stg_order_events", "order_id", "stg_orders", "order_id"),
     ("stg_payment_events", "payment_id", "stg_payments", "payment_id"),
+    ("fct_orders", "customer_id", "dim_customers", "customer_id"),
+    ("fct_orders", "order_date_day", "dim_date", "date_day"),
+    ("fct_payments", "order_id", "fct_orders", "order_id"),
+    ("fct_payments", "customer_id", "dim_customers", "customer_id"),
+    ("fct_returns", "order_id", "fct_orders", "order_id"),
+    ("fct_returns", "customer_id", "dim_customers", "customer_id"),
 ]
 # Legal lifecycle moves (previous_state, new_state); refunds may follow any state.
 ORDER_MOVES = (("placed", "confirmed"), ("placed", "cancelled"), ("confirmed", "shipped"),
@@ -71,7 +85,10 @@ class Checks:
         self.w, self.as_of = warehouse, as_of
 
     def _m(self, name) -> DataFrame:
-        return getattr(self.w, name)
+        if name in STORED:
+            return self.w.mart(name)
+        model = getattr(self.w, name)
+        return model() if callable(model) else model
 
     # generic -------------------------------------------------------------
     def unique(self) -> DataFrame:
