@@ -6,7 +6,7 @@ word is covered from left to right by the longest known character n-grams
 sums over a text, whole and not a prefix, give a posterior over the languages.
 
 The model is fitted on a bounded sample of labelled rows (``SAMPLE_ROWS``,
-chosen by a hash of the id) and keeps the ``MAX_WORDS`` commonest words and
+chosen by a hash of id and text) and keeps the ``MAX_WORDS`` commonest words and
 ``MAX_GRAMS`` commonest n-grams, so its size is bounded by these parameters.
 """
 
@@ -106,13 +106,13 @@ def fit(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
     rows = labelled.filter("text is not null and lang is not null").select("doc_id", "text", "lang")
     n = rows.count()
     part = int((1 << 30) * min(1.0, sample_rows / max(1, n)))
-    some = rows.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < part).select("text", "lang")
+    some = rows.filter(F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) < part).select("text", "lang")
 
     def words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             for lang, texts in b.groupby("lang")["text"]:
                 c = Counter(w for t in texts for w in _LETTERS.findall(t.lower()))
-                yield pd.DataFrame({"lang": lang, "word": list(c.keys()), "c": list(c.values())})
+                yield pd.DataFrame([(lang, w, n) for w, n in c.items()], columns=["lang", "word", "c"])
 
     by_word = some.mapInPandas(words, "lang string, word string, c long").groupBy("word", "lang").agg(F.sum("c").alias("c"))
 
@@ -124,7 +124,7 @@ def fit(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
                 for n in range(1, MAX_GRAM + 1):
                     for i in range(len(marked) - n + 1):
                         c[lang, marked[i:i + n]] += k
-            yield pd.DataFrame({"lang": [x for x, _ in c], "word": [x for _, x in c], "c": list(c.values())})
+            yield pd.DataFrame([(*x, n) for x, n in c.items()], columns=["lang", "word", "c"])
 
     by_gram = by_word.select("lang", "word", "c").mapInPandas(grams, "lang string, word string, c long").groupBy(
         "word", "lang").agg(F.sum("c").alias("c"))
