@@ -227,9 +227,10 @@ def _add(x: float, y: float) -> float:
 
 
 def fit(pages: DataFrame, html_col: str = "html", sample_pages: int = SAMPLE_PAGES) -> Model:
-    """Counts of the self-labelled pages among ``sample_pages`` (by a hash of the page)."""
+    """Counts of the self-labelled pages among about ``sample_pages`` different
+    ones (by a hash of the page); a page that repeats counts once."""
     rate = min(1.0, sample_pages / max(1, pages.count()))
-    some = pages.select(F.col(html_col).alias("html")).filter(F.pmod(F.xxhash64("html"), F.lit(1 << 30)) < int((1 << 30) * rate))
+    some = pages.select(F.col(html_col).alias("html")).filter(F.pmod(F.xxhash64("html"), F.lit(1 << 30)) < int((1 << 30) * rate)).distinct()
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -244,7 +245,7 @@ def fit(pages: DataFrame, html_col: str = "html", sample_pages: int = SAMPLE_PAG
                     for f in x.features if x.kind != "apart" or x.text is not None else ():
                         c[f, got[i]] += 1
                     c[f"pair {x.kind} {got[x.parent]}", got[i]] += 1
-            yield pd.DataFrame({"feature": [f for f, _ in c], "label": [y for _, y in c], "n": list(c.values())})
+            yield pd.DataFrame([(f, y, n) for (f, y), n in c.items()], columns=["feature", "label", "n"])
 
     sums = (some.mapInPandas(count, "feature string, label boolean, n long").groupBy("feature", "label").agg(F.sum("n").alias("n"))
             .orderBy(F.col("n").desc(), "feature", "label").limit(MAX_FEATURES).collect())
