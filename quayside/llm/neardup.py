@@ -181,7 +181,7 @@ def _candidates(percent: int) -> Callable:
                 links = _spanning(list(keys), n, lambda o, s, m: (o >= MATCH) & (
                     100 * np.minimum(s, m) >= percent * np.maximum(s, m)), int(np.argmax(weights)))
                 out += _named(ids, links)
-            yield pd.DataFrame({"a": [x for x, _ in out], "b": [y for _, y in out]})
+            yield pd.DataFrame(out, columns=["a", "b"])
     return run
 
 
@@ -195,7 +195,7 @@ def _confirmed(width: int, percent: int) -> Callable:
                 sets = [shingle_set(t.decode(), width, memo) for t in data]
                 links = _spanning(sets, np.array([len(s) for s in sets]), _similar(percent), int(np.argmax(weights)))
                 out += _named(ids, links)
-            yield pd.DataFrame({"a": [x for x, _ in out], "b": [y for _, y in out]})
+            yield pd.DataFrame(out, columns=["a", "b"])
     return run
 
 

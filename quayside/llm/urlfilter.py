@@ -107,7 +107,7 @@ def judge(urls: DataFrame, rules: DataFrame, default: str = "allow", id_col: str
     pages = pages.select("*", host_key(F.col("host")).alias("key"), F.xxhash64("page_id", "path").alias("salt"))
     ranges = min(MAX_RANGES, RANGES_PER_PARTITION * shuffle_partitions(spark))
     rate = min(1.0, SAMPLE_PER_RANGE * ranges / max(1, urls.count()))
-    sampled = pages.filter(F.pmod(F.xxhash64("salt"), F.lit(1 << 30)) < int((1 << 30) * rate)).select("key", "salt").collect()
+    sampled = pages.filter(F.pmod(F.xxhash64("salt"), F.lit(1 << 30)) < int((1 << 30) * rate)).select("key", "salt").distinct().collect()
     sampled = sorted((r.key, r.salt) for r in sampled)
     bounds = sorted({sampled[len(sampled) * i // ranges] for i in range(1, ranges)}) if sampled else []
 
