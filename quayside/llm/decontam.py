@@ -1,22 +1,25 @@
 """Benchmark decontamination with a generalised suffix automaton.
 
 The normalised benchmark items form one automaton (several, if they hold more
-than ``MAX_TOKENS`` words; the documents then pass through one after another in
-the same task).  A document's words stream through it; the current state and
+than ``MAX_TOKENS`` words; each then has a pass over the documents of its own, so
+that no process holds two).  A document's words stream through it; the current state and
 match length say which window of an item ends at each word.  Runs of words that
 no item holds are stepped over at once, since no window can touch them.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from hashlib import sha256
+import pickle
+from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quayside.llm.common import stored
+
 WINDOW = 10
 #: Words of the items that one automaton holds: what is collected to the driver
 #: and broadcast at a time (about 0.5 KB a word).
@@ -134,24 +137,74 @@ class Automaton:
         return spans, {self.names[i] for i in items}
 
 
-def automata(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text",
-             window: int = WINDOW, max_tokens: int = MAX_TOKENS) -> list[Automaton]:
-    """Automata of the items with words; items come to the driver in groups of
-    at most ``max_tokens`` words (an item of more has a group of its own)."""
-    length = F.length(text_col) + 1
+def _item_groups(benchmark: DataFrame, id_col: str, text_col: str, max_tokens: int) -> tuple[DataFrame, int]:
+    """``(id, text)`` of the items with text, and how many automata they need."""
     items = benchmark.filter(F.col(text_col).isNotNull()).select(
-        F.coalesce(F.col(id_col).cast("string"), F.lit("")).alias("id"), F.col(text_col).alias("text"), length.alias("c"))
-    total = items.agg(F.sum("c")).first()[0] or 0
-    groups = max(1, -(-total // (2 * max_tokens)))      # a word takes two characters at least
-    out = []
+        F.coalesce(F.col(id_col).cast("string"), F.lit("")).alias("id"), F.col(text_col).alias("text"))
+    total = items.agg(F.sum(F.length("text") + 1)).first()[0] or 0
+    return items, max(1, -(-total // (2 * max_tokens)))      # a word takes two characters at least
+
+
+def _each_automaton(items: DataFrame, groups: int, window: int) -> Iterator[Automaton]:
+    """One automaton at a time; its items (about ``MAX_TOKENS`` words, one item
+    is never divided) come to the driver."""
     for g in range(groups):
-        mine = items.filter(F.pmod(F.xxhash64("id", "text"), F.lit(groups)) == g).select("id", "text").distinct()
-        some = [(r.id, w) for r in mine.toLocalIterator() if (w := words_of(r.text))]
-        if some:
-            out.append(Automaton(sorted(some), window))
+        mine = items.filter(F.pmod(F.xxhash64("id", "text"), F.lit(groups)) == g).distinct()
+        yield Automaton(sorted((r.id, w) for r in mine.toLocalIterator() if (w := words_of(r.text))), window)
+
+
+def automata(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text",
+             window: int = WINDOW, max_tokens: int = MAX_TOKENS) -> list[Automaton]:
+    """The automata of all items at once, for a benchmark known to be small."""
+    return list(_each_automaton(*_item_groups(benchmark, id_col, text_col, max_tokens), window))
+
+
+def _marks(texts: DataFrame, automaton: Automaton) -> DataFrame:
+    """``(key, mark)`` of the distinct texts of ``texts(key, text)`` that one
+    automaton hits, written; the automaton is held for this pass alone."""
+    handle = texts.sparkSession.sparkContext.broadcast(automaton)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            hit = [(k, found) for k, t in zip(b["key"], b["text"], strict=True) if (found := handle.value.scan(words_of(t)))[0]]
+            yield pd.DataFrame([(k, pickle.dumps(found)) for k, found in hit], columns=["key", "mark"])
+
+    out = stored(texts.mapInPandas(run, "key string, mark binary").distinct(), "decontam-marks")
+    handle.destroy()
     return out
 
 
+def _finder(rows: DataFrame, benchmark: DataFrame, window: int, max_tokens: int) -> tuple[DataFrame, Callable]:
+    """``rows(..., __text)`` with a column ``__told``, and what gives a row's
+    spans and items: ``find(words, told)``.
+
+    A benchmark of one automaton is scanned for by ``find`` itself.  One that
+    needs more takes a pass over the texts for each, so that driver and tasks
+    hold one automaton at a time; the marks of the texts hit come with the rows.
+    """
+    items, groups = _item_groups(benchmark, "item_id", "text", max_tokens)
+    made = _each_automaton(items, groups, window)
+    if groups == 1:
+        handle = rows.sparkSession.sparkContext.broadcast(next(made))
+        return rows.withColumn("__told", F.lit(None).cast("array<binary>")), lambda words, told: handle.value.scan(words)
+    keyed = rows.withColumn("__key", F.sha2(F.coalesce("__text", F.lit("")).cast("binary"), 256))
+    texts = keyed.select(F.col("__key").alias("key"), F.col("__text").alias("text"))
+    passes = [_marks(texts, a) for a in made]
+    told = reduce(DataFrame.unionByName, passes).groupBy(F.col("key").alias("__key")).agg(F.collect_list("mark").alias("__told"))
+    # one row per text hit (a mark for each pass); AQE splits a text that very many rows share
+    return keyed.join(stored(told, "decontam-told"), "__key", "left").drop("__key"), _read_marks
+
+
+def _read_marks(words: list[bytes], told) -> tuple[list[tuple[int, int]], set[str]]:
+    spans: list[tuple[int, int]] = []
+    items: set[str] = set()
+    for mark in () if told is None else told:
+        s, i = pickle.loads(mark)
+        spans += s
+        items |= i
+    return _merged(spans), items
+
+
 def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     out: list[tuple[int, int]] = []
     for a, b in sorted(spans):
@@ -171,26 +224,21 @@ def scan(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col
     string; items without words match nothing; repeated items count once.  An
     empty benchmark leaves every document clean.
     """
-    sc = docs.sparkSession.sparkContext
-    handles = [sc.broadcast(a) for a in automata(benchmark, "item_id", "text", window, max_tokens)]
+    rows, find = _finder(docs.select(F.col(id_col).cast("string").alias("doc_id"), F.col(text_col).alias("__text")),
+                         benchmark, window, max_tokens)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             rows = []
-            for text in b["text"]:
+            for text, told in zip(b["__text"], b["__told"], strict=True):
                 words = words_of(text)
-                spans: list[tuple[int, int]] = []
-                items: set[str] = set()
-                for h in handles:
-                    s, i = h.value.scan(words)
-                    spans += s
-                    items |= i
+                spans, items = find(words, told)
                 spans = _merged(spans)
                 rows.append((len(words), sum(y - x for x, y in spans), sorted(items), [{"s": x, "e": y} for x, y in spans]))
             yield pd.DataFrame({"doc_id": b["doc_id"], **{
-                c: [r[k] for r in rows] for k, c in enumerate(("n_words", "n_hit", "item_ids", "spans"))}, "text": b["text"]})
+                c: [r[k] for r in rows] for k, c in enumerate(("n_words", "n_hit", "item_ids", "spans"))}, "text": b["__text"]})
 
-    return docs.select(F.col(id_col).cast("string").alias("doc_id"), F.col(text_col).alias("text")).mapInPandas(
+    return rows.mapInPandas(
         run, "doc_id string, n_words long, n_hit long, item_ids array<string>, spans array<struct<s:long,e:long>>, text string").withColumn(
         "doc_id", F.col("doc_id").cast("long"))
 
@@ -205,24 +253,22 @@ def clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
     too where spans cover ``max_coverage`` of the words or more, in which case
     the document goes altogether.  ``drop``: every document with a span to cut goes.
     """
-    sc = docs.sparkSession.sparkContext
-    handles = [sc.broadcast(a) for a in automata(benchmark, "item_id", "text", window, max_tokens)]
+    kept, find = _finder(docs.withColumn("__text", F.col(text_col)), benchmark, window, max_tokens)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             texts, keep = [], []
-            for text in b["__text"]:
+            for text, told in zip(b["__text"], b["__told"], strict=True):
                 words = words_of(text)
-                spans = _merged([x for h in handles for x in h.value.scan(words)[0]])
+                spans = _merged(find(words, told)[0])
                 covered = sum(y - x for x, y in spans)
                 long = [x for x in spans if x[1] - x[0] >= min(max_span, len(words))]
                 full = bool(words) and covered >= max_coverage * len(words)
                 keep.append(not (full or (drop and long)))
                 texts.append(_cut(text, long) if long and keep[-1] else text)
-            yield b.assign(__text=texts)[keep]
+            yield b.drop(columns="__told").assign(__text=texts)[keep]
 
-    kept = docs.withColumn("__text", F.col(text_col))
-    return kept.mapInPandas(run, kept.schema).withColumn(text_col, F.col("__text")).select(*docs.columns)
+    return kept.mapInPandas(run, kept.drop("__told").schema).withColumn(text_col, F.col("__text")).select(*docs.columns)
 
 
 def _cut(text: str, spans: list[tuple[int, int]]) -> str:
