@@ -6,7 +6,7 @@
 2. The distinct entities get surrogates: characters drawn from an HMAC of the
    entity under the key, of the same kind in the same places (digits, letters
    by case and script, hex digits), with check digits and value ranges kept;
-   names get a given name of the title's gender and the script's alphabet.
+   a given name gets one of the title's gender, a family name one of its script.
 3. Collision check: a surrogate that two entities share, or that is an entity
    itself, is drawn anew with the next number until none is left.  So different
    entities have different surrogates.
@@ -36,6 +36,9 @@ GIVEN = {("m", "latin"): ("James", "Peter", "Martin", "Lucas", "Daniel", "Thomas
          ("f", "latin"): ("Anna", "Clara", "Julia", "Maria", "Laura", "Emma", "Sofia", "Helena", "Alice", "Nora"),
          ("m", "cyrillic"): ("Иван", "Пётр", "Андрей", "Павел", "Виктор"),
          ("f", "cyrillic"): ("Анна", "Мария", "Ольга", "Елена", "Вера")}
+#: Endings of made-up names that tell a gender.
+ENDINGS = {("given", "f", "latin"): "na", ("given", "m", "latin"): "n", ("given", "f", "cyrillic"): "на", ("given", "m", "cyrillic"): "н",
+           ("family", "f", "cyrillic"): "нова", ("family", "m", "cyrillic"): "нов"}
 SYLLABLES = {"latin": "ba be bo da de do ga ka ke la le li lo ma me mi mo na ne no ra re ri ro sa se so ta te to va ve".split(),
              "cyrillic": "ба бо ва ве га да до за ка ке ла ле ли ма ме мо на не но ра ре ро са се со та те то".split()}
 
@@ -71,7 +74,9 @@ def _card_like(value: str) -> bool:
 
 def find(text: str | None) -> list[tuple[int, int, str, str]]:
     """``(start, end, kind, normalised value)`` of the entities of a text, in
-    order and without overlaps.  Names carry gender and script in their kind."""
+    order and without overlaps.  Given and family name are entities of their own,
+    so a person's family name alone and their full name stay one person's; the
+    kind tells gender and script."""
     out: list[tuple[int, int, str, str]] = []
     if not text:
         return out
@@ -84,7 +89,12 @@ def find(text: str | None) -> list[tuple[int, int, str, str]]:
                 out.append((m.start(), m.end(), kind, value))
     for m in _NAME.finditer(text):
         script = "cyrillic" if re.match(r"[Ѐ-ӿ]", m.group(3)) else "latin"
-        out.append((m.start(3), m.end(3), f"name-{TITLES[m.group(1)]}-{script}", m.group(3)))
+        gender = TITLES[m.group(1)]
+        given, _, family = m.group(3).rpartition(" ")
+        if given:
+            out.append((m.start(3), m.start(3) + len(given), f"given-{gender}-{script}", given))
+        # a family name tells a gender in Cyrillic only
+        out.append((m.end(3) - len(family), m.end(3), f"family-{gender if script == 'cyrillic' else 'any'}-{script}", family))
     out.sort(key=lambda x: (x[0], -x[1]))
     kept: list[tuple[int, int, str, str]] = []
     for x in out:
@@ -114,33 +124,41 @@ def _like(c: str, d: int, hexed: bool) -> str:
     return c
 
 
-def surrogate(kind: str, value: str, draw: int = 0, key: bytes = KEY) -> str:
-    """The ``draw``-th replacement of an entity; never the entity itself."""
-    got = _draws(kind, value, draw, key)
-    if kind.startswith("name-"):
-        _, gender, script = kind.split("-")
-        pool, parts = GIVEN[gender, script], SYLLABLES[script]
-        family = "".join(parts[next(got) % len(parts)] for _ in range(2 + next(got) % 2 + draw // 4)).capitalize()
-        given = pool[next(got) % len(pool)]
-        out = f"{given} {family}" if " " in value else family
-    elif kind == "email":
+def _made_up(kind: str, value: str, draw: int, got: Iterator[int]) -> str:
+    if kind.startswith(("given-", "family-")):
+        part, gender, script = kind.split("-")
+        if part == "given" and draw == 0:
+            return GIVEN[gender, script][next(got) % len(GIVEN[gender, script])]
+        parts = SYLLABLES[script]
+        stem = "".join(parts[next(got) % len(parts)] for _ in range(2 + next(got) % 2 + draw // 4))
+        return stem.capitalize() + ENDINGS.get((part, gender, script), "")
+    if kind == "email":
         name, domain = value.rsplit("@", 1)
         host, _, top = domain.rpartition(".")
-        out = "".join(_like(c, next(got), False) for c in name) + "@" + "".join(_like(c, next(got), False) for c in host) + "." + top
-    elif kind == "ip":
-        out = ".".join(str(1 + (next(got) + 256 * next(got)) % 254) for _ in range(4))
-    elif kind == "key":
-        out = "AKIA" + "".join(_like(c, next(got), False) if not c.isdigit() else str(next(got) % 10) for c in value[4:])
-    elif kind == "card":
+        name += "x" * (draw // 8)       # longer where short addresses run out
+        return "".join(_like(c, next(got), False) for c in name) + "@" + "".join(_like(c, next(got), False) for c in host) + "." + top
+    if kind == "ip":
+        return ".".join(str(1 + (next(got) + 256 * next(got)) % 254) for _ in range(4))
+    if kind == "key":
+        return "AKIA" + "".join(_like(c, next(got), False) if not c.isdigit() else str(next(got) % 10) for c in value[4:])
+    if kind == "card":
         out = value[0] + "".join(_like(c, next(got), False) for c in value[1:])
         at = max(i for i, c in enumerate(out) if c.isdigit())
-        out = out[:at] + str(_luhn(re.sub(r"\D", "", out[:at]))) + out[at + 1:]
-    elif kind == "phone" and value.startswith("+"):
+        return out[:at] + str(_luhn(re.sub(r"\D", "", out[:at]))) + out[at + 1:]
+    if kind == "phone" and value.startswith("+"):
         code = re.match(r"\+\d{1,3}", value).group()
-        out = code + "".join(_like(c, next(got), False) for c in value[len(code):])
-    else:
-        out = "".join(_like(c, next(got), kind in ("token", "password")) for c in value)
-    return out if out != value else surrogate(kind, value, draw + 1000, key)
+        return code + "".join(_like(c, next(got), False) for c in value[len(code):])
+    if kind == "password":              # one of signs alone becomes letters; longer where short ones run out
+        value = (value if re.search(r"[0-9A-Za-z]", value) else "x" * len(value)) + "0" * (draw // 8)
+    return "".join(_like(c, next(got), kind in ("token", "password")) for c in value)
+
+
+def surrogate(kind: str, value: str, draw: int = 0, key: bytes = KEY) -> str:
+    """The ``draw``-th replacement of an entity; never the entity itself."""
+    got = _draws(kind, value, draw, key)
+    while (out := _made_up(kind, value, draw, got)) == value:
+        pass                            # the next characters of the same stream
+    return out
 
 
 def _detect(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

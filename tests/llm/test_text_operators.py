@@ -35,6 +35,15 @@ def test_language_edges(spark):
     assert got[None].held_out     # never learned from
     assert langid.identify(docs(spark, [])).count() == 0
     assert {r.lang_pred for r in langid.identify(docs(spark, [(1, "words without labels")])).collect()} == {"und"}
+    letterless = docs(spark, [(i, t, "en") for i, t in enumerate(["123", "!!", "", None, "--", "7"])]).coalesce(1)
+    assert {r.lang_pred for r in langid.identify(letterless).collect()} == {"und"}
+
+
+def test_language_sample_is_bounded(spark):
+    """Rows without an id are sampled like any others."""
+    own = [f"x{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(400)]
+    model = langid.fit(docs(spark, [(None, f"the cat {w}", "en") for w in own]), sample_rows=40)
+    assert 10 < sum(w in model.words for w in own) < 120
 
 
 # ---- decontamination ---------------------------------------------------------------
@@ -117,12 +126,28 @@ def test_surrogates_keep_form_and_identity(spark):
 
 def test_surrogates_stay_distinct(spark):
     """A space so small that draws collide: two-digit passwords ... and phones."""
-    rows = [("password", f"{i:04d}") for i in range(3000)] + [("name-f-latin", f"Name{i}") for i in range(500)]
+    rows = [("password", f"{i:04d}") for i in range(3000)] + [(kind, f"Name{i}") for i in range(500) for kind in ("given-f-latin", "family-any-latin")]
     table = pii.surrogates(spark.createDataFrame(rows, "kind string, value string")).collect()
     assert len(table) == len(rows) == len({r.surrogate for r in table})
     assert not {r.surrogate for r in table} & {v for _, v in rows}
 
 
+def test_a_family_name_alone_stays_the_same_person(spark):
+    rows = [(1, "Mrs. Jane Doe and Mr Doe met Frau Jane Roe."), (2, "Madame Doe; господин Пётр Орлов, госпожа Орлова")]
+    got = {r.doc_id: r for r in pii.pseudonymise(docs(spark, rows)).collect()}
+    jane, doe, doe2, jane2, roe = re.fullmatch(r"Mrs\. (\w+) (\w+) and Mr (\w+) met Frau (\w+) (\w+)\.", got[1].text).groups()
+    assert doe == doe2 and jane == jane2 and len({jane, doe, roe, "Jane", "Doe", "Roe"}) == 6
+    assert got[2].text.startswith(f"Madame {doe}; ") and re.search(r"господин [А-Яа-я]+ [А-Яа-я]+ов, госпожа [А-Яа-я]+ова$", got[2].text)
+
+
+def test_passwords_of_signs_and_full_spaces(spark):
+    got = pii.pseudonymise(docs(spark, [(1, "password=---- and password=пароль")])).collect()[0]
+    assert "----" not in got.text and "пароль" not in got.text and got.n_entities == 2
+    rows = [("password", f"{i:04d}") for i in range(9000)]      # fewer free ones of that length than are needed
+    table = pii.surrogates(spark.createDataFrame(rows, "kind string, value string")).collect()
+    assert len({r.surrogate for r in table}) == 9000 and not {r.surrogate for r in table} & {v for _, v in rows}
+
+
 # ---- URL rules ---------------------------------------------------------------------
 
 def judged(url, rules):
@@ -194,6 +219,14 @@ def test_main_text_edges(spark, model):
     assert htmltext.extract(df.limit(0)).count() == 0
 
 
+def test_pages_without_marks_and_one_page_many_times(spark):
+    bare = spark.createDataFrame([(1, "u", "<div>text</div>"), (2, None, None)], "page_id long, url string, html string").coalesce(1)
+    assert htmltext.extract(bare).count() == 2
+    page = "<body><nav>menu</nav><article><p>some words</p></article></body>"
+    many = spark.createDataFrame([(i, "u", page) for i in range(300)], "page_id long, url string, html string")
+    assert {r.text for r in htmltext.extract(many).collect()} == {"some words"}
+
+
 def test_marginals_are_exact(model):
     """Sum-product against summing over all labellings of a small tree."""
     import itertools
