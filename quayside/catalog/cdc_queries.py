@@ -29,6 +29,16 @@ def _feed(spark, sf_dir):
     return cdc.build_feed(w.stg_orders, w.stg_order_events)
 
 
+def _item_feed(spark, sf_dir):
+    w = Warehouse(spark, sf_dir)
+    return cdc.build_item_feed(w.stg_order_items, w.stg_orders)
+
+
+def _payment_feed(spark, sf_dir):
+    w = Warehouse(spark, sf_dir)
+    return cdc.build_payment_feed(w.stg_payments, w.stg_payment_events, w.stg_orders)
+
+
 def _changes(spark, sf_dir):
     return cdc.good_changes(cdc.parse_envelope(_feed(spark, sf_dir)))
 
@@ -82,11 +92,15 @@ def cdc_dead_letter(spark, sf_dir):
 
 
 @register("cdc_op_counts", with_ctes("""
-SELECT 'orders' AS table_name, op, count(*) AS events FROM cdc_expected WHERE NOT is_tombstone GROUP BY op""",
-                                     "cdc_expected"))
+SELECT 'orders' AS table_name, op, count(*) AS events FROM cdc_expected WHERE NOT is_tombstone GROUP BY op
+UNION ALL SELECT 'order_items', 'c', count(*) FROM stg_order_items JOIN stg_orders USING (order_id)
+UNION ALL SELECT 'payments', 'c', count(*) FROM stg_payments JOIN stg_orders USING (order_id)
+UNION ALL SELECT 'payments', 'u', count(*) FROM stg_payment_events JOIN stg_payments USING (payment_id)""",
+                                     "cdc_expected", "stg_orders", "stg_order_items", "stg_payments", "stg_payment_events"))
 def cdc_op_counts(spark, sf_dir):
-    c = _changes(spark, sf_dir).filter(~F.col("is_tombstone"))
-    return c.groupBy("table_name", "op").agg(F.count(F.lit(1)).alias("events"))
+    feeds = [(cdc.ORDERS, _feed(spark, sf_dir)), (cdc.ORDER_ITEMS, _item_feed(spark, sf_dir)), (cdc.PAYMENTS, _payment_feed(spark, sf_dir))]
+    each = [cdc.good_changes(cdc.parse_envelope(feed, t)).filter(~F.col("is_tombstone")).select("table_name", "op") for t, feed in feeds]
+    return each[0].unionByName(each[1]).unionByName(each[2]).groupBy("table_name", "op").agg(F.count(F.lit(1)).alias("events"))
 
 
 @register("cdc_field_diff", with_ctes("""
@@ -126,6 +140,38 @@ def cdc_merge(spark, sf_dir):
     return _streamed(spark, sf_dir)[0].read()
 
 
+def _merged_table(spark, feed, captured):
+    """The feed merged by the stream, delivered twice."""
+    path = scratch_path(spark, f"cdc-feed-{captured.table}")
+    feed.write.parquet(path)
+    table = VersionedTable(spark, f"cdc-{captured.table}", [captured.key])
+    for stamp in (LOADED_AT, REPLAYED_AT):
+        run_cdc_merge(spark, path, table, scratch_path(spark, "cdc-ckpt"), max_files=10, loaded_at=stamp, captured=captured)
+    return table.read()
+
+
+@register("cdc_merge_order_items", with_ctes("""
+SELECT i.order_item_id, i.order_id, i.product_id, i.quantity, i.unit_price, i.line_total AS total_price,
+       epoch_ms(o.order_date) AS _cdc_ts_ms, n - 1 AS _cdc_offset, TIMESTAMP '2002-01-01 00:00:00' AS _cdc_loaded_at
+FROM (SELECT *, row_number() OVER (PARTITION BY order_item_id ORDER BY product_id, quantity, unit_price, line_total) AS n,
+             count(*) OVER (PARTITION BY order_item_id) AS c FROM stg_order_items) i
+JOIN stg_orders o USING (order_id) WHERE n = c""", "stg_order_items", "stg_orders"))
+def cdc_merge_order_items(spark, sf_dir):
+    return _merged_table(spark, _item_feed(spark, sf_dir), cdc.ORDER_ITEMS)
+
+
+@register("cdc_merge_payments", with_ctes("""
+SELECT p.* EXCLUDE (payment_state, order_date), coalesce(l.state, 'pending') AS payment_state,
+       coalesce(l.ms, epoch_ms(p.order_date)) AS _cdc_ts_ms, coalesce(l.seq, 0) AS _cdc_offset,
+       TIMESTAMP '2002-01-01 00:00:00' AS _cdc_loaded_at
+FROM (SELECT p.*, o.order_date FROM stg_payments p JOIN stg_orders o USING (order_id)) p
+LEFT JOIN (SELECT payment_id, arg_max(new_state, (ms, seq)) AS state, max(ms) AS ms, arg_max(seq, (ms, seq)) AS seq
+           FROM (SELECT *, epoch_ms(event_timestamp) AS ms, CAST(split_part(event_id, '-', -1) AS BIGINT) AS seq
+                 FROM stg_payment_events) GROUP BY 1) l USING (payment_id)""", "stg_payments", "stg_payment_events", "stg_orders"))
+def cdc_merge_payments(spark, sf_dir):
+    return _merged_table(spark, _payment_feed(spark, sf_dir), cdc.PAYMENTS)
+
+
 @register("cdc_stream_sinks", with_ctes("""
 SELECT 'dead letter' AS sink, reason AS kind, count(*) AS n FROM (
   SELECT 'malformed_json' AS reason FROM cdc_orders WHERE k % 200 = 1

@@ -11,21 +11,45 @@ JSON change envelope ``{before, after, op, ts_ms, source}`` or NULL
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from dataclasses import dataclass
+from functools import reduce
+from operator import or_
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quayside.sources import schemas
+
+@dataclass(frozen=True)
+class Captured:
+    """A table whose changes are captured: its key and its columns' types."""
+    table: str
+    key: str
+    schema: T.StructType
+
+    @property
+    def topic(self) -> str:
+        return f"retail.public.{self.table}"
+
 
 ORDER_IMAGE = T.StructType([
     T.StructField("order_id", T.StringType()), T.StructField("customer_id", T.StringType()),
     T.StructField("order_state", T.StringType()), T.StructField("total_amount", T.DoubleType()),
     T.StructField("updated_at", T.StringType())])
-ENVELOPE = T.StructType([
-    T.StructField("before", ORDER_IMAGE), T.StructField("after", ORDER_IMAGE),
-    T.StructField("op", T.StringType()), T.StructField("ts_ms", T.LongType()),
-    T.StructField("source", T.StructType([T.StructField("db", T.StringType()),
-                                          T.StructField("table", T.StringType())])),
-    T.StructField("_corrupt", T.StringType())])
+ORDERS = Captured("orders", "order_id", T.StructType([
+    T.StructField("order_id", T.StringType()), T.StructField("customer_id", T.StringType()),
+    T.StructField("order_state", T.StringType()), T.StructField("total_amount", schemas.MONEY),
+    T.StructField("updated_at", T.TimestampType())]))
+ORDER_ITEMS = Captured("order_items", "order_item_id", schemas.ORDER_ITEMS)
+PAYMENTS = Captured("payments", "payment_id", schemas.PAYMENTS)
+TABLES = (ORDERS, ORDER_ITEMS, PAYMENTS)
+
+#: Images are read as text by column; ``typed`` gives them their types.
+ENVELOPE = ("before map<string,string>, after map<string,string>, op string, ts_ms long, "
+            "source struct<db:string, table:string>, _corrupt string")
+#: Names that mark a nullable value written as {type: value}.
+UNION_NAMES = ("null", "boolean", "int", "long", "float", "double", "string", "bytes")
 OPS = ("c", "u", "d", "r")
 ISO = "yyyy-MM-dd'T'HH:mm:ss'Z'"
 SCHEMA_IDS = {"retail.public.orders": 1, "retail.public.order_items": 2, "retail.public.payments": 3}
@@ -86,31 +110,110 @@ def build_feed(orders: DataFrame, events: DataFrame) -> DataFrame:
         F.col("order_id").alias("key"), "value")
 
 
+def _wrapped(t: Captured, **changed: Column) -> Column:
+    """A row image as a union-typed source writes it: the row under its record
+    name, every nullable value under the name of its type."""
+    fields = []
+    for f in t.schema.fields:
+        v, kind = changed.get(f.name, F.col(f.name)), f.dataType.typeName()
+        if isinstance(f.dataType, T.DecimalType):
+            v, kind = v.cast("double"), "double"
+        elif isinstance(f.dataType, T.TimestampType):
+            v, kind = F.date_format(v, ISO), "string"
+        elif isinstance(f.dataType, T.IntegerType):
+            kind = "int"
+        fields.append((F.when(v.isNotNull(), F.struct(v.alias(kind))) if f.nullable else v).alias(f.name))
+    return F.struct(F.struct(*fields).alias(f"{t.topic}.Value"))
+
+
+def _message(t: Captured, op: str, ts: Column, seq: Column, before: Column | None, after: Column) -> list[Column]:
+    src = F.struct(F.lit("retail").alias("db"), F.lit(t.table).alias("table"))
+    value = F.to_json(F.struct(*([before.alias("before")] if before is not None else []), after.alias("after"),
+                               F.lit(op).alias("op"), F.unix_millis(ts).alias("ts_ms"), src.alias("source")))
+    return [F.lit(t.topic).alias("topic"), seq.cast("long").alias("kafka_offset"), ts.alias("kafka_timestamp"),
+            F.col(t.key).alias("key"), value.alias("value")]
+
+
+def build_item_feed(items: DataFrame, orders: DataFrame) -> DataFrame:
+    """One c per order item, at the time of its order.  The given table repeats
+    item ids: the offset is a row's place among those of its id (a handful)."""
+    rows = items.withColumnRenamed("line_total", "total_price").join(orders.select("order_id", "order_date"), "order_id")
+    place = Window.partitionBy("order_item_id").orderBy("product_id", "quantity", "unit_price", "total_price")
+    rows = rows.withColumn("seq", F.row_number().over(place) - 1)
+    return rows.select(*_message(ORDER_ITEMS, "c", F.col("order_date"), F.col("seq"), None, _wrapped(ORDER_ITEMS)))
+
+
+def build_payment_feed(payments: DataFrame, events: DataFrame, orders: DataFrame) -> DataFrame:
+    """c (pending) per payment at the time of its order, u per payment event; the
+    offset of an event is its place among those of its payment."""
+    made = payments.join(orders.select("order_id", "order_date"), "order_id")
+    first = made.select(*_message(PAYMENTS, "c", F.col("order_date"), F.lit(0), None, _wrapped(PAYMENTS, payment_state=F.lit("pending"))))
+    moved = payments.join(events.select("payment_id", "previous_state", "new_state", "event_timestamp",
+                                        F.element_at(F.split("event_id", "-"), -1).alias("seq")), "payment_id")
+    later = moved.select(*_message(PAYMENTS, "u", F.col("event_timestamp"), F.col("seq"),
+                                   _wrapped(PAYMENTS, payment_state=F.col("previous_state")),
+                                   _wrapped(PAYMENTS, payment_state=F.col("new_state"))))
+    return first.unionByName(later)
+
+
 # ---- parse / dead letter ----------------------------------------------------
-def parse_envelope(feed: DataFrame) -> DataFrame:
-    """All messages with their parsed envelope and a routing verdict."""
+def _union_name(name: Column) -> Column:
+    return name.isin(*UNION_NAMES) | F.contains(name, F.lit("."))
+
+
+def unwrap(image: Column) -> Column:
+    """An image without its union wrappers: ``{record name: row}`` becomes the
+    row, ``{type: value}`` the value.  Plain images stay as they are."""
+    def only(m: Column) -> Column:
+        return F.get(F.map_values(m), F.lit(0))
+
+    def is_wrapper(m: Column) -> Column:
+        return F.coalesce((F.size(m) == 1) & _union_name(F.get(F.map_keys(m), F.lit(0))), F.lit(False))
+
+    def value(v: Column) -> Column:
+        m = F.from_json(v, "map<string,string>")
+        return F.when(F.startswith(v, F.lit("{")) & is_wrapper(m), only(m)).otherwise(v)
+
+    row = F.when(is_wrapper(image), F.from_json(only(image), "map<string,string>")).otherwise(image)
+    return F.transform_values(row, lambda _, v: value(v))
+
+
+def typed(image: Column, name: str, t: T.DataType) -> Column:
+    """One column of an image in its type; NULL where the text doesn't fit it."""
+    text = F.try_element_at(image, F.lit(name))
+    return F.try_to_timestamp(text, F.lit(ISO)) if isinstance(t, T.TimestampType) else text.try_cast(t)
+
+
+def parse_envelope(feed: DataFrame, table: Captured = ORDERS) -> DataFrame:
+    """All messages of a table's topic with their parsed envelope, images without
+    wrappers, and a routing verdict; a value that doesn't fit its column is a
+    reason for the dead letters too."""
     p = feed.withColumn("e", F.from_json("value", ENVELOPE,
                                          {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}))
+    p = p.withColumns({"before_image": unwrap(F.col("e.before")), "after_image": unwrap(F.col("e.after"))})
+    after = F.col("after_image")
+    misfit = reduce(or_, [F.try_element_at(after, F.lit(f.name)).isNotNull() & typed(after, f.name, f.dataType).isNull()
+                          for f in table.schema.fields])
     tomb = F.col("value").isNull()
     reason = (F.when(tomb, F.lit(None))
               .when(F.col("e").isNull() | F.col("e._corrupt").isNotNull(), "malformed_json")
-              .when(~F.coalesce(F.col("e.op").isin(*OPS), F.lit(False)), "unknown_op"))
+              .when(~F.coalesce(F.col("e.op").isin(*OPS), F.lit(False)), "unknown_op")
+              .when(misfit, "bad_value"))
     return p.withColumn("is_tombstone", tomb).withColumn("dead_reason", reason)
 
 
 def good_changes(parsed: DataFrame) -> DataFrame:
-    g = parsed.filter(F.col("dead_reason").isNull()).withColumn(
-        "images", F.from_json("value", "before map<string,string>, after map<string,string>"))
+    g = parsed.filter(F.col("dead_reason").isNull())
+    before, after = (lambda c: F.try_element_at("before_image", F.lit(c))), (lambda c: F.try_element_at("after_image", F.lit(c)))
     return g.select(
-        "topic", "kafka_offset", "kafka_timestamp", "is_tombstone",
+        "topic", "kafka_offset", "kafka_timestamp", "key", "is_tombstone",
         F.col("e.op").alias("op"), F.col("e.ts_ms").alias("ts_ms"),
-        F.coalesce(F.col("e.after.order_id"), F.col("e.before.order_id"), F.col("key")).alias("order_id"),
+        F.coalesce(after("order_id"), before("order_id"), F.col("key")).alias("order_id"),
         F.col("e.source.table").alias("table_name"),
-        F.col("e.before.order_state").alias("before_state"), F.col("e.after.order_state").alias("after_state"),
-        F.col("e.after.customer_id").alias("after_customer_id"),
-        F.col("images.before").alias("before_image"), F.col("images.after").alias("after_image"),
-        F.col("e.after.total_amount").cast("decimal(12,2)").alias("after_total_amount"),
-        F.to_timestamp(F.col("e.after.updated_at"), ISO).alias("after_updated_at"))
+        before("order_state").alias("before_state"), after("order_state").alias("after_state"),
+        after("customer_id").alias("after_customer_id"), "before_image", "after_image",
+        typed(F.col("after_image"), "total_amount", schemas.MONEY).alias("after_total_amount"),
+        typed(F.col("after_image"), "updated_at", T.TimestampType()).alias("after_updated_at"))
 
 
 def dead_letters(parsed: DataFrame) -> DataFrame:
@@ -130,27 +233,26 @@ def field_diff(changes: DataFrame) -> DataFrame:
 
 
 # ---- merge --------------------------------------------------------------------
-TARGET_COLS = ["order_id", "customer_id", "order_state", "total_amount", "updated_at", "_cdc_ts_ms", "_cdc_offset",
-               "_cdc_loaded_at"]
-
-
-def latest_images(changes: DataFrame, loaded_at) -> DataFrame:
-    """The latest c/u/r image per key (a partial aggregate); ``d`` is logged, not applied."""
+def latest_images(changes: DataFrame, loaded_at, table: Captured = ORDERS) -> DataFrame:
+    """The latest c/u/r image per key (a partial aggregate), typed; ``d`` is logged, not applied."""
     up = changes.filter(F.col("op").isin("c", "u", "r") & ~F.col("is_tombstone"))
-    return up.groupBy("order_id").agg(F.max_by(F.struct(
-        F.col("after_customer_id").alias("customer_id"), F.col("after_state").alias("order_state"),
-        F.col("after_total_amount").alias("total_amount"), F.col("after_updated_at").alias("updated_at"),
-        F.col("ts_ms").alias("_cdc_ts_ms"), F.col("kafka_offset").alias("_cdc_offset"),
-        F.lit(loaded_at).cast("timestamp").alias("_cdc_loaded_at")), F.struct("ts_ms", "kafka_offset")).alias("l")).select("order_id", "l.*")
+    key = F.coalesce(F.try_element_at("after_image", F.lit(table.key)), F.col("key"))
+    newest = up.groupBy(key.alias("__key")).agg(F.max_by(
+        F.struct("after_image", "ts_ms", "kafka_offset"), F.struct("ts_ms", "kafka_offset")).alias("l"))
+    return newest.select(
+        F.col("__key").alias(table.key),
+        *[typed(F.col("l.after_image"), f.name, f.dataType).alias(f.name) for f in table.schema.fields if f.name != table.key],
+        F.col("l.ts_ms").alias("_cdc_ts_ms"), F.col("l.kafka_offset").alias("_cdc_offset"),
+        F.lit(loaded_at).cast("timestamp").alias("_cdc_loaded_at"))
 
 
-def merge_images(target: DataFrame | None, images: DataFrame) -> DataFrame:
+def merge_images(target: DataFrame | None, images: DataFrame, key: str = "order_id") -> DataFrame:
     """One row per key, the one of the newest event; of equal ones the first that
     was loaded stays, so a replayed batch changes nothing."""
-    both = images if target is None else target.select(*TARGET_COLS).unionByName(images.select(*TARGET_COLS))
-    rest = F.struct(*TARGET_COLS[1:])
+    both = images if target is None else target.unionByName(images)
+    rest = F.struct(*[c for c in images.columns if c != key])
     newest = F.struct("_cdc_ts_ms", "_cdc_offset", -F.unix_micros("_cdc_loaded_at"))
-    return both.groupBy("order_id").agg(F.max_by(rest, newest).alias("l")).select("order_id", "l.*")
+    return both.groupBy(key).agg(F.max_by(rest, newest).alias("l")).select(key, "l.*")
 
 
 def merge_batch(target: DataFrame | None, changes: DataFrame, loaded_at=None) -> DataFrame:

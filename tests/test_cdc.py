@@ -34,3 +34,23 @@ def test_parse_route_and_replay_safe_merge(spark):
     m2 = cdc.merge_batch(m1, good, dt.datetime(2024, 1, 2))          # replay: nothing changes; delete is a no-op
     assert [(r.order_id, r.customer_id, r.order_state, r._cdc_ts_ms, r._cdc_loaded_at) for r in m2.collect()] == [
         ("1", "9", "confirmed", 200, dt.datetime(2024, 1, 1))]
+
+
+def test_wrapped_images_and_values_that_do_not_fit(spark):
+    t = cdc.PAYMENTS
+    image = {"payment_id": "7", "order_id": {"string": "1"}, "payment_state": {"string": "captured"}, "amount": {"double": 10.5},
+             "payment_date": {"string": "2024-01-01T00:00:00Z"}, "failure_reason": None, "retry_count": {"int": 2}}
+
+    def env(op, after, ts, before=None):
+        return json.dumps({"before": before, "after": after, "op": op, "ts_ms": ts, "source": {"db": "retail", "table": "payments"}})
+    rows = [(t.topic, 1, None, "7", env("c", {f"{t.topic}.Value": {**image, "payment_state": {"string": "pending"}}}, 100)),
+            (t.topic, 2, None, "7", env("u", {f"{t.topic}.Value": image}, 200, {f"{t.topic}.Value": {**image, "amount": {"double": 9.0}}})),
+            (t.topic, 3, None, "7", env("u", {**image, "amount": "ten"}, 300)),
+            (t.topic, 4, None, "8", env("c", {"payment_id": "8", "order_id": "2", "failure_reason": "{not json", "retry_count": 0}, 100))]
+    parsed = cdc.parse_envelope(_feed(spark, rows), t)
+    assert [(r.kafka_offset, r.reason) for r in cdc.dead_letters(parsed).collect()] == [(3, "bad_value")]
+    good = cdc.good_changes(parsed)
+    assert [(r.field, r.old_value, r.new_value) for r in cdc.field_diff(good).collect()] == [("amount", "9.0", "10.5")]
+    got = {r.payment_id: r for r in cdc.latest_images(good, dt.datetime(2024, 1, 1), t).collect()}
+    assert (got["7"].payment_state, str(got["7"].amount), got["7"].retry_count, got["7"].failure_reason) == ("captured", "10.50", 2, None)
+    assert got["7"].payment_date == dt.datetime(2024, 1, 1) and got["8"].failure_reason == "{not json" and got["8"].amount is None
