@@ -46,15 +46,17 @@ SYLLABLES = {"latin": "ba be bo da de do ga ka ke la le li lo ma me mi mo na ne
 PATTERNS = (
     ("email", re.compile(r"(?<![\w.+-])[A-Za-z0-9][\w.+-]{0,63}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63})+")),
     ("key", re.compile(r"(?<!\w)AKIA[A-Z0-9]{16}(?!\w)")),
-    ("password", re.compile(r"(?<=password=)[^\s\"'&;]{4,128}")),
-    ("token", re.compile(r"(?<![0-9A-Za-z])[0-9a-f]{32,128}(?![0-9A-Za-z])")),
+    ("password", re.compile(r"(?i:(?<=password=))[^\s\"'&;]{4,}")),
+    ("token", re.compile(r"(?<![0-9A-Za-z])[0-9A-Fa-f]{32,}+(?![0-9A-Za-z])")),
     ("ip", re.compile(r"(?<![\w.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\w]|\.\d)")),
     ("card", re.compile(r"(?<![\w-])\d{4}(?:[ -]?\d{4}){2}[ -]?\d{1,7}(?![\w-])")),
     ("ssn", re.compile(r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])")),
-    ("phone", re.compile(r"(?<![\w(+])(?<!\d[ .-])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{2,4}[ .-])\d{3,4}[ .-]?\d{3,4}(?!\w|[ .-]\d)")),
+    # a complete number ends before a blank, whatever follows; four bare groups of four are a card's form and no phone
+    ("phone", re.compile(r"(?<![\w(+])(?:(?=[+(])|(?<!\d[ .-])(?!\d{4}(?:[ -]?\d{4}){3}))"
+                         r"(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{2,4}[ .-])\d{3,4}[ .-]?\d{3,4}(?!\w|[.-]\d)")),
 )
 _NAME = re.compile(r"(?<!\w)(" + "|".join(sorted(TITLES, key=len, reverse=True)) + r")(\.? )([^\W\d_a-zа-я][\w’'-]{1,30}(?: [^\W\d_a-zа-я][\w’'-]{1,30})?)")
-_ANY_DIGIT = re.compile(r"[0-9@]|AKIA|password=")
+_ANY_DIGIT = re.compile(r"[0-9@]|AKIA|(?i:password=|[a-f]{32})")
 _VOWELS = "aeiou"
 
 
@@ -85,7 +87,7 @@ def find(text: str | None) -> list[tuple[int, int, str, str]]:
             for m in pattern.finditer(text):
                 if kind == "card" and not _card_like(m.group()):
                     continue
-                value = m.group().lower() if kind == "email" else m.group()
+                value = m.group().lower() if kind in ("email", "token") else m.group()
                 out.append((m.start(), m.end(), kind, value))
     for m in _NAME.finditer(text):
         script = "cyrillic" if re.match(r"[Ѐ-ӿ]", m.group(3)) else "latin"
@@ -161,6 +163,15 @@ def surrogate(kind: str, value: str, draw: int = 0, key: bytes = KEY) -> str:
     return out
 
 
+def _as_written(kind: str, written: str, made: str) -> str:
+    """The surrogate of a token in the case that the token has in the text."""
+    if kind != "token" or written == written.lower():
+        return made
+    if written == written.upper():
+        return made.upper()
+    return "".join(m.upper() if w.isupper() else m for w, m in zip(written, made, strict=True))
+
+
 def _detect(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for b in batches:
         found = [[{"s": s, "e": e, "kind": k, "value": v} for s, e, k, v in find(t)] for t in b["text"]]
@@ -198,8 +209,9 @@ def surrogates(entities: DataFrame, key: bytes = KEY) -> DataFrame:
 def pseudonymise(docs: DataFrame, key: bytes = KEY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(doc_id, text, n_entities)``, one row per row of ``docs``.
 
-    * Equal entities (e-mail addresses in any case) have one surrogate in all
-      documents; different entities of the table have different ones.
+    * Equal entities (e-mail addresses and hex tokens in any case) have one
+      surrogate in all documents, a token's in the case of each mention;
+      different entities of the table have different ones.
     * NULL and empty texts stay as they are, with 0 entities; repeated rows stay
       repeated; an empty table gives no rows.
     """
@@ -219,7 +231,7 @@ def pseudonymise(docs: DataFrame, key: bytes = KEY, id_col: str = "doc_id", text
             for text, found_here, names in zip(b["text"], b["found"], b["names"], strict=True):
                 names, out, last = dict(names), [], 0
                 for x in found_here:
-                    out += [text[last:x["s"]], names[f"{x['kind']}\x00{x['value']}"]]
+                    out += [text[last:x["s"]], _as_written(x["kind"], text[x["s"]:x["e"]], names[f"{x['kind']}\x00{x['value']}"])]
                     last = x["e"]
                 texts.append("".join(out) + text[last:])
             yield pd.DataFrame({"doc_id": b["doc_id"], "text": texts, "n_entities": [len(x) for x in b["found"]]})

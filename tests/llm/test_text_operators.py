@@ -162,6 +162,22 @@ def judged(url, rules):
     return host, path, top[1], top[2]
 
 
+def test_upper_case_tokens_phones_before_numbers_and_long_secrets(spark):
+    token, long, secret = "9233a8ec" * 5, "0a1b2c3d" * 40, "k3y" * 100
+    rows = [(1, f'TOKEN = "{token.upper()}"'), (2, f"token {token} and {token.capitalize()}"), (3, f"hex {long}."), (4, f"password={secret} end"),
+            (5, "call +1 (826) 555-4081 190.137.223.204 now"), (6, "386-555-2186 42 and 12 (826) 555-4081"), (7, f"PASSWORD={secret.upper()}"),
+            (8, "ABCDEF" * 6), (9, "1234 5678 9012 3456 stays")]
+    got = {r.doc_id: r for r in pii.pseudonymise(docs(spark, rows)).collect()}
+    upper = re.fullmatch(r'TOKEN = "([0-9A-F]{40})"', got[1].text)[1]
+    assert upper != token.upper() and got[2].text.startswith(f"token {upper.lower()} and ") and got[2].n_entities == 2
+    assert got[2].text.split()[-1].lower() == upper.lower()
+    assert re.fullmatch(r"hex [0-9a-f]{320}\.", got[3].text) and "0a1b2c3d" not in got[3].text
+    assert len(got[4].text) == len(rows[3][1]) and "k3yk3y" not in got[4].text and "K3YK3Y" not in got[7].text
+    assert re.fullmatch(r"call \+1 \(\d{3}\) \d{3}-\d{4} [\d.]+ now", got[5].text) and "555-4081" not in got[5].text and got[5].n_entities == 2
+    assert re.fullmatch(r"\d{3}-\d{3}-\d{4} 42 and 12 \(\d{3}\) \d{3}-\d{4}", got[6].text) and got[6].n_entities == 2
+    assert got[8].n_entities == 1 and got[9].text == rows[8][1]
+
+
 def test_rules_against_every_rule(spark):
     rng = random.Random(2)
     hosts = ["com", "a.com", "b.a.com", "x.b.a.com", "net", "a.net", "acom", "example.com", "WWW.example.com", "m.www.example.com", "", "..", "com.", "é.com"]
