@@ -251,7 +251,8 @@ def clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
     Covered spans of ``max_span`` words and more are cut from the text, together
     with the marks between their words; shorter ones (of short items) are cut
     too where spans cover ``max_coverage`` of the words or more, in which case
-    the document goes altogether.  ``drop``: every document with a span to cut goes.
+    the document goes altogether.  ``drop``: every document with a span goes, a
+    whole short item too, since each span holds a whole window.
     """
     kept, find = _finder(docs.withColumn("__text", F.col(text_col)), benchmark, window, max_tokens)
 
@@ -264,7 +265,7 @@ def clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
                 covered = sum(y - x for x, y in spans)
                 long = [x for x in spans if x[1] - x[0] >= min(max_span, len(words))]
                 full = bool(words) and covered >= max_coverage * len(words)
-                keep.append(not (full or (drop and long)))
+                keep.append(not (full or (drop and spans)))
                 texts.append(_cut(text, long) if long and keep[-1] else text)
             yield b.drop(columns="__told").assign(__text=texts)[keep]
 

@@ -34,6 +34,14 @@ def test_stages(spark, tmp_path):
     assert shards.count() == mixed.count() and shards.select("shard", "slot").distinct().count() == mixed.count()
 
 
+def test_decontamination_stage_drops_short_items(spark, tmp_path):
+    item, filler = " ".join(f"s{i}" for i in range(9)), " ".join(f"f{i}" for i in range(100))
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    rows = [(1, f"{filler} {item} {filler}", "en", "a", 1), (2, filler, "en", "a", 1), (3, f"{filler} {item[:-3]}", "en", "a", 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    assert {r.doc_id for r in corpus_pipeline.decontaminate(spark, docs, str(tmp_path)).collect()} == {2, 3}
+
+
 def test_empty_and_null_documents(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").limit(0)
     for _, stage in corpus_pipeline.STAGES:

@@ -97,6 +97,18 @@ def test_clean(spark):
     assert decontam.clean(docs(spark, rows), empty).count() == 5 and decontam.scan(docs(spark, []), bench).count() == 0
 
 
+def test_short_items_drop_documents(spark):
+    """A whole item of fewer words than a window, in a long document; a part of it is nothing."""
+    item = [f"s{i}" for i in range(9)]
+    bench = spark.createDataFrame([(1, " ".join(item)), (2, " ".join(f"b{i}" for i in range(30)))], "item_id long, text string")
+    filler = [f"f{i}" for i in range(100)]
+    rows = [(1, " ".join(filler + item + filler)), (2, " ".join(filler + item[:8] + filler)), (3, " ".join(filler))]
+    for max_tokens in (decontam.MAX_TOKENS, 20):
+        assert {r.doc_id for r in decontam.clean(docs(spark, rows), bench, drop=True, max_tokens=max_tokens).collect()} == {2, 3}
+        hit = decontam.digest(decontam.scan(docs(spark, rows), bench, max_tokens=max_tokens))
+        assert {r.doc_id for r in hit.filter("contaminated").collect()} == {1}
+
+
 # ---- PII ---------------------------------------------------------------------------
 
 SAMPLE = ("Write bob.42@mail8.example.com or BOB.42@mail8.example.com, call +1 (386) 555-2186, card 4111 1111 1111 1111, "
