@@ -5,15 +5,18 @@ word is covered from left to right by the longest known character n-grams
 (``MAX_GRAM`` down to 1, word ends marked), each scoring its log frequency.  The
 sums over a text, whole and not a prefix, give a posterior over the languages.
 
-The model is fitted on a bounded sample of labelled rows (``SAMPLE_ROWS``,
-chosen by a hash of id and text) and keeps the ``MAX_WORDS`` commonest words and
-``MAX_GRAMS`` commonest n-grams, so its size is bounded by these parameters.
+The model is fitted on a bounded sample of labelled rows (about ``SAMPLE_ROWS``,
+chosen by a hash of id and text) and keeps about ``MAX_WORDS`` words and
+``MAX_GRAMS`` n-grams, so its size is bounded by these parameters.  Each bound is
+dealt to the languages in equal shares (what one has no use for goes to the
+others): a rare language has its commonest words beside a hot one's.  Every
+language with letters in the sample can be predicted.
 """
 
 from __future__ import annotations
 
 import re
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import islice
@@ -24,6 +27,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
+from quayside.llm.common import BROADCAST_ROWS, stored
+
 SAMPLE_ROWS = 20_000
 MAX_WORDS = 30_000
 MAX_GRAMS = 20_000
@@ -101,12 +106,60 @@ def held_out(doc_id) -> F.Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 5 == 0
 
 
+def _level(sizes: list[tuple[int, int]], total: float) -> float:
+    """The share at which groups, given as (size, how many of it), take ``total`` together."""
+    left, groups = float(total), sum(n for _, n in sizes)
+    for size, n in sorted(sizes):
+        if size * groups > left:
+            return left / groups
+        left -= size * n
+        groups -= n
+    return float(1 << 60)
+
+
+def _sample(rows: DataFrame, sample_rows: int) -> DataFrame:
+    """About ``sample_rows`` rows, in equal shares of the languages."""
+    sizes = stored(rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")), "langid-languages")
+    level = _level([(r.n, r.t) for r in sizes.groupBy("n").agg(F.count(F.lit(1)).alias("t")).collect()], sample_rows)
+    parts = sizes.select("lang", (F.least(F.lit(1.0), F.lit(level) / F.col("n")) * (1 << 30)).cast("long").alias("part"))
+    parts = F.broadcast(parts) if sizes.count() <= BROADCAST_ROWS else parts
+    return rows.join(parts, "lang").filter(F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) < F.col("part")).select("text", "lang")
+
+
+def _commonest(counts: DataFrame, most: int) -> tuple[list, list[str]]:
+    """About ``most`` rows ``(word, by)`` of ``counts(lang, word, c)``, the
+    commonest of each language in equal shares (by a hash among the last equal
+    counts), with their counts in all languages; and the languages."""
+    classes = defaultdict(list)
+    for r in counts.groupBy("lang", "c").agg(F.count(F.lit(1)).alias("t")).collect():    # a language has few different counts
+        classes[r.lang].append((r.c, r.t))
+    level, cuts = _level([(sum(t for _, t in x), 1) for x in classes.values()], most), []
+    for lang, found in classes.items():
+        left, least, part = level, 0, 0
+        for c, t in sorted(found, reverse=True):
+            if t > left:
+                least, part = c, int((1 << 30) * left / t)
+                break
+            left -= t
+        cuts.append((lang, least, part))
+    cut = F.broadcast(counts.sparkSession.createDataFrame(cuts, "lang string, least long, part long"))   # a row for each language of the sample
+    take = (F.col("c") > F.col("least")) | ((F.col("c") == F.col("least")) & (F.pmod(F.xxhash64("word"), F.lit(1 << 30)) < F.col("part")))
+    found = (counts.join(cut, "lang").groupBy("word").agg(F.max(take).alias("take"), F.map_from_entries(
+        F.collect_list(F.struct("lang", "c"))).alias("by")).filter("take").select("word", "by").collect())
+    return sorted(found, key=lambda r: r.word), sorted(classes)
+
+
+def _logs(counts: np.ndarray) -> np.ndarray:
+    """Log frequencies by language, smoothed as if all languages had as much
+    text: what a language never holds is equally unlikely in each."""
+    total = counts.sum(axis=0)
+    most = total.max(initial=0)
+    return np.log((counts * (most / np.maximum(1, total)) + SMOOTH) / (most + SMOOTH * max(1, len(counts))))
+
+
 def fit(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
     """Fit on ``(doc_id, text, lang)``; rows without text or lang are passed over."""
-    rows = labelled.filter("text is not null and lang is not null").select("doc_id", "text", "lang")
-    n = rows.count()
-    part = int((1 << 30) * min(1.0, sample_rows / max(1, n)))
-    some = rows.filter(F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) < part).select("text", "lang")
+    some = _sample(labelled.filter("text is not null and lang is not null").select("doc_id", "text", "lang"), sample_rows)
 
     def words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -114,7 +167,7 @@ def fit(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
                 c = Counter(w for t in texts for w in _LETTERS.findall(t.lower()))
                 yield pd.DataFrame([(lang, w, n) for w, n in c.items()], columns=["lang", "word", "c"])
 
-    by_word = some.mapInPandas(words, "lang string, word string, c long").groupBy("word", "lang").agg(F.sum("c").alias("c"))
+    by_word = stored(some.mapInPandas(words, "lang string, word string, c long").groupBy("word", "lang").agg(F.sum("c").alias("c")), "langid-words")
 
     def grams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -126,32 +179,24 @@ def fit(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
                         c[lang, marked[i:i + n]] += k
             yield pd.DataFrame([(*x, n) for x, n in c.items()], columns=["lang", "word", "c"])
 
-    by_gram = by_word.select("lang", "word", "c").mapInPandas(grams, "lang string, word string, c long").groupBy(
-        "word", "lang").agg(F.sum("c").alias("c"))
-
-    def commonest(counts: DataFrame, most: int):
-        return (counts.groupBy("word").agg(F.sum("c").alias("total"), F.map_from_entries(
-            F.collect_list(F.struct("lang", "c"))).alias("by")).orderBy(F.col("total").desc(), "word").limit(most).collect())
-
-    top_words, top_grams = commonest(by_word, MAX_WORDS), commonest(by_gram, MAX_GRAMS)
-    langs = sorted({k for r in top_words for k in r.by})
+    by_gram = stored(by_word.select("lang", "word", "c").mapInPandas(grams, "lang string, word string, c long").groupBy(
+        "word", "lang").agg(F.sum("c").alias("c")), "langid-grams")
+    (top_words, langs), (top_grams, _) = _commonest(by_word, MAX_WORDS), _commonest(by_gram, MAX_GRAMS)
     at = {k: i for i, k in enumerate(langs)}
 
-    def logs(found) -> np.ndarray:
+    def counted(found) -> np.ndarray:
         c = np.zeros((len(found), len(langs)))
         for i, r in enumerate(found):
             for k, v in r.by.items():
-                if k in at:
-                    c[i, at[k]] = v
+                c[i, at[k]] = v
         return c
 
-    word_counts, gram_counts = logs(top_words), logs(top_grams)
+    gram_counts = counted(top_grams)
     length = np.array([len(r.word) for r in top_grams], np.int64)
-    out = [np.log((word_counts + SMOOTH) / (word_counts.sum(axis=0) + SMOOTH * max(1, len(top_words))))]
+    out = [_logs(counted(top_words))]
     logged = np.zeros_like(gram_counts)
     for n in range(1, MAX_GRAM + 1):   # frequencies among n-grams of the same length
-        of = length == n
-        logged[of] = np.log((gram_counts[of] + SMOOTH) / (gram_counts[of].sum(axis=0) + SMOOTH * max(1, of.sum())))
+        logged[length == n] = _logs(gram_counts[length == n])
     table = np.concatenate([*out, logged]) if langs else np.zeros((0, 0))
     return Model(langs, {r.word: i for i, r in enumerate(top_words)},
                  {r.word: len(top_words) + i for i, r in enumerate(top_grams)}, table)

@@ -46,6 +46,22 @@ def test_language_sample_is_bounded(spark):
     assert 10 < sum(w in model.words for w in own) < 120
 
 
+def test_rare_languages_do_not_vanish(spark, monkeypatch):
+    """One without blanks and one with few rows, beside a language that fills both caps."""
+    monkeypatch.setattr(langid, "MAX_WORDS", 300)
+    monkeypatch.setattr(langid, "MAX_GRAMS", 200)
+    rng = random.Random(5)
+    hot = ["".join(rng.choice("abcdefghij") for _ in range(5)) for _ in range(600)]
+    rare = ["".join(rng.choice("klmnopqrst") for _ in range(6)) for _ in range(40)]
+    rows = [(i, " ".join(rng.choices(hot, k=40)), "hot") for i in range(500)]
+    rows += [(1000 + i, "".join(chr(0x4E00 + rng.randrange(60)) for _ in range(30)), "unspaced") for i in range(6)]
+    rows += [(2000 + i, " ".join(rng.choices(rare, k=10)), "rare") for i in range(6)]
+    model = langid.fit(docs(spark, rows), sample_rows=100)
+    assert model.langs == ["hot", "rare", "unspaced"] and len(model.words) < 360 and len(model.grams) < 260
+    got = langid.predict(docs(spark, rows).select("text", "lang"), model).collect()
+    assert [r for r in got if r["__lang"] != r.lang] == []
+
+
 # ---- decontamination ---------------------------------------------------------------
 
 def brute(doc, items, window=10):
