@@ -1,8 +1,8 @@
 """Personal data and secrets replaced by keyed surrogates.
 
 1. Patterns find entities in the whole texts: e-mail addresses, IPv4 addresses,
-   phone and card numbers, access keys, passwords and hex tokens, and names
-   after a title.
+   phone and card numbers, access keys, passwords and hex tokens, names after
+   a title, and what else in the same text mentions a name word found there.
 2. The distinct entities get surrogates: characters drawn from an HMAC of the
    entity under the key, of the same kind in the same places (digits, letters
    by case and script, hex digits), with check digits and value ranges kept;
@@ -31,11 +31,13 @@ MAX_DRAWS = 64
 
 #: Titles by language with the gender they tell, and given names.
 TITLES = {"Mr": "m", "Mrs": "f", "Ms": "f", "Miss": "f", "Herr": "m", "Frau": "f", "Monsieur": "m", "Madame": "f",
-          "Mme": "f", "Señor": "m", "Señora": "f", "господин": "m", "госпожа": "f"}
+          "Mme": "f", "Señor": "m", "Señora": "f", "господин": "m", "госпожа": "f",
+          "Dr": "any", "Prof": "any"}
 GIVEN = {("m", "latin"): ("James", "Peter", "Martin", "Lucas", "Daniel", "Thomas", "Hugo", "Victor", "Simon", "Oscar"),
          ("f", "latin"): ("Anna", "Clara", "Julia", "Maria", "Laura", "Emma", "Sofia", "Helena", "Alice", "Nora"),
          ("m", "cyrillic"): ("Иван", "Пётр", "Андрей", "Павел", "Виктор"),
          ("f", "cyrillic"): ("Анна", "Мария", "Ольга", "Елена", "Вера")}
+GIVEN |= {("any", script): GIVEN["m", script] + GIVEN["f", script] for script in ("latin", "cyrillic")}
 #: Endings of made-up names that tell a gender.
 ENDINGS = {("given", "f", "latin"): "na", ("given", "m", "latin"): "n", ("given", "f", "cyrillic"): "на", ("given", "m", "cyrillic"): "н",
            ("family", "f", "cyrillic"): "нова", ("family", "m", "cyrillic"): "нов"}
@@ -55,7 +57,11 @@ PATTERNS = (
     ("phone", re.compile(r"(?<![\w(+])(?:(?=[+(])|(?<!\d[ .-])(?!\d{4}(?:[ -]?\d{4}){3}))"
                          r"(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{2,4}[ .-])\d{3,4}[ .-]?\d{3,4}(?!\w|[.-]\d)")),
 )
-_NAME = re.compile(r"(?<!\w)(" + "|".join(sorted(TITLES, key=len, reverse=True)) + r")(\.? )([^\W\d_a-zа-я][\w’'-]{1,30}(?: [^\W\d_a-zа-я][\w’'-]{1,30})?)")
+_TITLE = re.compile(r"(?<!\w)(" + "|".join(sorted(TITLES, key=len, reverse=True)) + r")\.? (?=[^\W\d_a-zа-я])")
+#: A name word, or an initial with its dot.
+_NAME_WORD = re.compile(r"([^\W\d_])\.(?!\w)|([^\W\d_][\w’'-]*)")
+_MENTION = re.compile(r"[^\W\d_]\w*(?:[’'-]\w+)*")
+_GENITIVE = re.compile(r"(?:[’']s|[’'-]+)\Z")
 _ANY_DIGIT = re.compile(r"[0-9@]|AKIA|(?i:password=|[a-f]{32})")
 _VOWELS = "aeiou"
 
@@ -74,6 +80,44 @@ def _card_like(value: str) -> bool:
     return 13 <= len(digits) <= 19 and _luhn(digits[:-1]) == int(digits[-1])
 
 
+def _names(text: str) -> list[tuple[int, int, str, str]]:
+    """The name words after titles, the last as the family name, and every other
+    whole-word mention of them in the text (but for initials)."""
+    told: list[tuple[int, int, str, str, str, str]] = []
+    for m in _TITLE.finditer(text):
+        words, at = [], m.end()
+        while (w := _NAME_WORD.match(text, at)) and not (w[1] or w[2])[0].islower() and not (words and w.group() in TITLES):
+            value = w[1] or _GENITIVE.sub("", w[2])
+            end = w.end() if w[1] else at + len(value)
+            words.append((at, end, value))
+            if end != w.end() or not text.startswith(" ", end):
+                break
+            at = end + 1
+        while words and len(words) == 1 and len(words[0][2]) == 1 and words[0][2].isascii():
+            words.pop()                     # an initial alone
+        for i, (start, end, value) in enumerate(words):
+            script = "cyrillic" if re.match(r"[Ѐ-ӿ]", value) else "latin"
+            told.append((start, end, "given" if i + 1 < len(words) else "family", TITLES[m[1]], script, value))
+    known: dict[tuple[str, str], str] = {}      # part and name -> gender, a told one rather than any
+    for _, _, part, gender, _, value in told:
+        if known.get((part, value), "any") == "any":
+            known[part, value] = gender
+    out, kinds = [], {}
+    for start, end, part, gender, script, value in told:
+        gender = known[part, value] if gender == "any" else gender
+        # a family name tells a gender in Cyrillic only
+        kind = f"{part}-{'any' if part == 'family' and script != 'cyrillic' else gender}-{script}"
+        out.append((start, end, kind, value))
+        if len(value) > 1:
+            kinds.setdefault(value, kind)
+    if kinds:
+        for m in _MENTION.finditer(text):
+            value = m.group() if m.group() in kinds else _GENITIVE.sub("", m.group())
+            if value in kinds:
+                out.append((m.start(), m.start() + len(value), kinds[value], value))
+    return out
+
+
 def find(text: str | None) -> list[tuple[int, int, str, str]]:
     """``(start, end, kind, normalised value)`` of the entities of a text, in
     order and without overlaps.  Given and family name are entities of their own,
@@ -89,14 +133,7 @@ def find(text: str | None) -> list[tuple[int, int, str, str]]:
                     continue
                 value = m.group().lower() if kind in ("email", "token") else m.group()
                 out.append((m.start(), m.end(), kind, value))
-    for m in _NAME.finditer(text):
-        script = "cyrillic" if re.match(r"[Ѐ-ӿ]", m.group(3)) else "latin"
-        gender = TITLES[m.group(1)]
-        given, _, family = m.group(3).rpartition(" ")
-        if given:
-            out.append((m.start(3), m.start(3) + len(given), f"given-{gender}-{script}", given))
-        # a family name tells a gender in Cyrillic only
-        out.append((m.end(3) - len(family), m.end(3), f"family-{gender if script == 'cyrillic' else 'any'}-{script}", family))
+    out += _names(text)
     out.sort(key=lambda x: (x[0], -x[1]))
     kept: list[tuple[int, int, str, str]] = []
     for x in out:

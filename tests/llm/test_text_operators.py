@@ -206,6 +206,22 @@ def test_upper_case_tokens_phones_before_numbers_and_long_secrets(spark):
     assert got[8].n_entities == 1 and got[9].text == rows[8][1]
 
 
+def test_later_mentions_initials_and_long_names():
+    def values(text):
+        got = pii.find(text)
+        assert all(text[s:e].rstrip(".") == v for s, e, _, v in got)
+        return [(k.split("-")[0], v) for *_, k, v in got]
+
+    assert values("Mr John Smith came. Smith said: ask John, not Johnson. Smith's dog.") == [
+        ("given", "John"), ("family", "Smith"), ("family", "Smith"), ("given", "John"), ("family", "Smith")]
+    assert values("Mrs Anna Maria Lopez left") == [("given", "Anna"), ("given", "Maria"), ("family", "Lopez")]
+    assert values("Mr J. Smith and Mr J Doe") == [("given", "J"), ("family", "Smith"), ("given", "J"), ("family", "Doe")]
+    assert values("Dr Jane Roe, Prof. Doe") == [("given", "Jane"), ("family", "Roe"), ("family", "Doe")]
+    assert len({x[2:] for x in pii.find("Dr Jane Roe is Mrs Jane Roe")}) == 2
+    assert values("Monsieur Dupont était là, était") == [("family", "Dupont")]
+    assert pii.surrogate("given-any-latin", "Jane") in pii.GIVEN["any", "latin"]
+
+
 def test_rules_against_every_rule(spark):
     rng = random.Random(2)
     hosts = ["com", "a.com", "b.a.com", "x.b.a.com", "net", "a.net", "acom", "example.com", "WWW.example.com", "m.www.example.com", "", "..", "com.", "é.com"]
