@@ -41,15 +41,18 @@ ROOT = 3.0
 #: ceasing to be content, which takes a part that names itself.
 KINDS = {"text": (50.0, 0.01, 0.01), "leaf": (50.0, 0.05, 0.01), "container": (50.0, 2.0, 0.01)}
 
-#: HTML's void and raw-text elements, those that end a paragraph,
-#: and words that name parts of a page.
+#: HTML's void and raw-text elements, those of foreign content (and
+#: where HTML goes on inside these), those that end a paragraph, and words that
+#: name parts of a page.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea title noscript template iframe svg math select option datalist object".split())
+RAW = frozenset("script style textarea title noscript iframe".split())
+FOREIGN = frozenset("svg math".split())
+INTEGRATION = frozenset("foreignobject desc mi mo mn ms mtext annotation-xml".split())
 BLOCKS = frozenset("address article aside blockquote body br button caption center dd details dialog dir div dl dt fieldset "
                    "figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hr html legend li main menu nav ol p pre "
                    "section summary table tbody td tfoot th thead tr ul".split())
-SKIPPED = frozenset("script style textarea title noscript template iframe svg math select option datalist object head button".split())
-OTHER_TAGS = frozenset("nav aside footer header menu dialog button label fieldset".split())
+SKIPPED = frozenset("script style textarea title noscript template iframe svg select option datalist object head button".split())
+OTHER_TAGS = frozenset("nav aside footer header menu dialog button label fieldset template svg select option datalist object".split())
 CONTENT_TAGS = frozenset("article main".split())
 WHOLE_TAGS = frozenset("html body article main".split())
 CONTAINERS = frozenset("address article aside body center details dialog div fieldset footer form header html main menu nav section "
@@ -96,13 +99,15 @@ def parse(page: str | None) -> list[Node]:
 
     Open paragraphs, list items, table cells and options end where HTML ends
     them; an end tag closes what is open inside its element; texts of scripts,
-    styles and the like have no node.  A tag cut off at the end of the page and
+    styles and the like have no node.  Inside svg and math, ``/>`` ends an element
+    and HTML's blocks end the graphic or formula.  A tag cut off at the end of the page and
     a comment without an end are dropped.
     """
     nodes = [Node("#root", -1)]
     if not page:
         return nodes
     stack, at, n = [0], 0, len(page)
+    foreign = {0: False}    # of open elements: whether their children are foreign content
 
     def text(raw: str) -> None:
         if raw:
@@ -140,6 +145,8 @@ def parse(page: str | None) -> list[Node]:
             else:
                 close((tag,))
             continue
+        if tag in BLOCKS and foreign[stack[-1]]:
+            close(FOREIGN, INTEGRATION)
         if tag in BLOCKS and tag != "br" and tag != "button":
             close(("p",), ("article", "section", "div", "li", "td", "th", "blockquote", "aside", "main", "body", "form", "button"))
         if tag == "li":
@@ -150,16 +157,22 @@ def parse(page: str | None) -> list[Node]:
             close(("td", "th"), ("tr", "table"))
         elif tag == "tr":
             close(("tr",), ("table",))
+        elif tag == "option":
+            close(("option",), ("select", "datalist"))
         elif tag == "body":
             close(("head",))
         features, named = _features(tag, m[3])
         nodes.append(Node(tag, stack[-1], features, named=named, inner=nodes[stack[-1]].closed))
+        inside = foreign[stack[-1]]
+        if (inside or tag in FOREIGN) and m[0].endswith("/>"):
+            continue
         if tag in RAW:
             stop = _RAW_END[tag].search(page, at)
             if stop is None:
                 break
             at = page.find(">", stop.start()) + 1 or n
         elif tag not in VOID and not m[0].endswith("/>"):
+            foreign[len(nodes) - 1] = tag in FOREIGN or (inside and tag not in INTEGRATION)
             stack.append(len(nodes) - 1)
     return nodes
 

@@ -301,3 +301,19 @@ def test_marginals_are_exact(model):
         for i, y in enumerate(ys):
             weight[i] += y * math.exp(s)
     assert [w / total for w in weight] == pytest.approx(model.marginals(nodes), rel=1e-6, abs=1e-12)
+
+
+def test_graphics_formulas_and_form_parts_cut_nothing():
+    model = htmltext.Model({}, {})
+    pages = {
+        "<article><p>one <svg/> two</p><p>three</p></article>": "one two three",
+        "<article><p>one <svg><svg><text>x</text></svg><text>y</text></svg> two</p></article>": "one two",
+        "<article><p>one <svg><title/><path d='m'/><style/></svg>two</p></article>": "one two",
+        "<article>one<svg><text>x<p>two</p></article>": "one two",
+        "<article><p>a <math><mi>x</mi><mo>=</mo><mn>2</mn><mspace/></math> b</p></article>": "a x=2 b",
+        "<article>a<object><object>x</object>y</object><p>b</p></article>": "a b",
+        "<article>a <select><option>x<option>y</select> b <template><p>z</p></template><p>c</p></article>": "a b c",
+        "<article><p>one <object>x</p><p>two</p></article>": "one two",
+        "<article><p>one <option>x</p><p>two</p></article>": "one two",
+    }
+    assert {p: htmltext.content_of(p, model) for p in pages} == pages
