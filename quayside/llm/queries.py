@@ -10,9 +10,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quayside.llm import chat, decontam, htmltext, langid, mixing, neardup, pii, sharding, topk, urlfilter
+from quayside.llm import chat, decontam, htmltext, langid, lexical, mixing, neardup, pieces, pii, resample, sharding, topk, urlfilter
 from quayside.llm.common import table
 
+#: Fixed value: the vocabulary that the piece queries encode with.
+PIECES = "piece_bpe_32k.model"
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -60,6 +63,22 @@ def op10_htmltext(spark: SparkSession, sf_dir: str) -> DataFrame:
     return htmltext.extract(table(spark, sf_dir, "pages", "page_id", "url", "html"))
 
 
+def op11_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "benchmark", "item_id", "text"))
+
+
+def op12_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    model = public_tokenizers.path(PIECES)
+    encoded = pieces.encode(table(spark, sf_dir, "documents", "doc_id", "text"), model)
+    return pieces.digest(pieces.decode(encoded, model))
+
+
+def op13_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample.resample(table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "benchmark", "text")).select(
+        "doc_id", "n_features", "weight", "score", "rank")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
     return corpus_pipeline.run(spark, sf_dir)
@@ -67,9 +86,10 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {f.__name__: f for f in (op1_mixing, op2_topk, op3_langid, op4_neardup, op5_urlfilter, op6_chat, op7_sharding,
-                                    op8_pii, op9_decontam, op10_htmltext, pipeline)}
+                                    op8_pii, op9_decontam, op10_htmltext, op11_lexical, op12_pieces, op13_resample, pipeline)}
 
 
 def oracle_sql() -> dict[str, str]:
     return {"op1_mixing": mixing.ORACLE_SQL, "op2_topk": topk.ORACLE_SQL, "op4_neardup": neardup.ORACLE_SQL,
-            "op5_urlfilter": urlfilter.ORACLE_SQL, "op6_chat": chat.ORACLE_SQL, "op9_decontam": decontam.ORACLE_SQL}
+            "op5_urlfilter": urlfilter.ORACLE_SQL, "op6_chat": chat.ORACLE_SQL, "op9_decontam": decontam.ORACLE_SQL,
+            "op11_lexical": lexical.ORACLE_SQL, "op13_resample": resample.ORACLE_SQL}
