@@ -171,8 +171,9 @@ def unwrap(image: Column) -> Column:
         return F.coalesce((F.size(m) == 1) & _union_name(F.get(F.map_keys(m), F.lit(0))), F.lit(False))
 
     def value(v: Column) -> Column:
-        m = F.from_json(v, "map<string,string>")
-        return F.when(F.startswith(v, F.lit("{")) & is_wrapper(m), only(m)).otherwise(v)
+        # an array of one binds the parsed map, so that it is parsed once
+        inner = F.get(F.transform(F.array(F.from_json(v, "map<string,string>")), lambda m: F.when(is_wrapper(m), only(m)).otherwise(v)), F.lit(0))
+        return F.when(F.startswith(v, F.lit("{")), inner).otherwise(v)
 
     row = F.when(is_wrapper(image), F.from_json(only(image), "map<string,string>")).otherwise(image)
     return F.transform_values(row, lambda _, v: value(v))
@@ -188,9 +189,11 @@ def parse_envelope(feed: DataFrame, table: Captured = ORDERS) -> DataFrame:
     """All messages of a table's topic with their parsed envelope, images without
     wrappers, and a routing verdict; a value that doesn't fit its column is a
     reason for the dead letters too."""
-    p = feed.withColumn("e", F.from_json("value", ENVELOPE,
-                                         {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}))
-    p = p.withColumns({"before_image": unwrap(F.col("e.before")), "after_image": unwrap(F.col("e.after"))})
+    # ``inline`` computes its columns once for each row: a filter on the verdict can't be
+    # pushed below it, where every mention of an image would parse the message again
+    p = feed.select("*", F.inline(F.array(F.struct(F.from_json("value", ENVELOPE, {
+        "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}).alias("e")))))
+    p = p.select("*", F.inline(F.array(F.struct(unwrap(F.col("e.before")).alias("before_image"), unwrap(F.col("e.after")).alias("after_image")))))
     after = F.col("after_image")
     misfit = reduce(or_, [F.try_element_at(after, F.lit(f.name)).isNotNull() & typed(after, f.name, f.dataType).isNull()
                           for f in table.schema.fields])
@@ -202,13 +205,14 @@ def parse_envelope(feed: DataFrame, table: Captured = ORDERS) -> DataFrame:
     return p.withColumn("is_tombstone", tomb).withColumn("dead_reason", reason)
 
 
-def good_changes(parsed: DataFrame) -> DataFrame:
+def good_changes(parsed: DataFrame, table: Captured = ORDERS) -> DataFrame:
     g = parsed.filter(F.col("dead_reason").isNull())
     before, after = (lambda c: F.try_element_at("before_image", F.lit(c))), (lambda c: F.try_element_at("after_image", F.lit(c)))
     return g.select(
         "topic", "kafka_offset", "kafka_timestamp", "key", "is_tombstone",
         F.col("e.op").alias("op"), F.col("e.ts_ms").alias("ts_ms"),
         F.coalesce(after("order_id"), before("order_id"), F.col("key")).alias("order_id"),
+        F.coalesce(after(table.key), before(table.key), F.col("key")).alias("record_key"),
         F.col("e.source.table").alias("table_name"),
         before("order_state").alias("before_state"), after("order_state").alias("after_state"),
         after("customer_id").alias("after_customer_id"), "before_image", "after_image",
@@ -222,16 +226,24 @@ def dead_letters(parsed: DataFrame) -> DataFrame:
 
 
 def field_diff(changes: DataFrame) -> DataFrame:
-    """One row per changed column of an update, whatever columns the images have
-    (nothing when an image is NULL)."""
+    """The change record of every update: table, op, the table's own key, and one
+    row per changed column with its old and new value, whatever columns the
+    images have (nothing when an image is NULL)."""
     u = changes.filter((F.col("op") == "u") & F.col("before_image").isNotNull() & F.col("after_image").isNotNull())
     names = F.array_distinct(F.concat(F.map_keys("before_image"), F.map_keys("after_image")))
-    d = u.select("kafka_offset", "order_id", "before_image", "after_image", F.explode(names).alias("field"))
-    d = d.select("kafka_offset", "order_id", "field", F.try_element_at("before_image", F.col("field")).alias("old_value"),
+    same = ["topic", "kafka_offset", "table_name", "op", "record_key"]
+    d = u.select(*same, "before_image", "after_image", F.explode(names).alias("field"))
+    d = d.select(*same, "field", F.try_element_at("before_image", F.col("field")).alias("old_value"),
                  F.try_element_at("after_image", F.col("field")).alias("new_value"))
     return d.filter(~F.col("old_value").eqNullSafe(F.col("new_value")))
 
 
+DEAD = T.StructType([T.StructField("topic", T.StringType()), T.StructField("kafka_offset", T.LongType()),
+                     T.StructField("reason", T.StringType()), T.StructField("raw_value", T.StringType())])
+CHANGES = T.StructType([T.StructField(c, T.LongType() if c == "kafka_offset" else T.StringType()) for c in (
+    "topic", "kafka_offset", "table_name", "op", "record_key", "field", "old_value", "new_value")])
+
+
 # ---- merge --------------------------------------------------------------------
 def latest_images(changes: DataFrame, loaded_at, table: Captured = ORDERS) -> DataFrame:
     """The latest c/u/r image per key (a partial aggregate), typed; ``d`` is logged, not applied."""
@@ -246,6 +258,14 @@ def latest_images(changes: DataFrame, loaded_at, table: Captured = ORDERS) -> Da
         F.lit(loaded_at).cast("timestamp").alias("_cdc_loaded_at"))
 
 
+def image_schema(table: Captured) -> T.StructType:
+    """What ``latest_images`` gives."""
+    rest = [f for f in table.schema.fields if f.name != table.key]
+    return T.StructType([T.StructField(table.key, T.StringType()), *[T.StructField(f.name, f.dataType) for f in rest],
+                         T.StructField("_cdc_ts_ms", T.LongType()), T.StructField("_cdc_offset", T.LongType()),
+                         T.StructField("_cdc_loaded_at", T.TimestampType())])
+
+
 def merge_images(target: DataFrame | None, images: DataFrame, key: str = "order_id") -> DataFrame:
     """One row per key, the one of the newest event; of equal ones the first that
     was loaded stays, so a replayed batch changes nothing."""
