@@ -52,6 +52,24 @@ SELECT payment_method AS order__payment_method,
          / nullif(CAST(count(order_id) AS DOUBLE), 0) AS return_rate
 FROM fct_orders GROUP BY 1""")
 
+# line items reach their product, their order and, through it, the customer
+_metric("metric_item_revenue_by_product", ["item_revenue", "items_sold", "average_item_price"],
+        ["product__product_category", "product__price_band"], """
+SELECT p.product_category AS product__product_category, p.price_band AS product__price_band,
+       sum(i.line_total) AS item_revenue, CAST(sum(i.quantity) AS BIGINT) AS items_sold,
+       CAST(sum(i.line_total) AS DOUBLE) / nullif(CAST(sum(i.quantity) AS DOUBLE), 0) AS average_item_price
+FROM stg_order_items i LEFT JOIN dim_products p ON p.product_id = i.product_id GROUP BY 1, 2""",
+        needs=("stg_order_items", "dim_products"))
+
+_metric("metric_item_revenue_by_segment", ["item_revenue"],
+        ["metric_time__quarter", "customer__customer_segment", "product__price_band"], """
+SELECT CAST(date_trunc('quarter', o.order_date) AS DATE) AS metric_time__quarter, c.customer_segment AS customer__customer_segment,
+       p.price_band AS product__price_band, sum(i.line_total) AS item_revenue
+FROM stg_order_items i LEFT JOIN dim_products p ON p.product_id = i.product_id
+LEFT JOIN fct_orders o ON o.order_id = i.order_id LEFT JOIN dim_customers c ON c.customer_id = o.customer_id
+WHERE o.order_state = 'delivered' GROUP BY 1, 2, 3""",
+        needs=("stg_order_items", "dim_products", "fct_orders", "dim_customers"), where="order__order_state = 'delivered'")
+
 _metric("measure_gross_margin", ["gross_margin", "gross_revenue"], ["metric_time__quarter"], """
 SELECT CAST(date_trunc('quarter', order_date) AS DATE) AS metric_time__quarter,
        sum(gross_margin) AS gross_margin, sum(gross_revenue) AS gross_revenue

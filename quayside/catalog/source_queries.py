@@ -56,3 +56,31 @@ def load_hive_partitions(spark, sf_dir):
     path = scratch_path(spark, "order-events-hive")
     files.write_partitioned(e, path, "event_timestamp")
     return files.read_partitioned(spark, path)
+
+
+@register("load_csv_inferred", with_ctes("""
+SELECT CAST(product_id AS INTEGER) AS product_id, sku, product_name, product_category,
+       CAST(unit_price AS DOUBLE) AS unit_price, CASE WHEN CAST(product_id AS BIGINT) % 5 = 0 THEN NULL ELSE CAST(cost_price AS DOUBLE) END AS cost_price,
+       DATE '2024-01-01' + CAST(CAST(product_id AS BIGINT) % 300 AS INTEGER) AS listed_on, CAST(product_id AS BIGINT) % 2 = 0 AS is_even
+FROM stg_products""", "stg_products"))
+def load_csv_inferred(spark, sf_dir):
+    """Products exported as CSV with NULL tokens planted, and loaded with types
+    found in the values."""
+    p = Warehouse(spark, sf_dir).stg_products
+    k = F.col("product_id").cast("long")
+    listed = F.date_add(F.lit("2024-01-01").cast("date"), (k % 300).cast("int"))
+    planted = p.withColumn("cost_price", F.when(k % 5 == 0, F.lit("NULL")).otherwise(F.col("cost_price").cast("string")))
+    path = scratch_path(spark, "products-csv")
+    files.export(planted.withColumn("listed_on", listed).withColumn("is_even", k % 2 == 0), path, "csv")
+    return files.read_csv_inferred(spark, path)
+
+
+@register("export_by_month", with_ctes("""
+SELECT CAST(year(order_date) AS INTEGER) AS year, CAST(month(order_date) AS INTEGER) AS month, count(*) AS orders, sum(total_amount) AS revenue
+FROM fct_orders GROUP BY 1, 2""", "fct_orders"))
+def export_by_month(spark, sf_dir):
+    """The order fact exported in month folders; what each folder holds."""
+    path = scratch_path(spark, "fct-orders-export")
+    files.export(Warehouse(spark, sf_dir).mart("fct_orders"), path, by_month="order_date")
+    e = spark.read.parquet(path)
+    return e.groupBy("year", "month").agg(F.count(F.lit(1)).alias("orders"), F.sum("total_amount").alias("revenue"))

@@ -17,8 +17,11 @@ from pyspark.sql import functions as F
 
 from quayside.oracle import models_sql  # noqa: F401
 from quayside.oracle.ctes import with_ctes
-from quayside.operators.scd2 import read_snapshot, scd2_apply, write_snapshot
-from quayside.operators.upsert import high_water, incremental_filter, insert_ignore, sync_columns, upsert
+from quayside.operators.scd2 import scd2_append, scd2_history
+from quayside.operators.upsert import (insert_ignore, read_partitioned, sync_columns, upsert, upsert_partitions,
+                                       write_partitioned)
+from quayside.plans import materialize
+from quayside.plans.analytics import Analytics, sketch_error
 from quayside.plans.warehouse import Warehouse
 from quayside.registry import register
 from quayside.session import scratch_path
@@ -73,16 +76,27 @@ def _changed_orders(w, since):
     return reduce(DataFrame.unionByName, ids).distinct()
 
 
+MONTH = "__month"
+
+
+def _by_month(df):
+    """A fact with the month it is stored by."""
+    return df.withColumn(MONTH, F.date_format("order_date_day", "yyyy-MM"))
+
+
 def _runs(spark, sf_dir, name, key, first, delta):
     """Run 1 on the earlier sources, then two runs on the present ones; the
-    second must change nothing.  Each delta is written once, as it is used twice."""
-    target = _persist(spark, first(_first_run_warehouse(spark, sf_dir)), f"{name}-run1")
+    second must change nothing.  Each delta is written once, as it is used twice,
+    and only the months it touches are written again."""
+    fact = _by_month(first(_first_run_warehouse(spark, sf_dir)))
+    path = scratch_path(spark, f"{name}-by-month")
+    write_partitioned(fact, path, MONTH)
     w, since = Warehouse(spark, sf_dir), CUTOFF
     for run in (2, 3):
-        new = _persist(spark, delta(w, _changed_orders(w, since)), f"{name}-delta{run}")
-        target = _persist(spark, upsert(target, new, [key]), f"{name}-run{run}")
+        new = _persist(spark, _by_month(delta(w, _changed_orders(w, since))), f"{name}-delta{run}")
+        upsert_partitions(spark, path, new, [key], MONTH, moves=False)      # an order's date never changes
         since = w.stg_order_events.agg(F.max("event_timestamp")).first()[0] or since
-    return target
+    return read_partitioned(spark, path, fact.schema).drop(MONTH)
 
 
 def _delta_orders(w, ids):
@@ -126,14 +140,12 @@ SCD_PRODUCTS_SQL = _scd_oracle(
     "stg_products", "product_id", f"{_PK} % 10 = 0 AND {_PK} % 97 <> 0",
     "product_id, sku, product_name, product_category, CAST(unit_price + 10 AS DECIMAL(12,2)) AS unit_price, cost_price")
 
+
 def _scd_runs(spark, v1, v2, key, check_cols, name):
-    snap = None
-    for i, (src, ts) in enumerate(zip((v1, v2, v2), SCD_RUNS), 1):
-        nxt = scd2_apply(snap, src, key, check_cols, ts)
-        path = scratch_path(spark, f"{name}-run{i}")
-        write_snapshot(nxt, path)
-        snap = read_snapshot(spark, path)
-    return snap
+    path = scratch_path(spark, name)
+    for src, ts in zip((v1, v2, v2), SCD_RUNS, strict=True):
+        scd2_append(spark, path, src, key, check_cols, ts)
+    return scd2_history(spark, path, v1.schema)
 
 
 @register("scd2_customers", SCD_CUSTOMERS_SQL)
@@ -188,6 +200,22 @@ def schema_sync(spark, sf_dir):
     return upsert(synced, new, ["order_id"])
 
 
+@register("schema_widen", with_ctes(f"""
+SELECT order_id, line_count, total_amount,
+       CASE WHEN order_date < TIMESTAMP '{_SYNC_CUT} 00:00:00' THEN CAST(CAST(order_date AS DATE) AS TIMESTAMP) ELSE order_date END AS order_date
+FROM fct_orders""", "fct_orders"))
+def schema_widen(spark, sf_dir):
+    """An old target with narrower columns (int, a shorter decimal, a date) takes
+    the wider types of the new batch."""
+    f = Warehouse(spark, sf_dir).fct_orders.select("order_id", "line_count", "total_amount", "order_date")
+    cut = F.lit(_SYNC_CUT).cast("timestamp")
+    old = _persist(spark, f.filter(F.col("order_date") < cut).select(
+        "order_id", F.col("line_count").cast("int").alias("line_count"), F.col("total_amount").cast("decimal(10,2)").alias("total_amount"),
+        F.col("order_date").cast("date").alias("order_date")), "fct_orders-narrow")
+    new = f.filter(F.col("order_date") >= cut)
+    return upsert(sync_columns(old, new.limit(0)), new, ["order_id"])
+
+
 @register("change_gate", with_ctes(f"""
 SELECT 'orders' AS table_name, p.rows AS prev_rows, p.max_updated_at AS prev_max_updated_at,
        c.rows AS cur_rows, c.max_updated_at AS cur_max_updated_at,
@@ -245,3 +273,83 @@ def schema_drift(spark, sf_dir):
                           for i, d in enumerate(diffs)])).alias("d")).select("d.*"))
     from functools import reduce
     return reduce(lambda a, b: a.unionByName(b), frames)
+
+
+# ---- distinct counts by sketch ---------------------------------------------
+def _sketched(spark, sf_dir):
+    """Daily sketches are stored, months come from merging them."""
+    a = Analytics(Warehouse(spark, sf_dir))
+    stored = _persist(spark, a.customer_sketches(), "customer-sketches")
+    return a.distinct_exact("month").join(a.distinct_of(stored, "month"), "month", "full_outer")
+
+
+@register("distinct_customers_sketch")
+def distinct_customers_sketch(spark, sf_dir):
+    """The estimate beside the exact count (no oracle: its hash is Spark's own)."""
+    return _sketched(spark, sf_dir)
+
+
+@register("distinct_customers_bound", with_ctes("""
+SELECT CAST(date_trunc('month', order_date) AS DATE) AS month, count(DISTINCT customer_id) AS exact_customers, true AS within_four_errors
+FROM stg_orders GROUP BY 1""", "stg_orders"))
+def distinct_customers_bound(spark, sf_dir):
+    """Whether the estimate of every month lies within four standard errors (and
+    one customer, where that is more)."""
+    off = F.abs(F.col("estimated_customers") - F.col("exact_customers"))
+    bound = F.greatest(F.lit(1.0), F.col("exact_customers") * (4 * sketch_error()))
+    return _sketched(spark, sf_dir).select("month", "exact_customers", F.coalesce(off <= bound, F.lit(False)).alias("within_four_errors"))
+
+
+# ---- named materialisations ------------------------------------------------
+def _built(spark, sf_dir, name):
+    """Three runs: the first builds all; the second, on the same sources, nothing;
+    before the third the payments change."""
+    w = Warehouse(spark, sf_dir)
+    catalog = materialize.Catalog(spark, scratch_path(spark, name).rsplit("/", 1)[1].replace("-", "_"))
+    runs = [materialize.build(catalog, w), materialize.build(catalog, w)]
+    paid = w.source("payments").withColumn("retry_count", F.col("retry_count") + 1)
+    runs.append(materialize.build(catalog, Warehouse(spark, sf_dir, sources={"payments": paid})))
+    return catalog, runs
+
+
+_LOGGED = {n.name: ("view" if n.view else "table") for n in materialize.NODES.values()}
+_AFTER_PAYMENTS = ("payments", "fct_orders", "fct_payments", "fct_returns")
+
+
+def _build_sql():
+    def line(name, kind):
+        third = "built" if kind == "view" or name in _AFTER_PAYMENTS else "skipped"
+        second = "built" if kind == "view" else "skipped"
+        source = name if not materialize.NODES[name].layer == "sources" else f"raw_{name}"
+        return (f"SELECT '{name}' AS model, '{materialize.database_of(materialize.NODES[name].layer)}' AS database, '{kind}' AS kind, "
+                f"'built' AS first_run, '{second}' AS second_run, '{third}' AS third_run, (SELECT count(*) FROM {source}) AS rows")
+    names = [n if materialize.NODES[n].layer != "sources" else f"raw_{n}" for n in _LOGGED]
+    return with_ctes("\nUNION ALL ".join(line(n, k) for n, k in _LOGGED.items()), *names)
+
+
+@register("build_log", _build_sql())
+def build_log(spark, sf_dir):
+    """Every model with its database and what three runs did with it; the rows are
+    counted in the catalog's table or view."""
+    catalog, runs = _built(spark, sf_dir, "build")
+    out = None
+    for (model, db, kind, *_), actions in zip(runs[0], zip(*[[r[3] for r in run] for run in runs], strict=True), strict=True):
+        row = catalog.table(model).agg(F.count(F.lit(1)).alias("rows")).select(
+            F.lit(model).alias("model"), F.lit(db.removeprefix(f"{catalog.name}_")).alias("database"), F.lit(kind).alias("kind"),
+            *[F.lit(a).alias(f"{n}_run") for n, a in zip(("first", "second", "third"), actions, strict=True)], "rows")
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+def _described_sql():
+    rows = [(m, c, text) for m, about in materialize.DESCRIPTIONS.items() for c, text in about.items()]
+    return "SELECT * FROM (VALUES " + ", ".join(f"('{m}', '{c}', '{t.replace(chr(39), chr(39) * 2)}')" for m, c, t in rows) + \
+        ") t(model, column_name, description)"
+
+
+@register("column_descriptions", _described_sql())
+def column_descriptions(spark, sf_dir):
+    """What the catalog says about the columns of the stored marts."""
+    catalog = materialize.Catalog(spark, scratch_path(spark, "described").rsplit("/", 1)[1].replace("-", "_"))
+    materialize.build(catalog, Warehouse(spark, sf_dir))
+    return materialize.descriptions(catalog)

@@ -13,18 +13,25 @@ and ``scd_id``.
 
 Plan shape: only the *open* versions meet the source, in one full outer
 join (one shuffle per side on the key); each joined row emits one or two
-output rows through a single ``inline`` — no self-union of rescans.  Closed
-history never enters the join, so the cost of a run tracks the live
-dimension, not its history.  Persist the snapshot partitioned by
-``is_current`` (see ``write_snapshot``) so the next run reads only open rows.
+output rows through a single ``inline`` — no self-union of rescans.
+
+``scd2_append(spark, path, ...)`` keeps the same history as two tables that only
+grow: ``opened`` (every version, with a digest of its checked columns) and
+``closed`` (the id and end of versions that ended).  A run reads keys, digests
+and ids of the open versions, joins them with the source, and writes the few
+versions that open or close into folders of its own, which a repeated run
+replaces; no earlier file is written again.  ``scd2_history`` reads the snapshot.
 """
 
 from __future__ import annotations
 
+import datetime as _dt
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quayside.functions.scalars import scd_id
 
@@ -86,3 +93,63 @@ def write_snapshot(snapshot: DataFrame, path: str) -> None:
 
 def read_snapshot(spark, path: str) -> DataFrame:
     return spark.read.parquet(path).drop("is_current")
+
+
+# ---- append-only history ----------------------------------------------------
+_RUN = T.StructField("run", T.StringType())
+_CLOSED = T.StructType([T.StructField("scd_id", T.StringType()), T.StructField("valid_to", T.TimestampType()), _RUN])
+
+
+def _run_name(run_ts: _dt.datetime) -> str:
+    return "r" + run_ts.strftime("%Y%m%d%H%M%S%f")
+
+
+def _digest(cols: list[str]) -> Column:
+    """Equal exactly where all columns are (NULL equals NULL)."""
+    return F.sha2(F.to_json(F.struct(*[F.col(c).cast("string").alias(f"c{i}") for i, c in enumerate(cols)]), {"ignoreNullFields": "false"}), 256)
+
+
+def _opened_schema(source: T.StructType) -> T.StructType:
+    return T.StructType([*source.fields, T.StructField("valid_from", T.TimestampType()), T.StructField("scd_id", T.StringType()),
+                         T.StructField("__digest", T.StringType()), _RUN])
+
+
+def _rows(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
+def scd2_append(spark: SparkSession, path: str, source: DataFrame, key: str, check_cols: list[str], run_ts: _dt.datetime) -> None:
+    """One run.  Keys that are new or differ in a checked column open a version;
+    the version such a key had open is closed.  Runs come in the order of their
+    times; the same run again replaces what it wrote."""
+    name, ts = _run_name(run_ts), F.lit(run_ts).cast("timestamp")
+    before = F.col("run") < name
+    opened = _rows(spark, f"{path}/opened", _opened_schema(source.schema)).filter(before)
+    closed = _rows(spark, f"{path}/closed", _CLOSED).filter(before)
+    held = (opened.select(F.col(key).alias("__key"), F.col("__digest").alias("__was"), F.col("scd_id").alias("__old"))
+            .join(closed.select(F.col("scd_id").alias("__old")), "__old", "left_anti"))
+    now = source.withColumn("__digest", _digest(check_cols))
+    moved = (now.join(held, F.col(key) == F.col("__key"), "left").filter(F.col("__old").isNull() | (F.col("__was") != F.col("__digest"))))
+    new = moved.select(*source.columns, ts.alias("valid_from"), scd_id(F.col(key), ts).alias("scd_id"), "__digest", F.col("__old"))
+    staged = f"{path}/moved/run={name}"         # both tables are fed from here, the join runs once
+    _replace(new, staged)
+    rows = spark.read.schema(new.schema).parquet(staged)
+    _replace(rows.drop("__old"), f"{path}/opened/run={name}")
+    _replace(rows.filter(F.col("__old").isNotNull()).select(F.col("__old").alias("scd_id"), ts.alias("valid_to")), f"{path}/closed/run={name}")
+
+
+def _replace(df: DataFrame, folder: str) -> None:
+    df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(folder)
+
+
+def scd2_history(spark: SparkSession, path: str, source_schema: T.StructType) -> DataFrame:
+    """Every version with ``valid_from``, ``valid_to`` (NULL: open) and ``scd_id``."""
+    opened = _rows(spark, f"{path}/opened", _opened_schema(source_schema)).drop("run", "__digest")
+    closed = _rows(spark, f"{path}/closed", _CLOSED).select("scd_id", "valid_to")
+    out = opened.join(closed, "scd_id", "left")
+    return out.select(*[f.name for f in source_schema.fields], *META)

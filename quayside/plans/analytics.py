@@ -27,9 +27,11 @@ REGION_TZ = {"AFRICA": "Africa/Lagos", "AMERICA": "America/New_York", "ASIA": "A
 HOUSEHOLD_CAP = 9
 ORDERS_CAP = 10
 AOV_BUCKET = 50
-#: Columns of the year pivot; a year outside them is a parameter away.
+#: Years the year pivot always has a column for, with orders or without.
 PIVOT_YEARS = tuple(range(1992, 2002))
 LATEST_EVENTS = 20
+#: A sketch of 2 ** 12 registers: a few kilobytes, whatever it has seen.
+SKETCH_LG_K = 12
 TOP_N, TOP_VALUES = 10, 50
 CUSTOMERS_AS_OF = _dt.date(1996, 1, 1)
 
@@ -40,6 +42,11 @@ def _share(df: DataFrame, key: str, alias: str) -> DataFrame:
                         / F.sum("n").over(Window.partitionBy()).cast("double"))
 
 
+def sketch_error(lg_k: int = SKETCH_LG_K) -> float:
+    """Relative standard error of a merged sketch's estimate (1.04 / sqrt of its registers)."""
+    return 1.04 / (2 ** lg_k) ** 0.5
+
+
 class Analytics:
     def __init__(self, w):
         self.w = w
@@ -86,8 +93,11 @@ class Analytics:
                                                       (F.col("week_of_year") - 1) * 7))
 
     def orders_yoy_pivot(self, years=PIVOT_YEARS, last_week: int | None = None):
+        """Weeks down, years across: ``years`` and every other year the orders have
+        (found by one small aggregate, a row for each year)."""
         wk = self.orders_yoy_weekly(last_week=last_week)
-        return wk.groupBy("week_of_year").pivot("order_year", list(years)).agg(F.sum("orders"))
+        held = {r[0] for r in wk.select("order_year").distinct().collect() if r[0] is not None}
+        return wk.groupBy("week_of_year").pivot("order_year", sorted(held | set(years))).agg(F.sum("orders"))
 
     def latest_events(self, n: int = LATEST_EVENTS):
         """The latest order events (each partition keeps its own first n)."""
@@ -116,6 +126,24 @@ class Analytics:
                         (F.col("dec_orders").cast("double") / F.nullif(base, F.lit(0.0))).alias("december_lift"),
                         (F.col("jan_orders").cast("double") / F.nullif(base, F.lit(0.0))).alias("january_ratio"))
 
+    # -- distinct counts by sketch ------------------------------------------
+    def customer_sketches(self, lg_k: int = SKETCH_LG_K):
+        """One mergeable HyperLogLog sketch of the ordering customers for each day."""
+        o = self.w.stg_orders.filter(F.col("customer_id").isNotNull())
+        return o.groupBy(F.col("order_date").cast("date").alias("day")).agg(F.hll_sketch_agg("customer_id", F.lit(lg_k)).alias("sketch"))
+
+    @staticmethod
+    def distinct_of(sketches: DataFrame, grain: str = "month") -> DataFrame:
+        """Distinct customers by period, from stored daily sketches alone: days are
+        merged, so no order is read again.  The relative standard error is
+        ``sketch_error``; a sum of daily counts would count a customer each day."""
+        merged = sketches.groupBy(trunc_date(grain, F.col("day")).alias(grain)).agg(F.hll_union_agg("sketch").alias("sketch"))
+        return merged.select(grain, F.hll_sketch_estimate("sketch").alias("estimated_customers"))
+
+    def distinct_exact(self, grain: str = "month") -> DataFrame:
+        o = self.w.stg_orders
+        return o.groupBy(trunc_date(grain, F.col("order_date")).alias(grain)).agg(F.countDistinct("customer_id").alias("exact_customers"))
+
     # -- products & economics ---------------------------------------------
     def category_revenue(self):
         i = self.w.stg_order_items.select("order_id", "product_id", "line_total")

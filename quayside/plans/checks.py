@@ -28,7 +28,7 @@ UNIQUE_TESTS = [
     ("fct_payments", "payment_id"), ("fct_returns", "order_id"),
 ]
 #: Marts that the tests read as stored.
-STORED = ("fct_orders", "fct_payments", "dim_customers")
+STORED = ("fct_orders", "fct_payments", "fct_returns", "dim_customers")
 ACCEPTED_TESTS = [
     ("stg_orders", "order_state", S.ORDER_STATES),
     ("stg_payments", "payment_state", S.PAYMENT_STATES),

@@ -15,6 +15,11 @@
   the data, computed after aggregation to period grain (the window sees one
   row per period, never raw orders).
 
+Facts and dimensions are *models* with entities (keys).  A dimension of another
+model is reached along declared keys, always from a foreign key to the model
+whose primary key it is (many to one), by the shortest such path; a path that
+would multiply the measured rows doesn't exist, and asking for it raises.
+
 Group-by names follow the metric-query convention: ``metric_time__<grain>``
 and ``<entity>__<dimension>`` (``customer__customer_segment``).
 """
@@ -37,7 +42,8 @@ class Measure:
     name: str
     agg: str                      # "sum" | "count"
     expr: object                  # column name or callable -> Column
-    time_dim: str = "order_date"  # column of the order fact
+    time_dim: str = "order_date"  # column of the model, or of one reached by "<entity>__<column>"
+    model: str = "orders"
 
     def column(self) -> Column:
         e = self.expr() if callable(self.expr) else F.col(self.expr)
@@ -75,6 +81,8 @@ MEASURES = {m.name: m for m in (
     Measure("shipped_revenue", "sum",
             lambda: F.when(F.col("order_state") == "delivered", F.col("total_amount")),
             time_dim="shipped_at"),
+    Measure("items_sold", "sum", "quantity", time_dim="order__order_date", model="order_items"),
+    Measure("item_revenue", "sum", "line_total", time_dim="order__order_date", model="order_items"),
 )}
 
 
@@ -90,6 +98,10 @@ METRICS = {m.name: m for m in (
     Metric("gross_revenue", "simple", measure="gross_revenue"),
     Metric("gross_margin", "simple", measure="gross_margin"),
     Metric("cancelled_orders", "simple", measure="cancelled_orders"),
+    Metric("items_sold", "simple", measure="items_sold"),
+    Metric("item_revenue", "simple", measure="item_revenue"),
+    Metric("average_item_price", "derived", expr=_ratio("item_revenue", "items_sold"),
+           inputs=(MetricInput("item_revenue"), MetricInput("items_sold"))),
     Metric("average_order_value", "derived", expr=_ratio("revenue", "order_count"),
            inputs=(MetricInput("revenue"), MetricInput("order_count"))),
     Metric("return_rate", "derived", expr=_ratio("returned_orders", "order_count"),
@@ -101,10 +113,49 @@ METRICS = {m.name: m for m in (
            inputs=(MetricInput("revenue"), MetricInput("revenue", "revenue_prior_week", 7))),
 )}
 
-# Dimensions reachable from the order fact (entity -> model columns).
-ORDER_DIMS = ("order_state", "payment_method", "payment_state", "is_returned", "is_cancelled",
-              "is_on_time")
-CUSTOMER_DIMS = ("cohort_month", "cohort_year", "state", "customer_segment", "is_active")
+@dataclass(frozen=True)
+class Model:
+    """A table of the semantic layer: how to get it, its keys and its dimensions."""
+    name: str
+    frame: object                          # callable(warehouse) -> DataFrame
+    primary: tuple[str, str]               # (entity, column)
+    foreign: tuple = ()                    # ((entity, column), ...)
+    dims: tuple = ()
+    times: tuple = ()                      # time columns
+
+
+# Semantic models (fixed definitions).
+MODELS = {m.name: m for m in (
+    Model("orders", lambda w: w.mart("fct_orders"), ("order", "order_id"), (("customer", "customer_id"),),
+          ("order_state", "payment_method", "payment_state", "is_returned", "is_cancelled", "is_on_time"),
+          ("order_date", "shipped_at")),
+    Model("customers", lambda w: w.mart("dim_customers"), ("customer", "customer_id"), (),
+          ("cohort_month", "cohort_year", "state", "customer_segment", "is_active")),
+    Model("products", lambda w: w.mart("dim_products"), ("product", "product_id"), (), ("product_category", "price_band")),
+    Model("order_items", lambda w: w.stg_order_items, ("order_item", "order_item_id"),
+          (("order", "order_id"), ("product", "product_id"))),
+)}
+OWNER = {m.primary[0]: m for m in MODELS.values()}
+ORDER_DIMS, CUSTOMER_DIMS = MODELS["orders"].dims, MODELS["customers"].dims
+
+
+def join_path(model: str, entity: str) -> list[tuple[Model, str, Model]]:
+    """Joins (from model, entity, to model) that lead from ``model`` to the model
+    whose primary key ``entity`` is: breadth first, so the shortest, over foreign
+    keys only, so that no measured row is ever multiplied."""
+    if entity not in OWNER:
+        raise ValueError(f"unknown entity {entity}")
+    todo, paths = [MODELS[model]], {model: []}
+    while todo:
+        here = todo.pop(0)
+        if here is OWNER[entity]:
+            return paths[here.name]
+        for e, _ in here.foreign:
+            there = OWNER[e]
+            if there.name not in paths:
+                paths[there.name] = [*paths[here.name], (here, e, there)]
+                todo.append(there)
+    raise ValueError(f"{entity} can't be reached from {model} without multiplying its rows")
 
 
 def _parse_group_by(group_by):
@@ -115,12 +166,10 @@ def _parse_group_by(group_by):
             if time_grain not in GRAINS:
                 raise ValueError(f"unknown grain {time_grain}")
         else:
-            entity, dim = g.split("__", 1)
-            if entity == "customer" and dim in CUSTOMER_DIMS:
-                dims.append((g, "customer", dim))
-            elif entity == "order" and (dim in ORDER_DIMS or (
-                    dim.startswith("shipped_date__") and dim.split("__")[1] in GRAINS)):
-                dims.append((g, "order", dim))
+            entity, _, dim = g.partition("__")
+            if entity in OWNER and (dim in OWNER[entity].dims or (
+                    entity == "order" and dim.startswith("shipped_date__") and dim.split("__")[1] in GRAINS)):
+                dims.append((g, entity, dim))
             else:
                 raise ValueError(f"unknown dimension {g}")
     return time_grain, dims
@@ -130,23 +179,51 @@ class SemanticLayer:
     def __init__(self, warehouse):
         self.w = warehouse
 
-    def _base(self, dims, where=None) -> DataFrame:
-        """The order fact with the customer columns that are asked for; ``where``
-        filters these rows, before any aggregate."""
-        f = self.w.mart("fct_orders")
-        cust = [d for _, e, d in dims if e == "customer"]
+    def _base(self, model: str, dims, where=None, time_dim: str | None = None) -> DataFrame:
+        """The model's rows with the columns of other models that are asked for, as
+        ``<entity>__<column>``; ``where`` filters these rows, before any aggregate."""
+        m = MODELS[model]
+        f = m.frame(self.w)
+        asked: dict[str, list[str]] = {}
+
+        def ask(entity, column):
+            if column not in asked.setdefault(entity, []):
+                asked[entity].append(column)
+
+        for _, e, d in dims:
+            ask(e, "shipped_at" if d.startswith("shipped_date__") else d)
         if where is not None:
-            cust += [d for d in CUSTOMER_DIMS if f"customer__{d}" in where and d not in cust]
-        if cust:
-            c = self.w.mart("dim_customers").select("customer_id", *[F.col(d).alias(f"customer__{d}") for d in cust])
-            f = f.join(c, "customer_id", "left")
-        f = f.withColumns({f"order__{d}": F.col(d) for d in ORDER_DIMS})
+            for e, owner in OWNER.items():
+                for d in owner.dims:
+                    if f"{e}__{d}" in where:
+                        ask(e, d)
+        if time_dim and "__" in time_dim:
+            ask(*time_dim.split("__", 1))
+        own = asked.pop(m.primary[0], [])
+        f = f.withColumns({f"{m.primary[0]}__{c}": F.col(c) for c in {*own, *m.dims}})
+        # each model on the way is joined once, with the keys that lead on and the columns asked for
+        steps, wanted = {}, {}
+        for e, columns in asked.items():
+            path = join_path(model, e)
+            for i, (_, key, there) in enumerate(path):
+                steps.setdefault(there.name, (path[i - 1][1] if i else None, key, there))
+                if i + 1 < len(path):
+                    wanted.setdefault(there.name, []).append(path[i + 1][1])
+            wanted.setdefault(OWNER[e].name, [])
+            wanted[OWNER[e].name] += [("column", c) for c in columns]
+        for name, (came_by, key, there) in steps.items():
+            left = f"__{came_by}__{key}" if came_by else dict(m.foreign)[key]
+            leads = {k: dict(there.foreign)[k] for k in wanted[name] if isinstance(k, str)}
+            right = there.frame(self.w).select(
+                F.col(there.primary[1]).alias(f"__{name}"), *[F.col(c).alias(f"__{key}__{k}") for k, c in leads.items()],
+                *[F.col(w[1]).alias(f"{key}__{w[1]}") for w in wanted[name] if not isinstance(w, str)])
+            f = f.join(right, F.col(left) == F.col(f"__{name}"), "left").drop(f"__{name}")
         return f if where is None else f.filter(where)
 
-    def _measure_frame(self, measures, time_grain, dims, time_dim, offset_days, where) -> DataFrame:
+    def _measure_frame(self, measures, time_grain, dims, time_dim, offset_days, where, model="orders") -> DataFrame:
         """An offset shifts days, so it is applied to the day before days are
         rolled up to the grain (a shifted month is not a month)."""
-        base, keys = self._base(dims, where), []
+        base, keys = self._base(model, dims, where, time_dim if time_grain else None), []
         if time_grain:
             day = F.date_add(F.col(time_dim).cast("date"), offset_days) if offset_days else F.col(time_dim)
             base = base.withColumn(f"metric_time__{time_grain}", trunc_date(time_grain, day))
@@ -155,7 +232,7 @@ class SemanticLayer:
             raise ValueError("a metric with an offset needs metric_time in group_by")
         for out, _e, _d in dims:
             if out.startswith("order__shipped_date__"):
-                base = base.withColumn(out, trunc_date(out.rsplit("__", 1)[1], F.col("shipped_at")))
+                base = base.withColumn(out, trunc_date(out.rsplit("__", 1)[1], F.col("order__shipped_at")))
             keys.append(out)
         aggs = [MEASURES[m].column().alias(alias) for m, alias in measures]
         return base.groupBy(*keys).agg(*aggs) if keys else base.agg(*aggs)
@@ -187,22 +264,22 @@ class SemanticLayer:
         for name in metrics:
             m = METRICS[name]
             if m.kind == "simple":
-                lst = needs.setdefault((MEASURES[m.measure].time_dim, 0), [])
+                lst = needs.setdefault((MEASURES[m.measure].model, MEASURES[m.measure].time_dim, 0), [])
                 if (m.measure, name) not in lst:
                     lst.append((m.measure, name))
             elif m.kind == "derived":
                 for inp in m.inputs:
                     base = METRICS[inp.metric]
                     alias = inp.alias or inp.metric
-                    key = (MEASURES[base.measure].time_dim, inp.offset_days)
+                    key = (MEASURES[base.measure].model, MEASURES[base.measure].time_dim, inp.offset_days)
                     if (base.measure, alias) not in needs.setdefault(key, []):
                         needs[key].append((base.measure, alias))
                 exprs[name] = m
             else:
                 cumulative.append(m)
 
-        frames = [self._measure_frame(ms, time_grain, dims, td, off, where)
-                  for (td, off), ms in needs.items() if ms]
+        frames = [self._measure_frame(ms, time_grain, dims, td, off, where, model)
+                  for (model, td, off), ms in needs.items() if ms]
         out = self._combine(frames, keys) if frames else None
         for c in cumulative:
             cf = self._cumulative(c, time_grain, dims, period_agg, where)
@@ -221,7 +298,7 @@ class SemanticLayer:
         """Running sum over a daily spine, for each combination of the dimensions.
         The windows see one row per day and combination, never orders."""
         grain, names = time_grain or "day", [o for o, _, _ in dims]
-        daily = self._measure_frame([(m.measure, "v")], "day", dims, MEASURES[m.measure].time_dim, 0, where)
+        daily = self._measure_frame([(m.measure, "v")], "day", dims, MEASURES[m.measure].time_dim, 0, where, MEASURES[m.measure].model)
         daily = daily.withColumnRenamed("metric_time__day", "date_day")
         spine = self.w.time_spine()
         if names:

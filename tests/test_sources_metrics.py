@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quayside.catalog import stateful_queries as runs
+from quayside.operators import upsert as upserts
 from quayside.plans.semantic import SemanticLayer, publish_views
 from quayside.plans.warehouse import Warehouse
 from quayside.sources import files
@@ -17,7 +18,7 @@ SCHEMA = T.StructType([T.StructField("sku", T.StringType()), T.StructField("pric
 
 def test_csv_by_header_name(spark, tmp_path):
     (tmp_path / "p.csv").write_text('cost_price,extra,price,sku\n5,x,10,"a ""b""\nline two"\nNULL,y,,null\n')
-    got = files.read_csv(spark, f"file://{tmp_path}/p.csv", SCHEMA).collect()
+    got = files.read_csv(spark, f"file://{tmp_path}/p.csv", SCHEMA, multi_line=True).collect()
     assert [tuple(r) for r in got] == [('a "b"\nline two', decimal.Decimal("10.00"), decimal.Decimal("5.00")), (None, None, None)]
     (tmp_path / "q.csv").write_text("sku,price\na,1\n")
     with pytest.raises(ValueError, match="cost_price"):
@@ -60,7 +61,7 @@ def test_incremental_replaces_changed_rows(spark, monkeypatch, name, key):
     want = sorted(map(repr, getattr(Warehouse(spark, SF), name).collect()))
     cols = getattr(Warehouse(spark, SF), name).columns
     assert sorted(map(repr, build(spark, SF).select(*cols).collect())) == want
-    monkeypatch.setattr(runs, "upsert", lambda target, delta, keys: target.unionByName(
+    monkeypatch.setattr(upserts, "upsert", lambda target, delta, keys: target.unionByName(
         delta.join(target.select(*keys), keys, "left_anti")))
     kept = sorted(map(repr, build(spark, SF).select(*cols).collect()))
     assert kept != want or name == "fct_returns"
