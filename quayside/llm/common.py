@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -66,3 +67,13 @@ def with_result(df: DataFrame, row: str, **new: Column) -> DataFrame:
     taken = {n.lower() for n in new}
     keep = [F.col(f"{row}.`{f.name}`") for f in df.schema[row].dataType.fields if f.name.lower() not in taken]
     return df.select(*keep, *[c.alias(n) for n, c in new.items()])
+
+
+def set_aside(df: DataFrame, *taken: str) -> tuple[DataFrame, dict[str, str], Callable[[DataFrame], DataFrame]]:
+    """``df`` with its columns of the names ``taken`` under other names, so that an
+    operator's own columns can't clash with them; the present name of every
+    column; and what gives a result its columns back, in their order."""
+    free = (n for i in range(len(df.columns) + len(taken) + 1) if (n := f"__own{i}") not in {c.lower() for c in df.columns} | set(taken))
+    now = {c: next(free) if c.lower() in taken else c for c in df.columns}
+    return (df.withColumnsRenamed({c: n for c, n in now.items() if c != n}), now,
+            lambda out: out.select(*[F.col(f"`{n}`").alias(c) for c, n in now.items()]))

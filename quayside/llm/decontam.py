@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quayside.llm.common import stored
+from quayside.llm.common import on_workers, set_aside, stored
 
 WINDOW = 10
 #: Words of the items that one automaton holds: what is collected to the driver
@@ -254,6 +254,8 @@ def clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
     the document goes altogether.  ``drop``: every document with a span goes, a
     whole short item too, since each span holds a whole window.
     """
+    docs, now, back = set_aside(docs, "__text", "__told", "__key")
+    text_col = now[text_col]
     kept, find = _finder(docs.withColumn("__text", F.col(text_col)), benchmark, window, max_tokens)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -269,7 +271,7 @@ def clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
                 texts.append(_cut(text, long) if long and keep[-1] else text)
             yield b.drop(columns="__told").assign(__text=texts)[keep]
 
-    return kept.mapInPandas(run, kept.drop("__told").schema).withColumn(text_col, F.col("__text")).select(*docs.columns)
+    return back(kept.mapInPandas(run, kept.drop("__told").schema).withColumn(text_col, F.col("__text")))
 
 
 def _cut(text: str, spans: list[tuple[int, int]]) -> str:

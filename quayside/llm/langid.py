@@ -27,11 +27,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from quayside.llm.common import BROADCAST_ROWS, stored
+from quayside.llm.common import BROADCAST_ROWS, on_workers, stored
 
 SAMPLE_ROWS = 20_000
-MAX_WORDS = 30_000
-MAX_GRAMS = 20_000
+MAX_WORDS = 60_000
+MAX_GRAMS = 40_000
 MAX_GRAM = 4
 SMOOTH = 0.5
 UNKNOWN = "und"
@@ -126,10 +126,14 @@ def _sample(rows: DataFrame, sample_rows: int) -> DataFrame:
     return rows.join(parts, "lang").filter(F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) < F.col("part")).select("text", "lang")
 
 
-def _commonest(counts: DataFrame, most: int) -> tuple[list, list[str]]:
-    """About ``most`` rows ``(word, by)`` of ``counts(lang, word, c)``, the
-    commonest of each language in equal shares (by a hash among the last equal
-    counts), with their counts in all languages; and the languages."""
+def _commonest(counts: DataFrame, most: int, name: str) -> tuple[list[str], np.ndarray, list[str]]:
+    """About ``most`` words of ``counts(lang, word, c)``, the commonest of each
+    language in equal shares (by a hash among the last equal counts), sorted; their
+    counts in all languages; and the languages.
+
+    The chosen words and counts are stored in order and come to the driver as
+    columns, not as rows: a few bytes for each word and language.
+    """
     classes = defaultdict(list)
     for r in counts.groupBy("lang", "c").agg(F.count(F.lit(1)).alias("t")).collect():    # a language has few different counts
         classes[r.lang].append((r.c, r.t))
@@ -142,11 +146,18 @@ def _commonest(counts: DataFrame, most: int) -> tuple[list, list[str]]:
                 break
             left -= t
         cuts.append((lang, least, part))
+    langs = sorted(classes)
     cut = F.broadcast(counts.sparkSession.createDataFrame(cuts, "lang string, least long, part long"))   # a row for each language of the sample
     take = (F.col("c") > F.col("least")) | ((F.col("c") == F.col("least")) & (F.pmod(F.xxhash64("word"), F.lit(1 << 30)) < F.col("part")))
-    found = (counts.join(cut, "lang").groupBy("word").agg(F.max(take).alias("take"), F.map_from_entries(
-        F.collect_list(F.struct("lang", "c"))).alias("by")).filter("take").select("word", "by").collect())
-    return sorted(found, key=lambda r: r.word), sorted(classes)
+    chosen = counts.join(cut, "lang").filter(take).select("word").distinct()
+    kept = stored(counts.join(chosen, "word").select("word", "lang", "c").orderBy("word", "lang"), name)
+    table = kept.orderBy("word", "lang").toArrow()
+    words, which = np.unique(table["word"].to_numpy(zero_copy_only=False).astype(object), return_inverse=True) if len(table) else ([], [])
+    out = np.zeros((len(words), len(langs)), np.float64)
+    if len(table):
+        at = {k: i for i, k in enumerate(langs)}
+        out[which, [at[x] for x in table["lang"].to_pylist()]] = table["c"].to_numpy()
+    return list(words), out, langs
 
 
 def _logs(counts: np.ndarray) -> np.ndarray:
@@ -159,6 +170,7 @@ def _logs(counts: np.ndarray) -> np.ndarray:
 
 def fit(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
     """Fit on ``(doc_id, text, lang)``; rows without text or lang are passed over."""
+    on_workers(labelled.sparkSession)
     some = _sample(labelled.filter("text is not null and lang is not null").select("doc_id", "text", "lang"), sample_rows)
 
     def words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -181,34 +193,28 @@ def fit(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
 
     by_gram = stored(by_word.select("lang", "word", "c").mapInPandas(grams, "lang string, word string, c long").groupBy(
         "word", "lang").agg(F.sum("c").alias("c")), "langid-grams")
-    (top_words, langs), (top_grams, _) = _commonest(by_word, MAX_WORDS), _commonest(by_gram, MAX_GRAMS)
-    at = {k: i for i, k in enumerate(langs)}
-
-    def counted(found) -> np.ndarray:
-        c = np.zeros((len(found), len(langs)))
-        for i, r in enumerate(found):
-            for k, v in r.by.items():
-                c[i, at[k]] = v
-        return c
-
-    gram_counts = counted(top_grams)
-    length = np.array([len(r.word) for r in top_grams], np.int64)
-    out = [_logs(counted(top_words))]
+    words_, word_counts, langs = _commonest(by_word, MAX_WORDS, "langid-top-words")
+    grams_, gram_counts, _ = _commonest(by_gram, MAX_GRAMS, "langid-top-grams")
+    length = np.fromiter(map(len, grams_), np.int64, len(grams_))
     logged = np.zeros_like(gram_counts)
     for n in range(1, MAX_GRAM + 1):   # frequencies among n-grams of the same length
         logged[length == n] = _logs(gram_counts[length == n])
-    table = np.concatenate([*out, logged]) if langs else np.zeros((0, 0))
-    return Model(langs, {r.word: i for i, r in enumerate(top_words)},
-                 {r.word: len(top_words) + i for i, r in enumerate(top_grams)}, table)
+    table = np.concatenate([_logs(word_counts), logged]) if langs else np.zeros((0, 0))
+    return Model(langs, {w: i for i, w in enumerate(words_)}, {g: len(words_) + i for i, g in enumerate(grams_)}, table)
 
 
-def predict(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """``docs`` with ``__lang`` and ``__score`` (the posterior of that language).
+def predict(docs: DataFrame, model: Model, text_col: str = "text", lang_col: str = "__lang", score_col: str = "__score") -> DataFrame:
+    """``docs`` with ``lang_col`` and ``score_col`` (the posterior of that language);
+    columns of the caller's with these names are replaced.
 
     A NULL text, one without letters, or a model without languages: ``und``, 0.
     Ties go to the language that sorts first.
     """
-    handle = docs.sparkSession.sparkContext.broadcast(model)
+    handle = on_workers(docs.sparkSession).sparkContext.broadcast(model)
+    clash = [c for c in docs.columns if c.lower() in (lang_col.lower(), score_col.lower()) and c != text_col]
+    docs = docs.drop(*clash)
+    if text_col.lower() in (lang_col.lower(), score_col.lower()):
+        raise ValueError(f"the result column can't be called {text_col}, as the text is")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         scores = _Scores(handle.value)
@@ -223,9 +229,9 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
                     best = int(s.argmax())
                     lang.append(scores.model.langs[best])
                     score.append(float(1 / np.exp(s - s[best]).sum()))
-            yield b.assign(__lang=lang, __score=score)
+            yield b.assign(**{lang_col: lang, score_col: score})
 
-    out = StructType([*docs.schema.fields, StructField("__lang", StringType()), StructField("__score", DoubleType())])
+    out = StructType([*docs.schema.fields, StructField(lang_col, StringType()), StructField(score_col, DoubleType())])
     return docs.mapInPandas(run, out)
 
 

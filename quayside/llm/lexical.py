@@ -3,9 +3,9 @@
 A document's impact for a term is an integer, and its score is the sum over a
 query's terms.  The documents lie in blocks; the index of a block holds, for
 every term, its postings with their impacts and the highest of these.  For
-pairs of terms it also holds the intersection list: the documents with both,
-their joint impacts, and the highest of these.  Two terms that never meet in a
-block can't both add to a document, however high each can be alone.
+pairs of terms it also has what their intersection list gives: how many documents
+hold both, and the highest joint impact among them.  Two terms that never meet in
+a block can't both add to a document, however high each can be alone.
 
 A query's terms are bound together in pairs, and a pair can add at most what
 its intersection list or one of its terms alone can.  Terms are processed by
@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from quayside.llm.common import on_workers, stored
 
 _TERMS = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+").findall
-BLOCK = 8_192
+BLOCK = 4_096
 TOP = 20
 MAX_TERMS = 50_000      # different query terms of one pass over the documents
 MAX_QUERIES = 2_000     # queries of one pass
@@ -84,14 +84,21 @@ class Block:
         self.docs = docs                 # ids, ascending
         self.post = of_term
         self.high = {t: int(v.max()) for t, (_, v) in of_term.items()}
-        self.joint: dict[tuple[int, int], int] = {}
-        self.lists: dict[tuple[int, int], tuple[np.ndarray, np.ndarray]] = {}
+        by_first: dict[int, list[int]] = {}
         for a, b in pairs:
-            if a in of_term and b in of_term:
-                (x, i), (y, j) = of_term[a], of_term[b]
-                both, at, bt = np.intersect1d(x, y, assume_unique=True, return_indices=True)
-                self.joint[a, b] = int((i[at] + j[bt]).max(initial=0))
-                self.lists[a, b] = both, i[at] + j[bt]
+            by_first.setdefault(a, []).append(b)
+        # of each pair's intersection list: its length and its highest joint impact
+        self.joint: dict[tuple[int, int], tuple[int, int]] = {}
+        mark = np.zeros(len(docs), np.int64)
+        for a in {a for a, _ in pairs} & of_term.keys():
+            rows, impact = of_term[a]
+            mark[rows] = impact + 1
+            for b in by_first[a]:
+                if b in of_term:
+                    other, more = of_term[b]
+                    met = mark[other] > 0
+                    self.joint[a, b] = int(met.sum()), int((mark[other] - 1 + more)[met].max(initial=0))
+            mark[rows] = 0
 
     def bound(self, one: tuple[int, int], two: tuple[int, int] | None) -> int:
         """The most that one term, or two together, add to a document."""
@@ -103,7 +110,8 @@ class Block:
         if both is None:                 # one of them isn't in the block
             return m * u + n * v
         least = min(m, n)                # m x + n y = least (x + y) + the rest
-        met = least * both + (m - least) * u + (n - least) * v if both else 0
+        length, high = both
+        met = least * high + (m - least) * u + (n - least) * v if length else 0
         return max(m * u, n * v, min(met, m * u + n * v))
 
     def search(self, groups: list, k: int, bar: int) -> tuple[np.ndarray, np.ndarray]:

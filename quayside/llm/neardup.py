@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quayside.llm.common import BROADCAST_ROWS, stored
+from quayside.llm.common import BROADCAST_ROWS, on_workers, set_aside, stored
 from quayside.llm.components import connected_components
 from quayside.llm.shingles import WordHash, mix64, shingle_set
 
@@ -239,7 +239,7 @@ def spanning_links(rows: DataFrame, kernel: Callable, block: int = BLOCK, block_
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 4,
                     percent: int = 80, block: int = BLOCK) -> DataFrame:
-    """One row for each row of ``docs``: doc_id, text_hash, n_shingles, component_id, kept.
+    """One row for each row of ``docs``: doc_id, text_hash, n_shingles, component_id, kept, chosen.
 
     * Linked: 100 * intersection >= percent * union of the shingle sets.
     * A NULL text or one without words has no shingles and is linked with
@@ -248,8 +248,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
       if the whole component has none); kept = doc_id is component_id, and true
       where component_id is NULL.  Rows that repeat an id and a text are the
       same document and are kept or dropped alike.
+    * chosen: the row has the one id and text that stand for its component (the
+      smallest id, then the smallest hash of its text), or no shingles.
     * An empty table gives no rows.  Only the two named columns are read.
     """
+    on_workers(docs.sparkSession)
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"),
                         F.xxhash64(F.col(text_col)).alias("th"))
     # ids pass through pandas as text: a column of integers with NULLs would turn into floats there
@@ -291,23 +294,43 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             .select("g", "id", "weight", F.col("text").cast("binary").alias("data")))
     linked = connected_components(spanning_links(full, _confirmed(width, percent), block))
 
-    part = stored(nodes.select("node", "low").join(linked, "node", "left").select(
-        "node", "low", F.coalesce("label", "node").alias("label")), "dedup-parts")
-    lowest = part.groupBy("label").agg(F.min("low").alias("component_id"))
-    named = part.join(lowest, "label").select("node", "component_id")
+    part = stored(nodes.select("node", "low", "th").join(linked, "node", "left").select(
+        "node", "low", "th", F.coalesce("label", "node").alias("label")), "dedup-parts")
+    lowest = part.groupBy("label").agg(F.min(F.struct(F.col("low").isNull(), "low", "th")).alias("least"))
+    named = part.join(lowest, "label").select("node", F.col("least.low").alias("component_id"), F.col("least.th").alias("first"))
     out = signed.select("doc_id", "th", "n", "node").join(named, "node", "left")
     own = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
+    chosen = F.col("node").isNull() | (F.col("doc_id").eqNullSafe(F.col("component_id")) & (F.col("th") == F.col("first")))
     return out.select("doc_id", F.col("th").alias("text_hash"), F.col("n").alias("n_shingles"), own.alias("component_id"),
-                      F.coalesce(F.col("doc_id") == own, own.isNull()).alias("kept"))
+                      F.coalesce(F.col("doc_id") == own, own.isNull()).alias("kept"), chosen.alias("chosen"))
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
-    """``docs`` without the rows that ``near_duplicates`` doesn't keep."""
-    found = near_duplicates(docs, id_col, text_col, **how)
-    gone = stored(found.filter("not kept").select("doc_id", "text_hash").distinct(), "dedup-dropped")
-    small = F.broadcast(gone) if gone.count() <= BROADCAST_ROWS else gone
-    at = (F.col(id_col).cast("long").eqNullSafe(F.col("__id"))) & (F.xxhash64(F.col(text_col)) == F.col("__th"))
-    return docs.join(small.select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__th")), at, "left_anti")
+    """``docs`` with one row of each component, its first by id and text.
+
+    Rows without an id and rows that repeat an id and a text are copies like any
+    others: one of them stays (the one whose columns hash highest).  Rows without
+    shingles (NULL, empty and blank texts) are linked with nothing and all stay.
+    """
+    found = near_duplicates(docs, id_col, text_col, **how).select("doc_id", "text_hash", "n_shingles", "chosen")
+    same = found.groupBy("doc_id", "text_hash").agg(
+        F.count(F.lit(1)).alias("c"), F.max((F.col("n_shingles") > 0) & F.col("chosen")).alias("one"), F.min("chosen").alias("stays"))
+    keys = stored(same.filter(~F.col("stays") | (F.col("one") & (F.col("c") > 1)))
+                  .select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__th"), "stays"), "dedup-dropped")
+    docs, now, back = set_aside(docs, "__id", "__th", "stays")
+    at = (F.col(now[id_col]).cast("long").eqNullSafe(F.col("__id"))) & (F.xxhash64(F.col(now[text_col])) == F.col("__th"))
+
+    def side(rows: DataFrame) -> DataFrame:
+        return F.broadcast(rows) if rows.count() <= BROADCAST_ROWS else rows
+
+    rest = docs.join(side(keys.select("__id", "__th")), at, "left_anti")
+    repeated = keys.filter("stays")
+    if not repeated.limit(1).count():
+        return back(rest)
+    copies = docs.join(side(repeated.select("__id", "__th")), at)
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    one = copies.groupBy("__id", "__th").agg(F.max_by(whole, F.xxhash64(F.to_json(whole))).alias("row"))
+    return back(rest.unionByName(one.select("row.*")))
 
 
 ORACLE_SQL = r"""

@@ -1,16 +1,21 @@
 """Personal data and secrets replaced by keyed surrogates.
 
-1. Patterns find entities in the whole texts: e-mail addresses, IPv4 addresses,
-   phone and card numbers, access keys, passwords and hex tokens, names after
-   a title, and what else in the same text mentions a name word found there.
-2. The distinct entities get surrogates: characters drawn from an HMAC of the
+1. Patterns find entities in the whole texts: e-mail, IP, phone, card and
+   account numbers, access keys, passwords and hex tokens, names after a title,
+   and what else in the same text mentions a name word found there.
+2. An entity is its kind and its folded value: a name is one entity in whatever
+   case, place and part of a full name it stands.  What its mentions tell (a
+   gender by a title, a given name by the word after it) is settled once for the
+   whole table and only shapes the surrogate.
+3. The distinct entities get surrogates: characters drawn from an HMAC of the
    entity under the key, of the same kind in the same places (digits, letters
    by case and script, hex digits), with check digits and value ranges kept;
-   a given name gets one of the title's gender, a family name one of its script.
-3. Collision check: a surrogate that two entities share, or that is an entity
+   a given name gets one of its gender, a family name one of its script.
+4. Collision check: a surrogate that two entities share, or that is an entity
    itself, is drawn anew with the next number until none is left.  So different
    entities have different surrogates.
-4. Every occurrence of an entity, in whatever document, gets its surrogate.
+5. Every mention of an entity, in whatever document, gets its surrogate, in the
+   case of the mention; titles stay.
 """
 
 from __future__ import annotations
@@ -24,7 +29,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quayside.llm.common import stored
+from quayside.llm.common import on_workers, stored
 
 KEY = b"surrogates-1"
 MAX_DRAWS = 64
@@ -46,24 +51,30 @@ SYLLABLES = {"latin": "ba be bo da de do ga ka ke la le li lo ma me mi mo na ne
 
 #: In this order; of entities that overlap the first found, then the longer, counts.
 PATTERNS = (
-    ("email", re.compile(r"(?<![\w.+-])[A-Za-z0-9][\w.+-]{0,63}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63})+")),
+    ("email", re.compile(r"(?<![\w.+-])[A-Za-z0-9][\w.+-]*+@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+")),
     ("key", re.compile(r"(?<!\w)AKIA[A-Z0-9]{16}(?!\w)")),
-    ("password", re.compile(r"(?i:(?<=password=))[^\s\"'&;]{4,}")),
+    ("password", re.compile(r"(?i:(?<=password=)|(?<=password: )|(?<=passwd=))[^\s\"'&;]{4,}")),
     ("token", re.compile(r"(?<![0-9A-Za-z])[0-9A-Fa-f]{32,}+(?![0-9A-Za-z])")),
     ("ip", re.compile(r"(?<![\w.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\w]|\.\d)")),
+    ("ipv6", re.compile(r"(?<![\w:.])(?:(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}|(?:[0-9A-Fa-f]{1,4}:){2,5}(?::[0-9A-Fa-f]{1,4}){1,3})(?![\w:]|\.\d)")),
+    ("account", re.compile(r"(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?!\w)")),
     ("card", re.compile(r"(?<![\w-])\d{4}(?:[ -]?\d{4}){2}[ -]?\d{1,7}(?![\w-])")),
     ("ssn", re.compile(r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])")),
     # a complete number ends before a blank, whatever follows; four bare groups of four are a card's form and no phone
     ("phone", re.compile(r"(?<![\w(+])(?:(?=[+(])|(?<!\d[ .-])(?!\d{4}(?:[ -]?\d{4}){3}))"
                          r"(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{2,4}[ .-])\d{3,4}[ .-]?\d{3,4}(?!\w|[.-]\d)")),
 )
-_TITLE = re.compile(r"(?<!\w)(" + "|".join(sorted(TITLES, key=len, reverse=True)) + r")\.? (?=[^\W\d_a-zа-я])")
+_ONE_TITLE = "(?:" + "|".join(sorted({x for t in TITLES for x in (t, t.upper())}, key=len, reverse=True)) + r")\.? "
+#: Titles in a row (Herr Dr.) before a word that isn't lower case.
+_TITLE = re.compile(rf"(?<!\w)((?:{_ONE_TITLE})+)(?=[^\W\d_a-zа-я])")
+_TOLD = {t.upper(): g for t, g in TITLES.items()}
 #: A name word, or an initial with its dot.
 _NAME_WORD = re.compile(r"([^\W\d_])\.(?!\w)|([^\W\d_][\w’'-]*)")
 _MENTION = re.compile(r"[^\W\d_]\w*(?:[’'-]\w+)*")
 _GENITIVE = re.compile(r"(?:[’']s|[’'-]+)\Z")
-_ANY_DIGIT = re.compile(r"[0-9@]|AKIA|(?i:password=|[a-f]{32})")
-_VOWELS = "aeiou"
+_ANY_DIGIT = re.compile(r"[0-9@]|AKIA|(?i:password[=:]|passwd=|[a-f]{32}|::)")
+#: Kinds whose case says nothing: one surrogate, in the case of each mention.
+CASELESS = ("email", "token", "ipv6")
 
 
 def _luhn(digits: str) -> int:
@@ -80,68 +91,88 @@ def _card_like(value: str) -> bool:
     return 13 <= len(digits) <= 19 and _luhn(digits[:-1]) == int(digits[-1])
 
 
-def _names(text: str) -> list[tuple[int, int, str, str]]:
-    """The name words after titles, the last as the family name, and every other
-    whole-word mention of them in the text (but for initials)."""
-    told: list[tuple[int, int, str, str, str, str]] = []
+def _account_like(value: str) -> bool:
+    """The checksum of an international account number."""
+    v = value.replace(" ", "")
+    return 15 <= len(v) <= 34 and int("".join(str(int(c, 36)) for c in v[4:] + v[:4])) % 97 == 1
+
+
+def _names(text: str) -> list[tuple[int, int, str, str, str, str]]:
+    """The name words after titles, and every other whole-word mention of them in
+    the text (but for initials): ``(start, end, kind, folded value, part, gender)``
+    with the part (given, family) and the gender that this mention tells, if any."""
+    out, known = [], set()
     for m in _TITLE.finditer(text):
+        told = [g for t in re.findall(r"[^\W\d_]+", m[1]) if (g := _TOLD[t.upper()]) != "any"]
         words, at = [], m.end()
-        while (w := _NAME_WORD.match(text, at)) and not (w[1] or w[2])[0].islower() and not (words and w.group() in TITLES):
+        while (w := _NAME_WORD.match(text, at)) and not (w[1] or w[2])[0].islower() and w.group().upper() not in _TOLD:
             value = w[1] or _GENITIVE.sub("", w[2])
-            end = w.end() if w[1] else at + len(value)
+            end, stop = at + len(value), w.end()        # an initial's dot stays
             words.append((at, end, value))
-            if end != w.end() or not text.startswith(" ", end):
+            if (not w[1] and end != stop) or not text.startswith(" ", stop):
                 break
-            at = end + 1
-        while words and len(words) == 1 and len(words[0][2]) == 1 and words[0][2].isascii():
-            words.pop()                     # an initial alone
+            at = stop + 1
+        if len(words) == 1 and len(words[0][2]) == 1 and words[0][2].isascii():
+            continue                        # an initial alone
         for i, (start, end, value) in enumerate(words):
-            script = "cyrillic" if re.match(r"[Ѐ-ӿ]", value) else "latin"
-            told.append((start, end, "given" if i + 1 < len(words) else "family", TITLES[m[1]], script, value))
-    known: dict[tuple[str, str], str] = {}      # part and name -> gender, a told one rather than any
-    for _, _, part, gender, _, value in told:
-        if known.get((part, value), "any") == "any":
-            known[part, value] = gender
-    out, kinds = [], {}
-    for start, end, part, gender, script, value in told:
-        gender = known[part, value] if gender == "any" else gender
-        # a family name tells a gender in Cyrillic only
-        kind = f"{part}-{'any' if part == 'family' and script != 'cyrillic' else gender}-{script}"
-        out.append((start, end, kind, value))
-        if len(value) > 1:
-            kinds.setdefault(value, kind)
-    if kinds:
+            part = "given" if i + 1 < len(words) else "family"
+            folded = value.casefold()
+            if len(value) == 1:
+                out.append((start, end, "initial", folded, "", ""))
+                continue
+            out.append((start, end, "name", folded, part, told[0] if told else ""))
+            known.add(folded)
+    if known:
         for m in _MENTION.finditer(text):
-            value = m.group() if m.group() in kinds else _GENITIVE.sub("", m.group())
-            if value in kinds:
-                out.append((m.start(), m.start() + len(value), kinds[value], value))
+            value = m.group() if m.group().casefold() in known else _GENITIVE.sub("", m.group())
+            if value.casefold() in known and not value[0].islower():
+                out.append((m.start(), m.start() + len(value), "name", value.casefold(), "", ""))
     return out
 
 
-def find(text: str | None) -> list[tuple[int, int, str, str]]:
-    """``(start, end, kind, normalised value)`` of the entities of a text, in
-    order and without overlaps.  Given and family name are entities of their own,
-    so a person's family name alone and their full name stay one person's; the
-    kind tells gender and script."""
-    out: list[tuple[int, int, str, str]] = []
+def find(text: str | None) -> list[tuple[int, int, str, str, str, str]]:
+    """``(start, end, kind, folded value, part, gender)`` of the entities of a text,
+    in order and without overlaps.  Given and family name are entities of their
+    own, so a person's family name alone and their full name stay one person's."""
+    out: list[tuple[int, int, str, str, str, str]] = []
     if not text:
         return out
     if _ANY_DIGIT.search(text):
         for kind, pattern in PATTERNS:
             for m in pattern.finditer(text):
-                if kind == "card" and not _card_like(m.group()):
+                if (kind == "card" and not _card_like(m.group())) or (kind == "account" and not _account_like(m.group())):
                     continue
-                value = m.group().lower() if kind in ("email", "token") else m.group()
-                out.append((m.start(), m.end(), kind, value))
+                value = m.group().lower() if kind in CASELESS else m.group()
+                out.append((m.start(), m.end(), kind, value, "", ""))
     out += _names(text)
-    out.sort(key=lambda x: (x[0], -x[1]))
-    kept: list[tuple[int, int, str, str]] = []
+    out.sort(key=lambda x: (x[0], -x[1], not x[4]))         # a mention that tells something before a bare one
+    kept: list[tuple[int, int, str, str, str, str]] = []
     for x in out:
         if not kept or x[0] >= kept[-1][1]:
             kept.append(x)
     return kept
 
 
+def script_of(value: str) -> str:
+    return "cyrillic" if re.match(r"[Ѐ-ӿ]", value) else "latin"
+
+
+#: Gender of the listed given names.
+_LISTED = {n.casefold(): g for (g, _), names in GIVEN.items() if g != "any" for n in names}
+
+
+def settled(value: str, parts: dict[str, int], genders: dict[str, int]) -> str:
+    """The form of a name's surrogate, ``part-gender-script``, from how often its
+    mentions in the table told each part and gender: a given name if it ever was
+    one; the gender most often told, else that of a listed name, else any (a
+    family name tells one in Cyrillic only)."""
+    script = script_of(value)
+    part = "given" if parts.get("given") else "family"
+    told = sorted((-n, g) for g, n in genders.items() if n)
+    gender = told[0][1] if told else _LISTED.get(value, "any")
+    return f"{part}-{'any' if part == 'family' and script != 'cyrillic' else gender}-{script}"
+
+
 def _draws(kind: str, value: str, draw: int, key: bytes) -> Iterator[int]:
     block = 0
     while True:
@@ -171,6 +202,9 @@ def _made_up(kind: str, value: str, draw: int, got: Iterator[int]) -> str:
         parts = SYLLABLES[script]
         stem = "".join(parts[next(got) % len(parts)] for _ in range(2 + next(got) % 2 + draw // 4))
         return stem.capitalize() + ENDINGS.get((part, gender, script), "")
+    if kind == "initial":                   # a letter of its script, more of them where letters run out
+        letters = "абвгдежзиклмнопрстуфхцчшэюя" if script_of(value) == "cyrillic" else "abcdefghijklmnopqrstuvwxyz"
+        return "".join(letters[next(got) % len(letters)] for _ in range(1 + draw // 8)).capitalize()
     if kind == "email":
         name, domain = value.rsplit("@", 1)
         host, _, top = domain.rpartition(".")
@@ -178,6 +212,10 @@ def _made_up(kind: str, value: str, draw: int, got: Iterator[int]) -> str:
         return "".join(_like(c, next(got), False) for c in name) + "@" + "".join(_like(c, next(got), False) for c in host) + "." + top
     if kind == "ip":
         return ".".join(str(1 + (next(got) + 256 * next(got)) % 254) for _ in range(4))
+    if kind == "account":
+        country, body = value[:2], "".join(_like(c, next(got), False) for c in value[4:])
+        rest = int("".join(str(int(c, 36)) for c in body.replace(" ", "") + country) + "00") % 97
+        return f"{country}{98 - rest:02d}{body}"
     if kind == "key":
         return "AKIA" + "".join(_like(c, next(got), False) if not c.isdigit() else str(next(got) % 10) for c in value[4:])
     if kind == "card":
@@ -189,7 +227,7 @@ def _made_up(kind: str, value: str, draw: int, got: Iterator[int]) -> str:
         return code + "".join(_like(c, next(got), False) for c in value[len(code):])
     if kind == "password":              # one of signs alone becomes letters; longer where short ones run out
         value = (value if re.search(r"[0-9A-Za-z]", value) else "x" * len(value)) + "0" * (draw // 8)
-    return "".join(_like(c, next(got), kind in ("token", "password")) for c in value)
+    return "".join(_like(c, next(got), kind in ("token", "password", "ipv6")) for c in value)
 
 
 def surrogate(kind: str, value: str, draw: int = 0, key: bytes = KEY) -> str:
@@ -201,8 +239,10 @@ def surrogate(kind: str, value: str, draw: int = 0, key: bytes = KEY) -> str:
 
 
 def _as_written(kind: str, written: str, made: str) -> str:
-    """The surrogate of a token in the case that the token has in the text."""
-    if kind != "token" or written == written.lower():
+    """The surrogate in the case that the mention has in the text."""
+    if kind in ("name", "initial"):
+        return made.upper() if len(written) > 1 and written == written.upper() else made
+    if kind not in ("token", "ipv6") or written == written.lower():
         return made
     if written == written.upper():
         return made.upper()
@@ -211,34 +251,55 @@ def _as_written(kind: str, written: str, made: str) -> str:
 
 def _detect(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for b in batches:
-        found = [[{"s": s, "e": e, "kind": k, "value": v} for s, e, k, v in find(t)] for t in b["text"]]
+        found = [[dict(zip(("s", "e", "kind", "value", "part", "gender"), x, strict=True)) for x in find(t)] for t in b["text"]]
         yield pd.DataFrame({"doc_id": b["doc_id"], "text": b["text"], "found": found})
 
 
+def settle(mentions: DataFrame) -> DataFrame:
+    """Distinct entities ``(kind, value, form)`` of ``(kind, value, part, gender)``:
+    what a name's mentions in all documents tell, counted."""
+    told = mentions.groupBy("kind", "value").agg(
+        *[F.count(F.when(F.col("part") == p, 1)).alias(p) for p in ("given", "family")],
+        *[F.count(F.when((F.col("gender") == g) & (F.col("part") == "given"), 1)).alias(f"given_{g}") for g in ("m", "f")],
+        *[F.count(F.when(F.col("gender") == g, 1)).alias(f"any_{g}") for g in ("m", "f")])
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            form = []
+            for r in b.itertuples(index=False):
+                first = {"m": r.given_m, "f": r.given_f}
+                form.append(settled(r.value, {"given": r.given, "family": r.family}, first if any(first.values()) else {"m": r.any_m, "f": r.any_f})
+                            if r.kind == "name" else r.kind)
+            yield pd.DataFrame({"kind": b["kind"], "value": b["value"], "form": form})
+
+    return told.mapInPandas(run, "kind string, value string, form string")
+
+
 def _draw(key: bytes):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            yield b.assign(surrogate=[surrogate(k, v, d, key) for k, v, d in zip(b["kind"], b["value"], b["draw"], strict=True)])
+            yield b.assign(surrogate=[surrogate(f, v, d, key) for f, v, d in zip(b["form"], b["value"], b["draw"], strict=True)])
     return run
 
 
 def surrogates(entities: DataFrame, key: bytes = KEY) -> DataFrame:
-    """Distinct ``(kind, value)`` -> ``(kind, value, surrogate)``, all different
-    from each other and from every entity."""
-    cols = "kind string, value string, draw int"
-    now = entities.select("kind", "value").distinct().withColumn("draw", F.lit(0))
+    """Distinct ``(kind, value, form)`` -> ``(kind, value, surrogate)``, all different
+    from each other and from every entity, in whatever case."""
+    cols = "kind string, value string, form string, draw int"
+    now = entities.select("kind", "value", "form").withColumn("draw", F.lit(0))
     for _ in range(MAX_DRAWS):
-        now = stored(now.select("kind", "value", "draw").mapInPandas(_draw(key), cols + ", surrogate string"), "pii-surrogates")
+        now = stored(now.select("kind", "value", "form", "draw").mapInPandas(_draw(key), cols + ", surrogate string")
+                     .withColumn("folded", F.lower("surrogate")), "pii-surrogates")
         # the entity that sorts first keeps a shared surrogate; an entity's own text is never a surrogate
-        first = now.groupBy("surrogate").agg(F.min(F.struct("draw", "kind", "value")).alias("first"), F.count(F.lit(1)).alias("c"))
-        taken = (first.filter("c > 1").select("surrogate", "first").unionByName(
-            first.select("surrogate", "first").join(now.select(F.col("value").alias("surrogate")).distinct(), "surrogate", "left_semi")
+        first = now.groupBy("folded").agg(F.min(F.struct("draw", "kind", "value")).alias("first"), F.count(F.lit(1)).alias("c"))
+        taken = (first.filter("c > 1").select("folded", "first").unionByName(
+            first.select("folded", "first").join(now.select(F.lower("value").alias("folded")).distinct(), "folded", "left_semi")
             .withColumn("first", F.lit(None).cast(first.schema["first"].dataType))))
-        taken = taken.groupBy("surrogate").agg(F.max(F.col("first").isNull()).alias("real"), F.max("first").alias("first"))
+        taken = taken.groupBy("folded").agg(F.max(F.col("first").isNull()).alias("real"), F.max("first").alias("first"))
         again = F.col("real") | (F.struct("draw", "kind", "value") != F.col("first"))
         if not taken.limit(1).count():
             return now.select("kind", "value", "surrogate")
-        now = now.join(taken, "surrogate", "left").withColumn(
+        now = now.join(taken, "folded", "left").withColumn(
             "draw", F.when(F.coalesce(again, F.lit(False)), F.col("draw") + 1).otherwise(F.col("draw")))
     raise RuntimeError(f"surrogates still collide after {MAX_DRAWS} draws")
 
@@ -246,17 +307,18 @@ def surrogates(entities: DataFrame, key: bytes = KEY) -> DataFrame:
 def pseudonymise(docs: DataFrame, key: bytes = KEY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(doc_id, text, n_entities)``, one row per row of ``docs``.
 
-    * Equal entities (e-mail addresses and hex tokens in any case) have one
-      surrogate in all documents, a token's in the case of each mention;
-      different entities of the table have different ones.
+    * Equal entities (names, e-mail addresses, IPv6 addresses and hex tokens in any
+      case) have one surrogate in all documents, in the case of each mention (but
+      for e-mail addresses); different entities of the table have different ones.
     * NULL and empty texts stay as they are, with 0 entities; repeated rows stay
       repeated; an empty table gives no rows.
     """
+    on_workers(docs.sparkSession)
     found = stored(docs.select(F.col(id_col).cast("string").alias("doc_id"), F.col(text_col).alias("text")).mapInPandas(
-        _detect, "doc_id string, text string, found array<struct<s:int,e:int,kind:string,value:string>>")
+        _detect, "doc_id string, text string, found array<struct<s:int,e:int,kind:string,value:string,part:string,gender:string>>")
         .withColumn("row", F.monotonically_increasing_id()), "pii-found")
     each = found.filter(F.size("found") > 0).select("row", F.explode("found").alias("x")).select("row", "x.*")
-    table = surrogates(each.select("kind", "value"), key)
+    table = surrogates(stored(settle(each.select("kind", "value", "part", "gender")), "pii-entities"), key)
     # one row per document and entity meets its surrogate (AQE splits an entity that very many documents hold)
     named = (each.select("row", "kind", "value").distinct().join(table, ["kind", "value"])
              .groupBy("row").agg(F.map_from_entries(F.collect_list(F.struct(

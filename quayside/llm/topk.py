@@ -19,76 +19,89 @@ pair returns k rows per query.  Nothing is collected to the driver.
 
 from __future__ import annotations
 
+import math
 import pickle
 from collections.abc import Iterator
+from fractions import Fraction
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quayside.llm.common import stored
+from quayside.llm.common import on_workers, stored
 
 BLOCK = 4_096
 QUERY_BLOCK = 1_024
 LEVELS = 32         # quantised values on either side of 0
 ROUNDS = (0.4, 0.5, 0.6, 0.7, 0.85, 1.0)     # parts of the postings after which to look for a proof
 STOP = 2            # rescore once at most 1 / STOP of a block's rows can be members
-ONE = 2.0 ** 40     # above all gains of a row; 2**13 dimensions times this are exact in a double
 _BIG = 2.0 ** 31    # beyond it components and sums are held as Python integers
 
 
 def _integers(vectors: list, scale: float) -> np.ndarray:
-    """Rows of floor(scale * x), shorter vectors filled with 0."""
+    """Rows of floor(scale * x), exactly, whatever their size; shorter vectors are
+    filled with 0."""
     d = max((len(v) for v in vectors), default=0)
     x = np.zeros((len(vectors), d))
     for i, v in enumerate(vectors):
         x[i, :len(v)] = v
-    x = np.floor(x * scale)
-    if x.size and np.abs(x).max() * max(1, d) ** 0.5 >= _BIG:
-        return np.array([[int(y) for y in row] for row in x], object).reshape(x.shape)
-    return x.astype(np.int64)
+    with np.errstate(over="ignore"):
+        whole = np.floor(x * scale)
+    if not whole.size or np.abs(whole).max() * max(1, d) ** 0.5 < _BIG:
+        return whole.astype(np.int64)
+    exact = [[int(w) if abs(w) < float("inf") else Fraction(y) * Fraction(scale) // 1 for w, y in zip(ws, ys, strict=True)]
+             for ws, ys in zip(whole.tolist(), x.tolist(), strict=True)]
+    return np.array(exact, object).reshape(x.shape)
 
 
 class Index:
-    """Posting segments of one block, and its exact components."""
+    """Posting segments of one block, and its exact components.
 
-    def __init__(self, ids: np.ndarray, v: np.ndarray):
-        self.ids, self.v = ids, v
+    Segments and their impacts are kept in units of the quantisation step, as
+    small numbers, whatever the size of the components: what floating-point sums
+    may be off by is part of every bound.
+    """
+
+    def __init__(self, ids: np.ndarray, rows: np.ndarray, v: np.ndarray):
+        self.ids, self.row, self.v = ids, rows, v
         n, d = v.shape
-        self.segments = v.dtype != object and 0 < v.size < 1 << 31 and d < 1 << 12
-        if not self.segments:
+        if not v.size:
             return
-        self.most = float(np.abs(v).max())
-        self.step = max(1, -(-int(self.most) // LEVELS))
-        u = np.floor_divide(v, self.step) + (LEVELS + 1)
+        most = max(abs(int(v.max())), abs(int(v.min())))
+        self.step = max(1, -(-most // LEVELS))
+        u = (v // self.step).astype(np.int64) + (LEVELS + 1)
         keys = (np.arange(d) * (2 * LEVELS + 2) + u).T.ravel()
         order = np.argsort(keys, kind="stable")
-        self.rows = (order % n).astype(np.int32)
+        self.post = (order % n).astype(np.int32)
         seen, start = np.unique(keys[order], return_index=True)
         self.start = np.append(start, len(order))
         self.dim, level = np.divmod(seen, 2 * LEVELS + 2)
-        self.low = (level - (LEVELS + 1)) * self.step
+        self.low = (level - (LEVELS + 1)).astype(float)
+        self.one = 2.0 ** math.ceil(math.log2((2 * LEVELS + 3) * d + 1))     # above all gains of a row
+        self.off = 4.0 * d * d * self.one * 2.0 ** -52                       # what sums may be off by
 
     def members(self, q: np.ndarray, k: int, own: np.ndarray) -> np.ndarray:
         """Rows that can be among the k best for q; ``own`` rows never are."""
         n, d = self.v.shape
-        w = q[self.dim]
-        one, other = w * self.low, w * (self.low + self.step - 1)
+        unit = max(1, max(abs(int(q.max(initial=0))), abs(int(q.min(initial=0)))))
+        w = (q / unit).astype(float)
+        one, other = w[self.dim] * self.low, w[self.dim] * (self.low + 1.0)
         least, most = np.minimum(one, other), np.maximum(one, other)
-        base = np.full(d, np.iinfo(np.int64).max)
+        base = np.full(d, np.inf)
         np.minimum.at(base, self.dim, least)
         gain, impact = least - base[self.dim], most - base[self.dim]
-        peak = np.zeros(d, np.int64)
+        peak = np.zeros(d)
         np.maximum.at(peak, self.dim, impact)
-        slack = int(np.abs(q).sum()) * (self.step - 1)
+        slack = float(np.abs(w).sum()) + self.off
         order = np.argsort(-impact, kind="stable")
         size = np.diff(self.start)
         upto = np.cumsum(size[order])
         total = np.zeros(n)
         done = np.zeros(n)
         # a posting adds its gain and, far above all gains, one processed dimension
-        worth = gain + ONE
+        worth = gain + self.one
+        scale, floor = unit * self.step, float(base.sum())
         lo = 0
         for part in ROUNDS:
             hi = int(np.searchsorted(upto, upto[-1] * part, side="right")) if part < 1 else len(order)
@@ -96,12 +109,12 @@ class Index:
             lo = max(lo, hi)
             if len(seg):
                 ln = size[seg]
-                at = np.arange(ln.sum(), dtype=np.int32) + np.repeat((self.start[seg] - (np.cumsum(ln) - ln)).astype(np.int32), ln)
-                added = np.bincount(self.rows[at], np.repeat(worth[seg], ln), n)
-                dims = np.floor(added / ONE)
+                at = np.arange(ln.sum()) + np.repeat(self.start[seg] - (np.cumsum(ln) - ln), ln)
+                added = np.bincount(self.post[at], np.repeat(worth[seg], ln), n)
+                dims = np.floor(added / self.one)
                 done += dims
-                total += added - dims * ONE
-            ahead = impact[order[lo]] if lo < len(order) else 0
+                total += added - dims * self.one
+            ahead = impact[order[lo]] if lo < len(order) else 0.0
             # what a row's unprocessed dimensions can add: each at most min(ahead, its own most),
             # and a dimension is processed for a row only where its most is not below ahead
             most_left = np.minimum(ahead, peak).sum() - ahead * done
@@ -109,40 +122,46 @@ class Index:
             reach[own] = -np.inf
             # the k-th best exact score of the rows ahead so far: no row below it is among the best
             tried = np.argpartition(-reach, k)[:k]
-            bar = (self.v[tried] @ q).min() - base.sum()
+            bar = int(_scores(self.v[tried], q).min()) / scale - floor - self.off
             left = np.flatnonzero(reach >= bar)
             if len(left) <= n // STOP:
                 break
         return left
 
-    def search(self, q: np.ndarray, query_id: int, k: int) -> list[tuple[int, int]]:
-        own = np.flatnonzero(self.ids == query_id)
-        q = q[:self.v.shape[1]]
-        v = self.v[:, :len(q)]
-        held = self.segments and q.dtype != object and float(np.abs(q).max(initial=0)) * self.most * len(q) < ONE / 8
-        if held and len(q) == self.v.shape[1] and len(self.ids) - len(own) > k:
+    def search(self, q: np.ndarray, query_row: int, k: int) -> list[tuple[int, int]]:
+        own = np.flatnonzero(self.row == query_row)
+        d = self.v.shape[1]
+        q = q[:d] if len(q) >= d else np.append(q, np.zeros(d - len(q), q.dtype))
+        if d and len(self.ids) - len(own) > k:
             rows = self.members(q, k, own)
         else:
             rows = np.setdiff1d(np.arange(len(self.ids)), own)
-        score = v[rows] @ q if len(q) else np.zeros(len(rows), np.int64)
+        score = _scores(self.v[rows], q)
         if score.dtype == object:
-            best = sorted(range(len(rows)), key=lambda i: (-score[i], self.ids[rows[i]]))[:k]
+            best = sorted(range(len(rows)), key=lambda i: (-score[i], self.ids[rows[i]], self.row[rows[i]]))[:k]
         else:
-            best = np.lexsort((self.ids[rows], -score))[:k]
-        return [(max(-2 ** 63, min(2 ** 63 - 1, int(score[i]))), int(self.ids[rows[i]])) for i in best]
+            best = np.lexsort((self.row[rows], self.ids[rows], -score))[:k]
+        return [(max(-2 ** 63, min(2 ** 63 - 1, int(score[i]))), int(self.ids[rows[i]]), int(self.row[rows[i]])) for i in best]
+
+
+def _scores(v: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """Exact inner products."""
+    if not len(q):
+        return np.zeros(len(v), np.int64)
+    return v.astype(object) @ q.astype(object) if object in (v.dtype, q.dtype) else v @ q
 
 
 def _index(scale: float):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("vec_id")
-        made = Index(pdf["vec_id"].to_numpy(np.int64), _integers(list(pdf["v"]), scale))
+        pdf = pdf.sort_values(["vec_id", "row"])
+        made = Index(pdf["vec_id"].to_numpy(np.int64), pdf["row"].to_numpy(np.int64), _integers(list(pdf["v"]), scale))
         return pd.DataFrame({"block": [pdf["block"].iloc[0]], "held": [pickle.dumps(made)]})
     return run
 
 
 def _queries(scale: float):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        held = pickle.dumps((pdf["vec_id"].to_numpy(np.int64), _integers(list(pdf["v"]), scale)))
+        held = pickle.dumps((pdf["vec_id"].to_numpy(np.int64), pdf["row"].to_numpy(np.int64), _integers(list(pdf["v"]), scale)))
         return pd.DataFrame({"qblock": [pdf["qblock"].iloc[0]], "asked": [held]})
     return run
 
@@ -151,55 +170,58 @@ def _search(k: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             for held, asked in zip(b["held"], b["asked"], strict=True):
-                index, (ids, vectors) = pickle.loads(held), pickle.loads(asked)
-                rows = [(int(i), v, s) for i, q in zip(ids, vectors, strict=True) for s, v in index.search(q, i, k)]
-                yield pd.DataFrame(rows, columns=["query_id", "vec_id", "score"])
+                index, (ids, queries, vectors) = pickle.loads(held), pickle.loads(asked)
+                rows = [(int(r), int(i), v, at, s) for i, r, q in zip(ids, queries, vectors, strict=True) for s, v, at in index.search(q, r, k)]
+                yield pd.DataFrame(rows, columns=["query_row", "query_id", "vec_id", "row", "score"])
     return run
 
 
 def valid_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
-    """``(vec_id, v)``, one row per id: rows with a NULL id, a NULL vector or a
-    NULL or non-finite component take no part; of rows that share an id the
-    smallest vector counts."""
+    """``(row, vec_id, v)``, every row of its own: rows with a NULL id, a NULL
+    vector or a NULL or non-finite component take no part."""
     fine = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     return (vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).alias("v"))
             .filter(F.col("vec_id").isNotNull() & F.col("v").isNotNull()).filter(fine)
-            .groupBy("vec_id").agg(F.min("v").alias("v")))
+            .select(F.monotonically_increasing_id().alias("row"), "vec_id", "v"))
 
 
 def top_k(vectors: DataFrame, every: int = 50, k: int = 5, scale: float = 256.0, id_col: str = "vec_id",
           vector_col: str = "embedding", block: int = BLOCK, query_block: int = QUERY_BLOCK) -> DataFrame:
-    """``(query_id, rank, vec_id, score)``: for each id divisible by ``every``
-    the k highest integer inner products with all other rows.
-
-    Ties go to the smaller vec_id.  A query with fewer than k other rows gets
-    all of them; an empty table gives no rows.  Missing components of shorter
-    vectors count as 0; scores beyond BIGINT are held at its ends.
+    """``(query_id, rank, vec_id, score)``: for each row whose id is divisible by
+    ``every`` the k highest integer inner products with all other rows.
+
+    Ties go to the smaller vec_id.  Rows that share an id are rows of their own:
+    each is a candidate for the other, and each asks if its id does, with ranks
+    from 1.  A query with fewer than k other rows gets all of them; an empty
+    table gives no rows.  Missing components of shorter vectors count as 0;
+    components are whole numbers of any size; scores beyond BIGINT are held at
+    its ends.
     """
-    rows = stored(valid_vectors(vectors, id_col, vector_col), "topk-vectors")
+    on_workers(vectors.sparkSession)
+    rows = stored(valid_vectors(vectors, id_col, vector_col), "topk-vectors")       # stored, so a row keeps its number
     n, m = rows.agg(F.count(F.lit(1)), F.count(F.when(F.col("vec_id") % every == 0, 1))).first()
     blocks, qblocks = max(1, -(-n // block)), max(1, -(-m // query_block))
-    index = stored(rows.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int"))
+    index = stored(rows.withColumn("block", F.pmod(F.xxhash64("row"), F.lit(blocks)).cast("int"))
                    .groupBy("block").applyInPandas(_index(scale), "block int, held binary"), "topk-index")
     asked = stored(rows.filter(F.col("vec_id") % every == 0)
-                   .withColumn("qblock", F.pmod(F.xxhash64(F.lit(1), "vec_id"), F.lit(qblocks)).cast("int"))
+                   .withColumn("qblock", F.pmod(F.xxhash64(F.lit(1), "row"), F.lit(qblocks)).cast("int"))
                    .groupBy("qblock").applyInPandas(_queries(scale), "qblock int, asked binary"), "topk-queries")
     pairs = (index.withColumn("qblock", F.explode(F.sequence(F.lit(0), F.lit(qblocks - 1))))
              .join(asked.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))), ["block", "qblock"]))
     found = pairs.repartition(max(1, min(blocks * qblocks, 10_000)), "block", "qblock").mapInPandas(
-        _search(k), "query_id long, vec_id long, score long")
-    order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
+        _search(k), "query_row long, query_id long, vec_id long, row long, score long")
+    order = Window.partitionBy("query_row").orderBy(F.col("score").desc(), "vec_id", "row")
     return (found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
             .select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score"))
 
 
 ORACLE_SQL = """
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q FROM embeddings
+  SELECT vec_id, row_number() OVER () AS r, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q FROM embeddings
   WHERE embedding IS NOT NULL AND list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x)))),
 s AS (
-  SELECT a.vec_id AS query_id, b.vec_id, list_dot_product(a.q, b.q)::BIGINT AS score
-  FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0),
-r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+  SELECT a.r, a.vec_id AS query_id, b.vec_id, list_dot_product(a.q, b.q)::BIGINT AS score
+  FROM v a JOIN v b ON a.r <> b.r WHERE a.vec_id % 50 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id) AS rank FROM s)
 SELECT query_id, rank::INT AS rank, vec_id, score FROM r WHERE rank <= 5
 """

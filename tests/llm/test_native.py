@@ -93,6 +93,27 @@ def test_shards_follow_rows_law(spark):
     assert Counter(shard[i] == shard[i + 1] for i in range(1900))[True] < 400
 
 
+def test_copies_without_ids_spread_and_rows_shuffle(spark):
+    """A text without ids that most rows share fills no bucket of its own, and a
+    bucket's order is a Fisher-Yates shuffle: neither sorted nor the same for all."""
+    rows = [(None, "copy")] * 3000 + [(i, f"t{i}") for i in range(1000)]
+    df = docs(spark, rows).repartition(7)
+    out = sharding.shuffle_shards(df, 8, min_buckets=64)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    no_python(out)
+    got = out.collect()
+    assert len({(r.shard, r.slot) for r in got}) == len(rows) and "shuffle" not in plan     # the deals are stored
+    by = defaultdict(list)
+    for r in got:
+        by[r.shard].append((r.slot, r.doc_id is None))
+    # copies lie among the others all along, as in a uniformly random sequence
+    runs = [sum(a[1] != b[1] for a, b in zip(x, x[1:])) for x in map(sorted, by.values())]
+    assert min(runs) > 120
+    key = lambda rs: sorted((r.doc_id or -1, r.shard, r.slot) for r in rs)
+    assert key(sharding.shuffle_shards(df.repartition(3), 8, min_buckets=64).collect()) == key(got)
+    assert key(sharding.shuffle_shards(df, 8, seed=21, min_buckets=64).collect()) != key(got)
+
+
 def test_shard_edges_and_files(spark, tmp_path):
     assert sharding.shuffle_shards(docs(spark, [])).count() == 0
     out = sharding.shuffle_shards(with_extra(docs(spark, [(1, "a"), (2, "b"), (3, "c")])), 8)

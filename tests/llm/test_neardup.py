@@ -37,11 +37,28 @@ def test_repeats_nulls_and_empty(spark):
     assert sorted((r.doc_id or -1, r.component_id or -1, r.kept) for r in got) == sorted(
         [(-1, 4, False), (4, 4, True), (4, 4, True), (9, 4, False), (-1, -1, True), (-1, -1, True), (11, 11, True)])
     kept = neardup.drop_near_duplicates(docs(spark, rows))
-    assert kept.columns == docs(spark, rows).columns and kept.count() == 5
+    assert kept.columns == docs(spark, rows).columns
+    assert sorted((r.doc_id or -1, r.text or "") for r in kept.collect()) == sorted(
+        [(-1, ""), (-1, "lone words of no other document"), (4, text), (11, "")])
     assert neardup.near_duplicates(docs(spark, [])).count() == 0
     assert neardup.drop_near_duplicates(docs(spark, [])).count() == 0
 
 
+def test_one_row_of_each_component_stays(spark):
+    """NULL ids, repeated rows and repeated ids with other texts; columns that clash."""
+    rng = random.Random(3)
+    a, b = sentence(rng, 60), sentence(rng, 60)
+    rows = [(1, a, "en"), (1, a, "en"), (None, a, "en"), (None, a, "de"), (None, a, "en"), (None, b, "x"), (None, b, "x"), (None, near(rng, b, 1), "x"),
+            (5, "copied words here now", "p"), (5, "copied words here now", "q"), (5, "Copied words here now", "r"), (6, "", "s"), (6, "", "s")]
+    df = docs(spark, rows).withColumnsRenamed({"source": "__id", "n_chars": "stays", "lang": "__TH"})
+    kept = neardup.drop_near_duplicates(df)
+    assert kept.columns == df.columns
+    got = [(r.doc_id, (r.text or "").lower()[:20]) for r in kept.collect()]
+    texts = [t for _, t in got]
+    assert texts.count(a[:20]) == 1 and got.count((1, a[:20])) == 1 and texts.count(b[:20]) <= 1
+    assert sum(i is None for i, _ in got) == 1 and texts.count("copied words here no") == 1 and got.count((6, "")) == 2 and len(got) == 5
+
+
 def test_components_of_paths_and_stars(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 160)] + [(200, 200), (None, 3), (300, 299), (299, 300)]
     got = {r.node: r.label for r in connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}

@@ -70,4 +70,4 @@ def test_oracles(spark, key):
 
 def test_registered():
     names = [k for k in entry.queries() if k.startswith("op") or k == "pipeline"]
-    assert {int(k[2:].split("_")[0]) for k in names if k != "pipeline"} >= set(range(1, 11)) and "pipeline" in names
+    assert {int(k[2:].split("_")[0]) for k in names if k != "pipeline"} == set(range(1, 14)) and "pipeline" in names
