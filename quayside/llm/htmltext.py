@@ -44,6 +44,8 @@ SEED_WEIGHT = 5.0
 THRESHOLD = 0.5
 #: The most that one learned feature adds to the log odds of a node.
 MOST = 3.0
+#: The same for what a text tells by its length and by standing in a link: there are many to a part.
+MOST_TEXT = 1.0
 #: Log odds of parts that name themselves a form (some pages are one) or content.
 NAMED = {"named form": -8.0, "named content": 6.0}
 NEVER = -1e6
@@ -233,7 +235,8 @@ class Model:
         self.emit = dict(named or {})
         for f in {f for f, _ in counts} - {*NAMED, "named other"}:
             share = [(counts.get((f, y), 0.0) + 0.5) / (total[y] + 1.0) for y in (False, True)]
-            self.emit[f] = max(-MOST, min(MOST, math.log(share[1] / share[0])))
+            most = MOST_TEXT if f.startswith(("length ", "link ")) else MOST
+            self.emit[f] = max(-most, min(most, math.log(share[1] / share[0])))
         names = seeds | {f for f, _ in counts if f.startswith("word ") and f[5:] not in CONTENT_WORDS}
         self.closing = frozenset(f for f in names if self._closes(counts.get((f, False), 0.0) + SEED_WEIGHT * (f in seeds), counts.get((f, True), 0.0)))
         self.pair = {"apart": ((0.0, NEVER), (0.0, NEVER))}
