@@ -141,7 +141,7 @@ class Index:
             best = sorted(range(len(rows)), key=lambda i: (-score[i], self.ids[rows[i]], self.row[rows[i]]))[:k]
         else:
             best = np.lexsort((self.row[rows], self.ids[rows], -score))[:k]
-        return [(max(-2 ** 63, min(2 ** 63 - 1, int(score[i]))), int(self.ids[rows[i]]), int(self.row[rows[i]])) for i in best]
+        return [(int(score[i]), int(self.ids[rows[i]]), int(self.row[rows[i]])) for i in best]
 
 
 def _scores(v: np.ndarray, q: np.ndarray) -> np.ndarray:
@@ -151,6 +151,20 @@ def _scores(v: np.ndarray, q: np.ndarray) -> np.ndarray:
     return v.astype(object) @ q.astype(object) if object in (v.dtype, q.dtype) else v @ q
 
 
+def _held(score: int) -> tuple[int, str]:
+    """A score held at the ends of BIGINT, and a text that sorts as the part beyond:
+    scores that are held alike still rank by their whole size."""
+    if -2 ** 63 <= score < 2 ** 63:
+        return score, "m"
+    digits = f"{abs(score):x}"
+    if score > 0:
+        return 2 ** 63 - 1, f"p{len(digits):06d}{digits}"
+    return -2 ** 63, f"a{999_999 - len(digits):06d}" + digits.translate(_COMPLEMENT)
+
+
+_COMPLEMENT = str.maketrans("0123456789abcdef", "fedcba9876543210")
+
+
 def _index(scale: float):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["vec_id", "row"])
@@ -171,8 +185,8 @@ def _search(k: int):
         for b in batches:
             for held, asked in zip(b["held"], b["asked"], strict=True):
                 index, (ids, queries, vectors) = pickle.loads(held), pickle.loads(asked)
-                rows = [(int(r), int(i), v, at, s) for i, r, q in zip(ids, queries, vectors, strict=True) for s, v, at in index.search(q, r, k)]
-                yield pd.DataFrame(rows, columns=["query_row", "query_id", "vec_id", "row", "score"])
+                rows = [(int(r), int(i), v, at, *_held(s)) for i, r, q in zip(ids, queries, vectors, strict=True) for s, v, at in index.search(q, r, k)]
+                yield pd.DataFrame(rows, columns=["query_row", "query_id", "vec_id", "row", "score", "beyond"])
     return run
 
 
@@ -194,8 +208,8 @@ def top_k(vectors: DataFrame, every: int = 50, k: int = 5, scale: float = 256.0,
     each is a candidate for the other, and each asks if its id does, with ranks
     from 1.  A query with fewer than k other rows gets all of them; an empty
     table gives no rows.  Missing components of shorter vectors count as 0;
-    components are whole numbers of any size; scores beyond BIGINT are held at
-    its ends.
+    components are whole numbers of any size; scores beyond BIGINT rank by their
+    whole size and are returned as its ends.
     """
     on_workers(vectors.sparkSession)
     rows = stored(valid_vectors(vectors, id_col, vector_col), "topk-vectors")       # stored, so a row keeps its number
@@ -209,8 +223,8 @@ def top_k(vectors: DataFrame, every: int = 50, k: int = 5, scale: float = 256.0,
     pairs = (index.withColumn("qblock", F.explode(F.sequence(F.lit(0), F.lit(qblocks - 1))))
              .join(asked.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))), ["block", "qblock"]))
     found = pairs.repartition(max(1, min(blocks * qblocks, 10_000)), "block", "qblock").mapInPandas(
-        _search(k), "query_row long, query_id long, vec_id long, row long, score long")
-    order = Window.partitionBy("query_row").orderBy(F.col("score").desc(), "vec_id", "row")
+        _search(k), "query_row long, query_id long, vec_id long, row long, score long, beyond string")
+    order = Window.partitionBy("query_row").orderBy(F.col("score").desc(), F.col("beyond").desc(), "vec_id", "row")
     return (found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
             .select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score"))
 
