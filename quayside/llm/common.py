@@ -23,7 +23,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 def on_workers(spark: SparkSession) -> SparkSession:
     """Bound the batches of Python workers, and let these import this package from
-    where the driver has it (no change where executors have it installed)."""
+    where the driver has it (no change where executors have it installed).  The
+    session keeps both from then on: plans run after the call that made them."""
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     env = spark.sparkContext.environment
     paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]

@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quayside.llm.common import on_workers, set_aside, stored
+from quayside.llm.common import set_aside, stored
 
 WINDOW = 10
 #: Words of the items that one automaton holds: what is collected to the driver
