@@ -1,12 +1,12 @@
 """Named materialisations: models as tables and views in a catalog, by layer.
 
 Each layer has a database: the layer's own name if one is configured, else the
-target's.  Sources are registered as tables over their stored files, staging
-models as views over these, intermediate models and marts as tables.  ``build``
+target's.  Sources are stored as tables, staging models are views over these,
+intermediate models, snapshots and marts are tables.  ``build``
 goes through the models in the order of what they refer to.  It keeps, for
-every model, the state of its inputs when it was last built (rows and a digest
-of the input's files or of the models it refers to); a table whose inputs are as
-they were is skipped, so a run after which nothing changed builds nothing.
+every model, the state of its inputs when it was last built (of a source its rows
+and a digest of them, of others the states of the models they refer to); a table
+whose inputs are as they were is skipped, so a run without changes builds nothing.
 
 Columns carry their descriptions as comments, which the catalog shows.
 """
