@@ -13,8 +13,9 @@ of these scores is proven out.  Processing stops when few rows are left in; all
 of them are rescored exactly.  Nothing is stopped without
 that proof, and a round too many only costs time.
 
-Every query block meets every index block once, as one row of a join; a block
-pair returns k rows per query.  Nothing is collected to the driver.
+Every query block meets every index block once, as one row of a product that
+copies neither of the two stored tables; a block pair returns k rows per query.
+Nothing is collected to the driver.
 """
 
 from __future__ import annotations
@@ -220,10 +221,10 @@ def top_k(vectors: DataFrame, every: int = 50, k: int = 5, scale: float = 256.0,
     asked = stored(rows.filter(F.col("vec_id") % every == 0)
                    .withColumn("qblock", F.pmod(F.xxhash64(F.lit(1), "row"), F.lit(qblocks)).cast("int"))
                    .groupBy("qblock").applyInPandas(_queries(scale), "qblock int, asked binary"), "topk-queries")
-    pairs = (index.withColumn("qblock", F.explode(F.sequence(F.lit(0), F.lit(qblocks - 1))))
-             .join(asked.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))), ["block", "qblock"]))
-    found = pairs.repartition(max(1, min(blocks * qblocks, 10_000)), "block", "qblock").mapInPandas(
-        _search(k), "query_row long, query_id long, vec_id long, row long, score long, beyond string")
+    # the blocks meet in a product of the two stored tables: neither side is repeated by hand, so what may be
+    # broadcast (the queries, while their table is under Spark's threshold) is one copy, not one for each block
+    pairs = index.repartition(max(1, min(blocks, 10_000)), "block").crossJoin(asked)
+    found = pairs.mapInPandas(_search(k), "query_row long, query_id long, vec_id long, row long, score long, beyond string")
     order = Window.partitionBy("query_row").orderBy(F.col("score").desc(), F.col("beyond").desc(), "vec_id", "row")
     return (found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
             .select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score"))

@@ -73,3 +73,12 @@ def test_index_proof(spark, d, size):
         rows = index.members(v[i], 5, np.array([i]))
         score = [(-int(x), j) for j, x in enumerate(topk._scores(v, v[i])) if j != i]
         assert {j for _, j in sorted(score)[:5]} <= set(rows.tolist()) and i not in rows
+
+
+def test_no_side_is_copied_for_each_block_of_the_other(spark):
+    """What is broadcast or shuffled holds each query block once, however many index blocks there are."""
+    df = spark.createDataFrame([(i, [float(i % 7), float(i % 3) - 1, 0.5]) for i in range(200)], "vec_id long, embedding array<float>")
+    out = topk.top_k(df, every=10, k=3, block=16, query_block=4)
+    assert "explode" not in out._jdf.queryExecution().optimizedPlan().toString()
+    whole = topk.top_k(df, every=10, k=3)
+    assert sorted(map(tuple, out.collect())) == sorted(map(tuple, whole.collect())) and out.count() == 60
