@@ -50,17 +50,25 @@ def global_rank(df: DataFrame, order: list[Column], rank_col: str = "rank",
     return out.drop("__mid", "__pid", "__pos", "__off", "__soff")
 
 
-def exact_median(df: DataFrame, value: str, alias: str = "median") -> DataFrame:
-    """Exact median (interpolated between the two middle values) as DOUBLE.
+def value_counts(df: DataFrame, *columns: str) -> DataFrame:
+    """Distinct values with their number ``n``, kept in the shared folder: several
+    figures of one column start from there, not each from the plan of ``df``."""
+    shared_dir(df.sparkSession)
+    return df.groupBy(*columns).agg(F.count(F.lit(1)).alias("n")).checkpoint(eager=True)
+
+
+def exact_median(df: DataFrame, value: str, alias: str = "median", count: str | None = None) -> DataFrame:
+    """Exact median (interpolated between the two middle values) as DOUBLE; a row
+    stands for as many values as ``count`` says (for one without it).
 
     Values are first collapsed to (value, count): a value shared by a third
     of the rows is one row.  The running count over sorted distinct values
     locates ranks floor((n+1)/2) and ceil((n+1)/2).
     """
     vc = df.filter(F.col(value).isNotNull()).groupBy(F.col(value).alias("__v")).agg(
-        F.count(F.lit(1)).alias("__c"))
+        (F.sum(count) if count else F.count(F.lit(1))).alias("__c"))
     ranked = global_rank(vc, [F.col("__v").asc()], "__r", cum_of="__c", cum_col="__cum")
-    n = vc.agg(F.sum("__c").alias("__n"))
+    n = ranked.agg(F.sum("__c").alias("__n"))      # from the stored ranks: the values are computed once
     j = ranked.crossJoin(n)  # n is a single row
     lo_k = F.floor((F.col("__n") + 1) / 2)
     hi_k = F.ceil((F.col("__n") + 1) / 2)

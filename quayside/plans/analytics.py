@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quayside.functions.scalars import safe_ratio, trunc_date
-from quayside.operators.ranking import exact_median, global_rank
+from quayside.operators.ranking import exact_median, global_rank, value_counts
 
 
 # Region -> IANA zone for local-hour analysis (fixed values).
@@ -166,10 +166,11 @@ class Analytics:
 
     def items_per_order(self):
         per = self.w.stg_order_items.groupBy("order_id").agg(F.count(F.lit(1)).alias("cnt"))
-        s = per.agg(F.count(F.lit(1)).alias("orders"), F.sum("cnt").alias("items"),
-                    F.min("cnt").alias("min_items"), F.max("cnt").alias("max_items"))
+        sizes = value_counts(per, "cnt")
+        s = sizes.agg(F.sum("n").alias("orders"), F.sum(F.col("cnt") * F.col("n")).alias("items"),
+                      F.min("cnt").alias("min_items"), F.max("cnt").alias("max_items"))
         s = s.select(safe_ratio("items", "orders").alias("avg_items_per_order"), "min_items", "max_items")
-        return s.crossJoin(exact_median(per, "cnt", "median_items_per_order"))
+        return s.crossJoin(exact_median(sizes, "cnt", "median_items_per_order", count="n"))
 
     def orders_per_customer(self):
         per = self.w.stg_orders.groupBy("customer_id").agg(F.count(F.lit(1)).alias("n"))
