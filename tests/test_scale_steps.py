@@ -1,11 +1,13 @@
 """Steps that must not run twice, read what nobody asked for, or grow with a file's rows."""
 from pyspark.sql import functions as F
 
+from quayside import session
 from quayside.operators import quality as Q
 from quayside.operators.ranking import exact_median, value_counts
 from quayside.plans.warehouse import Warehouse
 from quayside.sources import feed as feed_log
 from quayside.sources import loader
+from quayside.sources.adapter import RetailSource
 from quayside.streaming import cdc
 
 
@@ -69,3 +71,24 @@ def test_messages_unwrapped_as_text_give_what_the_parser_gives(spark):
         got.append({r.i: tuple(r) for r in p.select("i", "before_image", "after_image", "e.op", "e.ts_ms", "e.source", "dead_reason", "is_tombstone").collect()})
     assert got[0] == got[1]
     assert got[0][0][1:3] == ({"a": "1", "b": "x"}, {"a": "1", "b": "1.5"})
+
+
+def test_stored_tables_are_written_by_small_tasks(spark):
+    names = ("spark.sql.files.maxPartitionBytes", "spark.sql.adaptive.advisoryPartitionSizeInBytes",
+             "spark.sql.adaptive.coalescePartitions.initialPartitionNum")
+    before = [spark.conf.get(k, None) for k in names]
+    with session.small_tasks(spark, 1 << 30):
+        assert [int(spark.conf.get(k)) for k in names] == [16 << 20, 16 << 20, 256]
+    assert [spark.conf.get(k, None) for k in names] == before
+    with session.small_tasks(spark, None):
+        assert int(spark.conf.get(names[2])) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert session._bytes("134217728b") == session._bytes("128MB") == session._bytes("128m") == 128 << 20
+
+
+def test_order_joins_carry_only_what_is_used(spark):
+    plan = RetailSource(spark, "/root/testdata/sf0.001").orders()._jdf.queryExecution().optimizedPlan().toString()
+    joined = plan[plan.index("Join"):]
+    assert "delivered_at" not in joined.split("Project", 1)[0] and "updated_at" in joined
+    w = Warehouse(spark, "/root/testdata/sf0.001")
+    plan = w.order_item_agg._jdf.queryExecution().optimizedPlan().toString()
+    assert "isnotnull(order_item_id" in plan[plan.index("Join"):]
