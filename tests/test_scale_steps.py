@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 from quayside import session
 from quayside.operators import quality as Q
 from quayside.operators.ranking import exact_median, value_counts
+from quayside.plans import checks, warehouse
 from quayside.plans.warehouse import Warehouse
 from quayside.sources import feed as feed_log
 from quayside.sources import loader
@@ -73,6 +74,27 @@ def test_messages_unwrapped_as_text_give_what_the_parser_gives(spark):
     assert got[0][0][1:3] == ({"a": "1", "b": "x"}, {"a": "1", "b": "1.5"})
 
 
+def test_keys_are_dealt_before_they_are_counted(spark):
+    df = spark.createDataFrame([("a",), ("b",), ("a",), (None,), (None,)], "k string")
+    got = Q.unique(df, "m", "k", 3)
+    assert [tuple(r) for r in got.collect()] == [("m", "k", "a", 2)]
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_NUM" in plan and "ENSURE_REQUIREMENTS" not in plan
+
+
+def test_joined_models_deal_their_keys_by_the_rows_of_orders(spark, monkeypatch):
+    w = Warehouse(spark, "/root/testdata/sf0.001")
+    want = {m: sorted(map(tuple, getattr(w, m).collect()), key=repr) for m in checks.DEALT}
+    monkeypatch.setattr(warehouse, "TASK_ROWS", 200)
+    w = Warehouse(spark, "/root/testdata/sf0.001")
+    parts = -(-w.stg_orders.count() // 200)
+    assert parts > 4 and checks.Checks(w)._parts("stg_orders") == parts and checks.Checks(w)._parts("time_spine") == 1
+    for m in checks.DEALT:
+        df = w.enriched_by_order() if m == "int_orders_enriched" else getattr(w, m)
+        assert sorted(map(tuple, df.collect()), key=repr) == want[m]
+        assert df.rdd.getNumPartitions() == parts
+
+
 def test_stored_tables_are_written_by_small_tasks(spark):
     names = ("spark.sql.files.maxPartitionBytes", "spark.sql.adaptive.advisoryPartitionSizeInBytes",
              "spark.sql.adaptive.coalescePartitions.initialPartitionNum")
