@@ -1,8 +1,9 @@
 """Named materialisations: models as tables and views in a catalog, by layer.
 
 Each layer has a database: the layer's own name if one is configured, else the
-target's.  Sources are stored as tables, staging models are views over these,
-intermediate models, snapshots and marts are tables.  ``build``
+target's.  Sources are stored as tables (a loaded one where it lies), staging
+models are views over these, intermediate models, snapshots and marts are tables,
+each made from the tables of the models it refers to.  ``build``
 goes through the models in the order of what they refer to.  It keeps, for
 every model, the state of its inputs when it was last built (of a source its rows
 and a digest of them, of others the states of the models they refer to); a table
@@ -21,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quayside.plans.staging import STAGING
-from quayside.session import shared_dir
+from quayside.session import shared_dir, small_tasks
 
 #: layer -> its own database name (None: the target's).
 LAYERS = {"sources": "sources", "staging": "staging", "intermediate": "intermediate", "marts": "marts", "snapshots": "snapshots", "scratch": None}
@@ -135,6 +136,11 @@ class Catalog:
     def table(self, name: str) -> DataFrame:
         return self.spark.table(self.place(NODES[name]))
 
+    def rows_of(self, name: str) -> DataFrame:
+        """A model's table without its comments, which are its own."""
+        df = self.table(name)
+        return df.select([F.col(c).alias(c, metadata={}) for c in df.columns])
+
     def states(self) -> dict[str, tuple[str, int]]:
         try:
             rows = self.spark.read.schema(STATE).parquet(f"{self.root}/states").collect()     # a row for each model
@@ -157,6 +163,33 @@ def source_state(df: DataFrame) -> tuple[str, int]:
     return f"{n}-{total}-{mixed}", n
 
 
+def model(catalog: Catalog, warehouse, name: str) -> DataFrame:
+    """A model, from the tables of the models it refers to where these are stored:
+    what they hold is neither joined nor shuffled a second time."""
+    if name == "dim_customers":
+        return warehouse.build_dim_customers(catalog.rows_of("customers_scd"), catalog.rows_of("int_customer_orders"))
+    if name == "dim_products":
+        return warehouse.build_dim_products(catalog.rows_of("products_scd"))
+    if name == "fct_orders":
+        return warehouse.build_fct_orders(catalog.rows_of("int_orders_enriched"))
+    if name == "fct_returns":
+        return warehouse.build_fct_returns(catalog.rows_of("fct_orders"))
+    return getattr(warehouse, name)
+
+
+def store(catalog: Catalog, warehouse, node: Node, df: DataFrame) -> None:
+    """A model's table, written by tasks of bounded size; a source that is already
+    stored becomes a table where it lies."""
+    spark, name = catalog.spark, f"{catalog.database(node.layer)}.{node.name}"
+    at = None if node.refs else warehouse.stored_at(node.name)
+    if at is not None:
+        spark.sql(f"DROP TABLE IF EXISTS {catalog.place(node)}")
+        spark.catalog.createTable(name, path=at, source="parquet", schema=described(df, node.name).schema)
+        return
+    with small_tasks(spark, warehouse.input_bytes):
+        described(df, node.name).write.mode("overwrite").format("parquet").option("compression", "zstd").saveAsTable(name)
+
+
 def build(catalog: Catalog, warehouse) -> list[tuple[str, str, str, str, int]]:
     """One run over all models: ``(model, database, kind, action, rows)``, the
     action ``built`` or ``skipped`` (a view is only ever replaced)."""
@@ -179,8 +212,7 @@ def build(catalog: Catalog, warehouse) -> list[tuple[str, str, str, str, int]]:
             now[node.name] = before[node.name]
             log.append((node.name, db, "table", "skipped", now[node.name][1]))
             continue
-        df = df if df is not None else getattr(warehouse, node.name)
-        described(df, node.name).write.mode("overwrite").format("parquet").saveAsTable(f"{db}.{node.name}")
+        store(catalog, warehouse, node, df if df is not None else model(catalog, warehouse, node.name))
         now[node.name] = state, rows if rows is not None else spark.table(place).count()
         log.append((node.name, db, "table", "built", now[node.name][1]))
         catalog.keep({**before, **now})         # a run that stops goes on from here

@@ -1,13 +1,16 @@
 """Steps that must not run twice, read what nobody asked for, or grow with a file's rows."""
+import uuid
+
 from pyspark.sql import functions as F
 
 from quayside import session
 from quayside.operators import quality as Q
 from quayside.operators.ranking import exact_median, value_counts
-from quayside.plans import checks, warehouse
+from quayside.plans import checks, materialize, warehouse
 from quayside.plans.warehouse import Warehouse
 from quayside.sources import feed as feed_log
 from quayside.sources import loader
+from quayside.sources import schemas as S
 from quayside.sources.adapter import RetailSource
 from quayside.streaming import cdc
 
@@ -114,3 +117,28 @@ def test_order_joins_carry_only_what_is_used(spark):
     w = Warehouse(spark, "/root/testdata/sf0.001")
     plan = w.order_item_agg._jdf.queryExecution().optimizedPlan().toString()
     assert "isnotnull(order_item_id" in plan[plan.index("Join"):]
+
+
+def test_models_are_built_from_the_tables_they_refer_to(spark, tmp_path):
+    sf, w = "/root/testdata/sf0.001", Warehouse(spark, "/root/testdata/sf0.001")
+    catalog = materialize.Catalog(spark, f"t{uuid.uuid4().hex[:8]}")
+    first, second = materialize.build(catalog, w), materialize.build(catalog, w)
+    assert {r[3] for r in first} == {"built"} and {r[3] for r in second if r[2] == "table"} == {"skipped"}
+    for name in materialize.NODES:
+        want = w.source(name) if name in S.SOURCE_SCHEMAS else getattr(w, name)
+        got = catalog.table(name)
+        assert got.columns == want.columns and sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
+    # what is stored is read, not made again; a loaded source isn't written a second time
+    for name, ref in (("fct_orders", "int_orders_enriched"), ("fct_returns", "fct_orders"), ("dim_customers", "customers_scd"), ("dim_products", "products_scd")):
+        files = materialize.model(catalog, w, name).inputFiles()
+        assert any(f"/{ref}/" in f for f in files) and not any("/order_items/" in f for f in files)
+    assert catalog.table("order_items").inputFiles() == w.source("order_items").inputFiles()
+    # comments stay with their own model
+    own = {(m, c, t) for m, about in materialize.DESCRIPTIONS.items() for c, t in about.items()}
+    assert {tuple(r) for r in materialize.descriptions(catalog).collect()} == own
+    # a changed source gets a table of its own, and the loaded one stays as it is
+    before = w.source("payments").count()
+    paid = w.source("payments").limit(5)
+    third = {r[0]: r[3:] for r in materialize.build(catalog, Warehouse(spark, sf, sources={"payments": paid}))}
+    assert third["payments"] == ("built", 5) and third["fct_returns"][0] == "built" and third["int_orders_enriched"][0] == "skipped"
+    assert catalog.table("payments").count() == catalog.table("stg_payments").count() == 5 and w.source("payments").count() == before
